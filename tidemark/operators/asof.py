@@ -13,17 +13,33 @@ def asof_last(frame: DataFrame, keys: list[str], date: str, columns: dict[str, s
 
 
 def asof_join(
-    left: DataFrame, right: DataFrame, keys: list[str], left_date: str, right_date: str, value: str
+    left: DataFrame, right: DataFrame, keys: list[str], left_date: str, right_date: str, value: str, chunk: str = "DAY"
 ) -> DataFrame:
     """For every left row, the value of the last right row dated on or before it.
 
-    Both sides go into one stream ordered by date; right rows sort first on equal dates.
-    Right rows are combined to one per key and date before the shuffle.
+    Both sides go into one stream, cut by key and time chunk. Inside a chunk the last value
+    is carried by an ordered window, right rows first on equal dates; what earlier chunks
+    leave behind comes from one row per chunk. A key with very many rows is thus spread over
+    its chunks. Right rows are combined to one per key and date before the shuffle.
     """
     marks = right.groupBy(*keys, F.col(right_date).alias("__date")).agg(F.max(value).alias("__value"))
     columns = [c for c in left.columns if c not in keys]
     rows = left.select(*keys, F.struct(*columns).alias("__row"), F.col(left_date).alias("__date"), F.lit(1).alias("__side"))
     stream = rows.unionByName(marks.withColumn("__side", F.lit(0)), allowMissingColumns=True)
-    upto = Window.partitionBy(*keys).orderBy("__date", "__side").rowsBetween(Window.unboundedPreceding, 0)
-    joined = stream.withColumn("__value", F.last("__value", ignorenulls=True).over(upto)).where("__side = 1")
-    return joined.select(*keys, *(F.col(f"__row.{c}").alias(c) for c in columns), F.col("__value").alias(value))
+    stream = stream.withColumn("__chunk", F.date_trunc(chunk, "__date"))
+
+    before = Window.partitionBy(*keys).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    in_chunk = F.when(F.col("__value").isNotNull(), F.col("__date"))
+    carried = (
+        stream.groupBy(*keys, "__chunk").agg(F.max_by("__value", in_chunk).alias("__last"))
+        .withColumn("__carry", F.last("__last", ignorenulls=True).over(before))
+        .where(F.col("__carry").isNotNull()).drop("__last")
+    )
+    upto = Window.partitionBy(*keys, "__chunk").orderBy("__date", "__side").rowsBetween(Window.unboundedPreceding, 0)
+    joined = (
+        stream.withColumn("__value", F.last("__value", ignorenulls=True).over(upto)).where("__side = 1")
+        .join(carried, [*keys, "__chunk"], "left")
+    )
+    return joined.select(
+        *keys, *(F.col(f"__row.{c}").alias(c) for c in columns), F.coalesce("__value", "__carry").alias(value)
+    )

@@ -32,7 +32,7 @@ def out_of_range(frame: DataFrame, rules: DataFrame) -> DataFrame:
     broken = F.coalesce(too_low, F.lit(False)) | F.coalesce(value > F.col("high"), F.lit(False))
     return (
         frame.join(F.broadcast(rules), "source_code")
-        .where(F.col("indicator_code").rlike(F.col("pattern")) & broken)
+        .where(F.rlike("indicator_code", F.col("pattern")) & broken)
     )
 
 

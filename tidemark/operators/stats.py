@@ -141,9 +141,11 @@ def lagged_correlation(frame: DataFrame, by: Sequence[str], time: str, target: s
     return shifted.groupBy(*by).agg(*aggregates).select(*by, F.inline(rows))
 
 
-def aligned(long: DataFrame, by: Sequence[str], date: str, series: str, value: str, codes: Sequence[str]) -> DataFrame:
-    """Wide rows for the dates on which every one of the listed series has a value."""
-    return long.groupBy(*by, date).pivot(series, list(codes)).agg(F.max(value)).dropna(how="any", subset=list(codes))
+def aligned(long: DataFrame, by: Sequence[str], date: str, series: str, value: str, names: dict[str, str]) -> DataFrame:
+    """Wide rows for the dates on which every one of the listed series (code → column) has a value."""
+    cells = [F.max(F.when(F.col(series) == code, F.col(value))).alias(name) for code, name in names.items()]
+    wide = long.where(F.col(series).isin(list(names))).groupBy(*by, date).agg(*cells)
+    return wide.dropna(how="any", subset=list(names.values()))
 
 
 def error_metrics(frame: DataFrame, by: Sequence[str]) -> DataFrame:

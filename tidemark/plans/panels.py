@@ -22,8 +22,9 @@ from tidemark.sources.lake import Lake
 SUPPLIER_BASE = 1000
 
 
-def country_code(nation_key) -> Column:
-    return F.concat(F.lit("N"), F.lpad(F.col(nation_key).cast("string"), 2, "0"))
+def country_code(nation_key: str | Column) -> Column:
+    key = F.col(nation_key) if isinstance(nation_key, str) else nation_key
+    return F.concat(F.lit("N"), F.lpad(key.cast("string"), 2, "0"))
 
 
 def order_day() -> Column:

@@ -27,7 +27,7 @@ def query(name: str, sql: str | None = None):
             raise ValueError(f"query {name} registered twice")
         QUERIES[name] = lambda spark, folder: plain(build(Lake(spark, folder)))
         if sql is not None:
-            ORACLES[name] = with_tables(sql)
+            ORACLES[name] = sql
         return build
 
     return register
