@@ -12,19 +12,16 @@ from tidemark.functions.text import key_hash
 def run_states(events: DataFrame) -> DataFrame:
     """Current state per run from append-only (run_id, source_code, status, at, rows, message).
 
-    Only a started run can finish, and the first finishing event counts.
+    Only a started run can finish, and its first finishing event from then on counts.
     """
-    start = F.col("status") == "running"
-    runs = events.groupBy("run_id", "source_code").agg(
-        F.min(F.when(start, F.col("at"))).alias("started_at"),
-        F.min(F.when(~start, F.struct("at", "status", "rows_loaded", "error_message"))).alias("finish"),
-    ).where(F.col("started_at").isNotNull())
-    valid = F.col("finish.at") >= F.col("started_at")
-    part = lambda name: F.when(valid, F.col(f"finish.{name}"))
-    return runs.select(
-        "run_id", "source_code", "started_at", part("at").alias("completed_at"),
-        F.coalesce(part("status"), F.lit("running")).alias("status"), part("rows_loaded").alias("rows_loaded"),
-        part("error_message").alias("error_message"),
+    starts = events.where("status = 'running'").groupBy("run_id", "source_code").agg(F.min("at").alias("started_at"))
+    finishes = (
+        events.where("status <> 'running'").join(starts, ["run_id", "source_code"]).where("at >= started_at")
+        .groupBy("run_id", "source_code").agg(F.min(F.struct("at", "status", "rows_loaded", "error_message")).alias("f"))
+    )
+    return starts.join(finishes, ["run_id", "source_code"], "left").select(
+        "run_id", "source_code", "started_at", F.col("f.at").alias("completed_at"),
+        F.coalesce("f.status", F.lit("running")).alias("status"), "f.rows_loaded", "f.error_message",
     )
 
 

@@ -292,11 +292,12 @@ def month_series(lake):
 
 
 @query("error_metrics", """
-SELECT region_code, model_name, R(mae) AS mae, R(rmse) AS rmse, R(mape_percent) AS mape_percent, test_observations, test_start, test_end FROM naive_metrics
+SELECT region_code, model_name, R(round(mae, 3)) AS mae, R(round(rmse, 3)) AS rmse, R(round(mape_percent, 3)) AS mape_percent, test_observations, test_start, test_end FROM naive_metrics
 """)
 def _(lake):
     predictions = naive_predictions(month_series(lake), ["region_code"], "value", [1, 12], 24)
-    return stats.error_metrics(predictions, ["region_code", "model_name"]).drop("interval_coverage_percent")
+    metrics = stats.error_metrics(predictions, ["region_code", "model_name"]).drop("interval_coverage_percent")
+    return metrics.withColumns({c: F.round(c, 3) for c in ("mae", "rmse", "mape_percent")})
 
 
 @query("interval_coverage", """
