@@ -46,7 +46,8 @@ def compare(spark, db, name, build, sql, folder):
         return f"columns {sorted(frame.columns)} against {sorted(names)}", len(ours)
     if ours == theirs and [[type(v) for v in r] for r in ours] == [[type(v) for v in r] for r in theirs]:
         return "", len(ours)
-    mine, other = [r for r in ours if r not in set(theirs)][:2], [r for r in theirs if r not in set(ours)][:2]
+    left, right = set(ours), set(theirs)
+    mine, other = [r for r in ours if r not in right][:2], [r for r in theirs if r not in left][:2]
     return f"rows {len(ours)}/{len(theirs)} {sorted(names)}\n   spark {mine}\n   sql   {other}\n types {[type(v).__name__ for v in ours[0]] if ours else ''} {[type(v).__name__ for v in theirs[0]] if theirs else ''}", len(ours)
 
 

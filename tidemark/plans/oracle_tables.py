@@ -79,7 +79,7 @@ SELECT nation_key, unnest(generate_series(min(date_trunc('month', day)), max(dat
 FROM daily GROUP BY nation_key
 """,
     "month_rate": """
-SELECT nation_key, date_trunc('month', day)::DATE AS observation_date, round(sum(rate)::DOUBLE / count(*)::DOUBLE, 6)::DECIMAL(24,6) AS rate,
+SELECT nation_key, date_trunc('month', day)::DATE AS observation_date, (floor(sum(rate)::DOUBLE / count(*)::DOUBLE * 100 + 0.5) / 100)::DECIMAL(24,6) AS rate,
        max(ingested_at) AS ingested_at FROM daily GROUP BY 1, 2
 """,
     "f_monthly": """

@@ -110,12 +110,21 @@ def daily_rates(lake: Lake) -> DataFrame:
     )
 
 
+def mean_rate() -> Column:
+    """Aggregate: mean of the available daily rates, rounded half up to the cent."""
+    cents = dbl(F.sum("rate")) / dbl(F.count("rate")) * 100
+    return (F.floor(cents + 0.5).cast("double") / 100).cast(VALUE)
+
+
+def monthly_rates(lake: Lake) -> DataFrame:
+    return daily_rates(lake).groupBy("nation_key", month_start("day").alias("observation_date")).agg(mean_rate().alias("rate"))
+
+
 def monthly_wide(lake: Lake) -> DataFrame:
     """Nation × month: mean of the daily rates, and the decision in force at month end."""
     daily = daily_rates(lake)
     months = daily.groupBy("nation_key", month_start("day").alias("observation_date")).agg(
-        F.round(dbl(F.sum("rate")) / dbl(F.count("rate")), 6).cast(VALUE).alias("rate"),
-        F.max("ingested_at").alias("ingested_at"),
+        mean_rate().alias("rate"), F.max("ingested_at").alias("ingested_at"),
         F.max_by("decision", F.when(F.col("decision").isNotNull(), F.col("day"))).alias("decision"),
     )
     full = calendar_slots(months, ["nation_key"], "observation_date", "month")

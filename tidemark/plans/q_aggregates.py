@@ -41,9 +41,7 @@ def _(lake):
 
 @query("daily_to_monthly_mean", "SELECT nation_key, observation_date, R(rate) AS rate FROM month_rate")
 def _(lake):
-    return panels.daily_rates(lake).groupBy("nation_key", F.trunc("day", "MM").alias("observation_date")).agg(
-        F.round(dbl(F.sum("rate")) / dbl(F.count("rate")), 6).alias("rate")
-    )
+    return panels.monthly_rates(lake)
 
 
 @query("source_freshness", """
@@ -286,9 +284,9 @@ FROM naive_pred GROUP BY 1, 2
 
 def month_series(lake):
     """Monthly mean rate per country, as the long series the models work on."""
-    return panels.daily_rates(lake).groupBy(
-        panels.country_code("nation_key").alias("region_code"), F.trunc("day", "MM").alias("observation_date")
-    ).agg(F.round(dbl(F.sum("rate")) / dbl(F.count("rate")), 6).cast("decimal(24,6)").alias("value"))
+    return panels.monthly_rates(lake).select(
+        panels.country_code("nation_key").alias("region_code"), "observation_date", F.col("rate").alias("value")
+    )
 
 
 @query("error_metrics", """

@@ -9,6 +9,7 @@ from tidemark.operators.rules import uncovered
 from tidemark.operators.stats import aligned
 from tidemark.plans import marts, panels
 from tidemark.plans.registry import query
+from tidemark.session import settle
 from tidemark.sources import reference_tables as ref
 
 
@@ -82,10 +83,7 @@ def _(lake):
 SELECT nation_key, observation_date, R(rate) AS rate, I(rate IS NULL) AS is_missing FROM month_grid LEFT JOIN month_rate USING (nation_key, observation_date)
 """)
 def _(lake):
-    months = panels.daily_rates(lake).groupBy("nation_key", F.trunc("day", "MM").alias("observation_date")).agg(
-        F.round(dbl(F.sum("rate")) / dbl(F.count("rate")), 6).alias("rate")
-    )
-    full = calendar_slots(months, ["nation_key"], "observation_date", "month")
+    full = calendar_slots(panels.monthly_rates(lake), ["nation_key"], "observation_date", "month")
     return full.withColumn("is_missing", F.col("rate").isNull())
 
 
@@ -222,9 +220,7 @@ FROM (SELECT coalesce(h.nation_key, f.nation_key) AS nation_key, coalesce(h.obse
   LEFT JOIN (SELECT nation_key, observation_date, rate FROM month_rate WHERE observation_date = DATE '2000-12-01') h2 ON h2.nation_key = f.nation_key)
 """)
 def _(lake):
-    rates = panels.daily_rates(lake).groupBy(F.col("nation_key"), F.trunc("day", "MM").alias("observation_date")).agg(
-        F.round(dbl(F.sum("rate")) / dbl(F.count("rate")), 6).cast("decimal(24,6)").alias("rate")
-    )
+    rates = settle(panels.monthly_rates(lake))
     history = rates.where("observation_date < DATE'2001-01-01'").withColumnRenamed("rate", "actual")
     base = rates.where("observation_date = DATE'2000-12-01'").select("nation_key", F.col("rate").alias("base"))
     later = rates.where("observation_date >= DATE'2000-12-01'").join(base, "nation_key", "left")

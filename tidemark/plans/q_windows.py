@@ -206,10 +206,7 @@ def _(lake):
 SELECT nation_key, observation_date, R(rate - lag(rate) OVER (PARTITION BY nation_key ORDER BY observation_date)) AS change FROM month_grid LEFT JOIN month_rate USING (nation_key, observation_date)
 """)
 def _(lake):
-    months = panels.daily_rates(lake).groupBy("nation_key", F.trunc("day", "MM").alias("observation_date")).agg(
-        F.round(dbl(F.sum("rate")) / dbl(F.count("rate")), 6).cast("decimal(24,6)").alias("rate")
-    )
-    full = calendar_slots(months, ["nation_key"], "observation_date", "month")
+    full = calendar_slots(panels.monthly_rates(lake), ["nation_key"], "observation_date", "month")
     change = F.col("rate") - F.lag("rate").over(series_window(["nation_key"]))
     return full.select("nation_key", "observation_date", change.alias("change"))
 
