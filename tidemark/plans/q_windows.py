@@ -245,7 +245,7 @@ def anomaly_events(lake):
 
 
 @query("rolling_mad", """
-SELECT region_code, observation_date, R(change) AS change, len(h) AS history_size, R(med) AS median, R(mad) AS mad, R(score) AS score FROM mad_scores
+SELECT region_code, observation_date, R(change) AS change, coalesce(len(h), 0) AS history_size, R(med) AS median, R(mad) AS mad, R(score) AS score FROM mad_scores
 """)
 def _(lake):
     rows = scored_changes(month_series(lake), ["region_code"], "value", revisions=revisions(lake))
@@ -429,10 +429,9 @@ def _(lake):
 
 
 @query("best_model", """
-SELECT region_code, model_name, R(round(mae, 3)) AS mae FROM (SELECT *, row_number() OVER (PARTITION BY region_code ORDER BY mae, model_name) AS rn FROM naive_metrics) WHERE rn = 1
+SELECT region_code, model_name, R(mae) AS mae FROM (SELECT *, row_number() OVER (PARTITION BY region_code ORDER BY mae, model_name) AS rn FROM naive_metrics) WHERE rn = 1
 """)
 def _(lake):
     metrics = stats.error_metrics(naive_predictions(month_series(lake), ["region_code"], "value", [1, 12], 24), ["region_code", "model_name"])
-    best = latest_per_group(metrics.select("region_code", "model_name", "mae"), ["region_code"], [F.col("mae"), F.col("model_name")])
-    return best.withColumn("mae", F.round("mae", 3))
+    return latest_per_group(metrics.select("region_code", "model_name", "mae"), ["region_code"], [F.col("mae"), F.col("model_name")])
 

@@ -70,13 +70,14 @@ def with_tables(sql: str) -> str:
 
 def _with_tables(sql: str) -> str:
     used: list[str] = []
+    seen: set[str] = set()
 
     def visit(text: str) -> None:
         for name in TABLES:
-            if name not in used and re.search(rf"\b{name}\b", text):
+            if name not in seen and re.search(rf"\b{name}\b", text):
+                seen.add(name)
                 visit(TABLES[name])
-                if name not in used:
-                    used.append(name)
+                used.append(name)
 
     visit(sql)
     body = sql.strip()
