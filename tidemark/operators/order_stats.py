@@ -26,45 +26,36 @@ def running_tallies(
     tallies = settle(
         frame.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("ties"))
     )
-    totals = tallies.groupBy(*groups).agg(F.sum("ties").alias("total"), F.count(F.lit(1)).alias("__distinct"))
-    largest = totals.agg(F.max("__distinct")).first()[0] or 0
+    sizes = tallies.groupBy(*groups).count().agg(F.max("count"), F.sum("count")).first()
+    largest, rows = sizes[0] or 0, sizes[1] or 0
     if largest <= single_task_rows:
         group = Window.partitionBy(*groups)
         upto = group.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
         return tallies.select(
             "*", F.sum("ties").over(upto).alias("upto"), F.sum("ties").over(group).alias("total")
         )
-    return _sliced_tallies(tallies, groups, value, largest, single_task_rows)
+    return _sliced_tallies(tallies, groups, value, rows, single_task_rows)
 
 
 def _sliced_tallies(
-    tallies: DataFrame, groups: list[str], value: str, largest: int, single_task_rows: int
+    tallies: DataFrame, groups: list[str], value: str, rows: int, single_task_rows: int
 ) -> DataFrame:
-    slices = max(2, 2 * -(-largest // single_task_rows))
-    steps = [i / slices for i in range(1, slices)]
-    # Per group: the cut values (a bounded list) and the total. Written once, because the
-    # cuts are estimates and both branches below must see the same ones.
-    cuts = settle(
-        tallies.groupBy(*groups).agg(
-            F.percentile_approx(value, steps, 10 * slices).alias("__cuts"), F.sum("ties").alias("total")
-        )
-    )
+    slices = max(2, -(-rows // single_task_rows))
+    # Range partitioning by (group, value) cuts large groups by value and keeps slices in
+    # order. The slice number is written with the rows, so both branches below see the same.
     sliced = settle(
-        _join_groups(tallies, cuts, groups).withColumn(
-            "__slice", F.size(F.filter("__cuts", lambda cut: cut < F.col(value)))
-        ).drop("__cuts")
+        tallies.repartitionByRange(slices, *groups, value).withColumn("__slice", F.spark_partition_id())
     )
-    below = Window.partitionBy(*groups).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        sliced.groupBy(*groups, "__slice").agg(F.sum("ties").alias("__rows"))
-        .withColumn("__below", F.coalesce(F.sum("__rows").over(below), F.lit(0))).drop("__rows")
+    group = Window.partitionBy(*groups)
+    below = group.orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sliced.groupBy(*groups, "__slice").agg(F.sum("ties").alias("__rows")).select(
+        *groups, "__slice", F.coalesce(F.sum("__rows").over(below), F.lit(0)).alias("__below"),
+        F.sum("__rows").over(group).alias("total"),
     )
     within = Window.partitionBy(*groups, "__slice").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    summed = sliced.withColumn("upto", F.sum("ties").over(within))
-    return (
-        _join_groups(summed, offsets, [*groups, "__slice"])
-        .withColumn("upto", F.col("upto") + F.col("__below"))
-        .select(*groups, value, "ties", "upto", "total")
+    summed = sliced.withColumn("__upto", F.sum("ties").over(within))
+    return _join_groups(summed, offsets, [*groups, "__slice"]).select(
+        *groups, value, "ties", (F.col("__upto") + F.col("__below")).alias("upto"), "total"
     )
 
 

@@ -8,6 +8,8 @@ one row per key and period goes into the next shuffle.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +29,15 @@ def country_code(nation_key: str | Column) -> Column:
     return F.concat(F.lit("N"), F.lpad(key.cast("string"), 2, "0"))
 
 
+def hundredths(column: str) -> Column:
+    """Line measures carry two decimals: as whole hundredths their sums are exact and cheap."""
+    return F.round(F.col(column) * 100).cast("bigint")
+
+
+def from_hundredths(column: str) -> Column:
+    return F.col(column).cast("decimal(22,0)") * F.lit(Decimal("0.01"))
+
+
 def order_day() -> Column:
     return F.to_date("o_orderdate").alias("day")
 
@@ -38,9 +49,9 @@ def customer_nation(lake: Lake) -> DataFrame:
 def annual_wide(lake: Lake) -> DataFrame:
     """Nation × year: orders, revenue, discount sum and count, customers, units."""
     lines = lake.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
-        F.sum(exact("l_discount")).alias("discount_sum"),
+        F.sum(hundredths("l_discount")).alias("discount_sum"),
         F.count(F.lit(1)).alias("line_count"),
-        F.sum(exact("l_quantity")).alias("quantity"),
+        F.sum(hundredths("l_quantity")).alias("quantity"),
     )
     per_customer = (
         lake.orders.select("o_orderkey", "o_custkey", year_start("o_orderdate").alias("observation_date"),
@@ -81,19 +92,19 @@ def _long(wide: DataFrame, region_id: Column, source: str, cells: dict[int, Colu
 
 
 def annual_facts(lake: Lake) -> DataFrame:
-    discount = F.round(100 * dbl("discount_sum") / dbl("line_count"), 6)
+    discount = F.round(100 * dbl(from_hundredths("discount_sum")) / dbl("line_count"), 6)
     return _long(annual_wide(lake), F.col("nation_key"), "ledger_annual", {
-        1: F.col("orders"), 2: F.col("revenue"), 3: discount, 4: F.col("customers"), 5: F.col("quantity"),
+        1: F.col("orders"), 2: F.col("revenue"), 3: discount, 4: F.col("customers"), 5: from_hundredths("quantity"),
     })
 
 
 def regional_facts(lake: Lake) -> DataFrame:
     wide = lake.lineitem.groupBy("l_suppkey", year_start("l_shipdate").alias("observation_date")).agg(
-        F.sum(exact("l_tax")).alias("tax_sum"), F.count(F.lit(1)).alias("line_count"),
-        F.sum(exact("l_quantity")).alias("quantity"), F.max("l_shipdate").alias("ingested_at"),
+        F.sum(hundredths("l_tax")).alias("tax_sum"), F.count(F.lit(1)).alias("line_count"),
+        F.sum(hundredths("l_quantity")).alias("quantity"), F.max("l_shipdate").alias("ingested_at"),
     )
-    tax = F.round(100 * dbl("tax_sum") / dbl("line_count"), 6)
-    return _long(wide, SUPPLIER_BASE + F.col("l_suppkey"), "ledger_regional", {6: tax, 7: F.col("quantity")})
+    tax = F.round(100 * dbl(from_hundredths("tax_sum")) / dbl("line_count"), 6)
+    return _long(wide, SUPPLIER_BASE + F.col("l_suppkey"), "ledger_regional", {6: tax, 7: from_hundredths("quantity")})
 
 
 def daily_rates(lake: Lake) -> DataFrame:

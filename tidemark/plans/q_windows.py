@@ -71,7 +71,7 @@ SELECT l_returnflag, l_orderkey, l_linenumber, l_partkey, l_suppkey, R(l_extende
 def _(lake):
     # Three groups for the whole table: each is cut into value slices.
     rows = lake.lineitem.select("l_returnflag", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_extendedprice").cast("decimal(24,6)").alias("price"))
-    ranked = cross_section(rows, ["l_returnflag"], "price", single_task_rows=2_000)
+    ranked = cross_section(rows, ["l_returnflag"], "price", single_task_rows=20_000)
     return ranked.select("l_returnflag", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "price", F.col("rank_desc").alias("price_rank"))
 
 
