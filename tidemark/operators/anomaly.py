@@ -15,10 +15,28 @@ from tidemark.operators.windows import series_window
 ROBUST_SCALE = 0.67448975
 
 
+def bound(value: Column, body) -> Column:
+    """`body(value)` with the value computed once, however often the body uses it.
+
+    The optimizer copies column definitions into pushed-down filters; a bound lambda variable
+    keeps such copies cheap.
+    """
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def array_median(values: Column) -> Column:
-    ordered, n = F.array_sort(values), F.size(values)
-    low, high = F.floor((n + 1) / 2).cast("int"), (F.floor(n / 2) + 1).cast("int")
-    return F.when(n > 0, (F.get(ordered, low - 1) + F.get(ordered, high - 1)) / 2)
+    def middle(ordered):
+        n = F.size(ordered)
+        low, high = F.floor((n + 1) / 2).cast("int"), (F.floor(n / 2) + 1).cast("int")
+        return F.when(n > 0, (F.get(ordered, low - 1) + F.get(ordered, high - 1)) / 2)
+
+    return bound(F.array_sort(values), middle)
+
+
+def median_and_mad(values: Column) -> Column:
+    return bound(array_median(values), lambda m: F.struct(
+        m.alias("median"), array_median(F.transform(values, lambda x: F.abs(x - m))).alias("mad")
+    ))
 
 
 def scored_changes(
@@ -39,10 +57,8 @@ def scored_changes(
     usable = F.when(F.col("revision").isNull(), F.col("change"))
     series = series.withColumn("change", F.col("observed_value") - F.lag("observed_value").over(order))
     series = series.withColumn("history", F.collect_list(usable).over(order.rowsBetween(-window, -1)))
-    series = series.withColumn("median", array_median(F.col("history")))
-    series = series.withColumn(
-        "mad", array_median(F.transform("history", lambda x: F.abs(x - F.col("median"))))
-    )
+    series = series.withColumn("__m", median_and_mad(F.col("history")))
+    series = series.withColumns({"median": F.col("__m.median"), "mad": F.col("__m.mad")}).drop("__m")
     deviation = F.col("change") - F.col("median")
     return series.withColumn("score", ROBUST_SCALE * deviation / F.nullif(F.col("mad"), F.lit(0.0)))
 

@@ -158,7 +158,8 @@ def _holdout_rows(fitted: DataFrame, keys: Sequence[str], test_periods: int, nam
         (F.get("values", first + i) - e).alias("prediction"),
     ))
     margin = Z95 * F.col("sigma")
-    return fitted.select(*keys, "sigma", F.inline(rows)).select(
+    # The outer form keeps the optimizer from testing the array, which would fit the model twice.
+    return fitted.select(*keys, "sigma", F.inline_outer(rows)).select(
         *keys, F.lit(name).alias("model_name"), F.lit(family).alias("family"), "observation_date", "actual", "prediction",
         (F.col("prediction") - margin).alias("lower_bound"), (F.col("prediction") + margin).alias("upper_bound"),
     )
@@ -223,7 +224,7 @@ def seasonal_predictions(arrays: DataFrame, keys: Sequence[str], test_periods: i
 def _forecast_rows(frame: DataFrame, keys: Sequence[str], points: Column, name: str) -> DataFrame:
     """Points to rows; the variance at step h is sigma²(1 + (h-1)(1+theta)²)."""
     rows = frame.select(*keys, "theta", "sigma", F.get("dates", F.col("n") - 1).alias("data_end"),
-                        F.posexplode(points).alias("__h", "point_forecast"))
+                        F.posexplode_outer(points).alias("__h", "point_forecast"))
     spread = F.sqrt(1 + F.col("__h") * (1 + F.col("theta")) * (1 + F.col("theta")))
     margin = Z95 * F.col("sigma") * spread
     return rows.select(

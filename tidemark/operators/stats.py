@@ -86,19 +86,19 @@ def pearson(left: Column, right: Column, minimum: int = 2) -> Column:
 
 
 def correlation_pairs(frame: DataFrame, columns: Sequence[str], minimum: int = 3, by: Sequence[str] = ()) -> DataFrame:
-    """Upper triangle with diagonal: (left, right, correlation, overlap), in one aggregate."""
-    pairs = list(combinations_with_replacement(columns, 2))
-    aggregates = []
-    for i, (a, b) in enumerate(pairs):
-        aggregates.append(pearson(F.col(a), F.col(b), minimum).alias(f"r{i}"))
-        aggregates.append(F.count_if(F.col(a).isNotNull() & F.col(b).isNotNull()).alias(f"n{i}"))
-    wide = frame.groupBy(*by).agg(*aggregates)
-    rows = F.array(*(
-        F.struct(F.lit(a).alias("left_variable"), F.lit(b).alias("right_variable"),
-                 F.col(f"r{i}").alias("correlation"), F.col(f"n{i}").alias("overlap"))
-        for i, (a, b) in enumerate(pairs)
+    """Upper triangle with diagonal: (left_variable, right_variable, correlation, overlap).
+
+    A row becomes one entry per column pair and is combined map-side at once, so the shuffle
+    carries one partial result per pair and task.
+    """
+    pairs = F.array(*(
+        F.struct(F.lit(a).alias("left_variable"), F.lit(b).alias("right_variable"), dbl(a).alias("x"), dbl(b).alias("y"))
+        for a, b in combinations_with_replacement(columns, 2)
     ))
-    return wide.select(*by, F.inline(rows))
+    x, y = F.col("x"), F.col("y")
+    return frame.select(*by, F.inline(pairs)).groupBy(*by, "left_variable", "right_variable").agg(
+        pearson(x, y, minimum).alias("correlation"), F.count_if(x.isNotNull() & y.isNotNull()).alias("overlap")
+    )
 
 
 def correlation_matrix(pairs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
