@@ -141,3 +141,9 @@ def test_quantiles_equal_exact_percentiles(spark, single_task_rows):
 def test_average_ranks(spark):
     frame = spark.createDataFrame([("g", 1, 5.0), ("g", 2, 5.0), ("g", 3, 1.0), ("g", 4, None)], "g string, i int, v double")
     assert {r.i: r.k for r in average_ranks(frame, ["g"], "v", "k").collect()} == {1: 2.5, 2: 2.5, 3: 1.0, 4: None}
+
+
+def test_cross_section_keeps_rows_without_value_or_group(spark):
+    frame = spark.createDataFrame([("g", 1, 5.0), ("g", 2, None), (None, 3, 2.0), ("e", 4, None)], "g string, i int, v double").withColumn("v", F.col("v").cast("decimal(24,6)"))
+    rows = {r.i: (r.rank_desc, r.group_mean) for r in cross_section(frame, ["g"], "v").collect()}
+    assert rows == {1: (1, 5.0), 2: (None, 5.0), 3: (1, 2.0), 4: (None, None)}

@@ -59,21 +59,21 @@ def _sliced_tallies(
     )
 
 
-def _join_groups(rows: DataFrame, per_group: DataFrame, keys: list[str]) -> DataFrame:
-    """Join a table with one row per group; Spark broadcasts it only when its size allows."""
+def _join_groups(rows: DataFrame, per_group: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join a table with one row per group, NULL keys included; Spark broadcasts it only when its size allows."""
     renamed = per_group.select(*(F.col(k).alias(f"__k_{k}") for k in keys), *(c for c in per_group.columns if c not in keys))
     condition = [rows[k].eqNullSafe(renamed[f"__k_{k}"]) for k in keys]
-    return rows.join(renamed, condition).drop(*(f"__k_{k}" for k in keys))
+    return rows.join(renamed, condition, how).drop(*(f"__k_{k}" for k in keys))
 
 
 def cross_section(
     frame: DataFrame, groups: Sequence[str], value: str, single_task_rows: int = SINGLE_TASK_ROWS
 ) -> DataFrame:
-    """Add group mean, row count, descending rank and ascending percent rank to every row.
+    """Add group mean, value count, descending rank and ascending percent rank to every row.
 
     `frame` should be settled: it is read twice. The join back is on (group, value), where the
     tally side has a single row, so a value shared by very many rows is left to the skew-join
-    handling of adaptive execution.
+    handling of adaptive execution. Rows without a value stay, unranked.
     """
     groups = list(groups)
     tallies = running_tallies(frame, groups, value, single_task_rows)
@@ -89,8 +89,8 @@ def cross_section(
         F.when(F.col("total") > 1, (first - 1).cast("double") / (F.col("total") - 1).cast("double"))
         .otherwise(0.0).alias("percent_rank"),
     )
-    with_rank = frame.join(ranked, [*groups, value], "left")
-    return with_rank.join(sums.select(*groups, mean.alias("group_mean"), "group_count"), groups)
+    with_rank = _join_groups(frame, ranked, [*groups, value], "left")
+    return _join_groups(with_rank, sums.select(*groups, mean.alias("group_mean"), "group_count"), groups, "left")
 
 
 def quantiles(
@@ -122,4 +122,4 @@ def average_ranks(frame: DataFrame, groups: Sequence[str], value: str, name: str
     groups = list(groups)
     tallies = running_tallies(frame, groups, value, single_task_rows)
     middle = F.col("upto").cast("double") - (F.col("ties") - 1).cast("double") / 2
-    return frame.join(tallies.select(*groups, value, middle.alias(name)), [*groups, value], "left")
+    return _join_groups(frame, tallies.select(*groups, value, middle.alias(name)), [*groups, value], "left")

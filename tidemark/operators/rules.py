@@ -22,16 +22,16 @@ def missing_mandatory(frame: DataFrame, columns: list[str], expected: dict[str,
 
 
 def out_of_range(frame: DataFrame, rules: DataFrame) -> DataFrame:
-    """Rows that break the rule of their indicator. Rules are a fixed table, so broadcast.
+    """Rows that break the rule of their indicator.
 
-    The rules meet the distinct-free frame on source_code, an equality; the pattern is
-    checked on the few rules of that source only.
+    Rules meet rows on source_code, an equality; the pattern is checked on the few rules of
+    that source only.
     """
     value = F.col("value").cast("double")
     too_low = F.when(F.col("low_open"), value <= F.col("low")).otherwise(value < F.col("low"))
     broken = F.coalesce(too_low, F.lit(False)) | F.coalesce(value > F.col("high"), F.lit(False))
     return (
-        frame.join(F.broadcast(rules), "source_code")
+        frame.join(rules, "source_code")
         .where(F.rlike("indicator_code", F.col("pattern")) & broken)
     )
 

@@ -59,7 +59,7 @@ def group_comparison(staged: DataFrame, members: DataFrame) -> DataFrame:
     """
     group = Window.partitionBy("indicator_code", "observation_date")
     ordered = group.orderBy("value")
-    rows = staged.join(F.broadcast(members), "region_code").withColumns({
+    rows = staged.join(members, "region_code").withColumns({
         "group_average": dbl(F.sum("value").over(group)) / dbl(F.count("value").over(group)),
         "country_coverage": F.count(F.lit(1)).over(group),
         "value_rank_desc": F.rank().over(group.orderBy(F.col("value").desc())),

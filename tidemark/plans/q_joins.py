@@ -15,7 +15,7 @@ from tidemark.sources import reference_tables as ref
 
 @query("member_join", "SELECT region_code, region_name, member_since, indicator_code, observation_date, R(value) AS value FROM stg_annual JOIN d_member USING (region_code)")
 def _(lake):
-    rows = panels.staged(lake, "ledger_annual").join(F.broadcast(ref.members(lake.spark)), "region_code")
+    rows = panels.staged(lake, "ledger_annual").join(ref.members(lake.spark), "region_code")
     return rows.select("region_code", "region_name", "member_since", "indicator_code", "observation_date", "value")
 
 
@@ -166,7 +166,7 @@ def _(lake):
     )
     mapped = rows.join(panels.regions(lake).select("region_id", "region_code"), "region_code")
     ids = ref.indicators(lake.spark).select("indicator_id", F.col("indicator_code").alias("known_code"))
-    return mapped.join(F.broadcast(ids), F.col("indicator_code") == F.col("known_code")).select(
+    return mapped.join(ids, F.col("indicator_code") == F.col("known_code")).select(
         "region_id", "indicator_id", "observation_date", "value"
     )
 

@@ -146,7 +146,7 @@ FROM d_member m JOIN d_region r USING (region_code) JOIN stg_annual v USING (reg
 GROUP BY ALL
 """)
 def _(lake):
-    rows = panels.staged(lake, "ledger_annual").join(F.broadcast(ref.members(lake.spark)), "region_code")
+    rows = panels.staged(lake, "ledger_annual").join(ref.members(lake.spark), "region_code")
     return rows.groupBy("region_code", "member_since", "region_name", "indicator_code").agg(F.count("value").alias("observation_count"))
 
 

@@ -70,7 +70,7 @@ def envelope_issues(payloads: DataFrame) -> DataFrame:
 def normalize_records(records: DataFrame, catalog: DataFrame) -> DataFrame:
     """Drop empty values, attach the catalog entry, year text to 1 January."""
     return (
-        records.where(F.col("value").isNotNull()).join(F.broadcast(catalog), "indicator_code")
+        records.where(F.col("value").isNotNull()).join(catalog, "indicator_code")
         .select(
             "indicator_code", "indicator_name", "unit", "frequency", "region_code", "region_name",
             F.make_date(F.col("period").cast("int"), F.lit(1), F.lit(1)).alias("observation_date"),
@@ -81,7 +81,7 @@ def normalize_records(records: DataFrame, catalog: DataFrame) -> DataFrame:
 
 def unknown_codes(records: DataFrame, catalog: DataFrame) -> DataFrame:
     """Indicator codes the catalog does not list."""
-    return records.select("indicator_code").distinct().join(F.broadcast(catalog), "indicator_code", "left_anti")
+    return records.select("indicator_code").distinct().join(catalog, "indicator_code", "left_anti")
 
 
 PAGE = "struct<status:string,`data-availability`:string,data:array<string>>"
@@ -156,7 +156,7 @@ def cube_cells(payloads: DataFrame) -> DataFrame:
 def normalize_cube(payloads: DataFrame, prefixes: DataFrame, national_code: str = "9999") -> DataFrame:
     """Cube cells to observations. Missing texts and the national total are skipped."""
     rows = cube_cells(payloads).where(F.col("vervar.val") != national_code)
-    rows = rows.join(F.broadcast(prefixes), F.col("var.val") == F.col("variable_id"))
+    rows = rows.join(prefixes, F.col("var.val") == F.col("variable_id"))
     return rows.select(
         series_code(F.col("code_prefix"), F.col("turvar.val"), F.col("turtahun.val")).alias("indicator_code"),
         series_name(F.trim("var.label"), F.trim("turvar.label"), F.trim("turtahun.label")).alias("indicator_name"),
