@@ -21,7 +21,7 @@ def _(lake):
 SELECT doc_id, sha256(lower(trim(regexp_replace(replace(replace('  ' || text || chr(8203), chr(160), ' '), chr(8203), ''), '[ \t\n\x0B\f\r]+', ' ', 'g')))) AS label_hash FROM documents
 """)
 def _(lake):
-    noisy = F.concat(F.lit("  "), F.col("text"), F.lit("​"))
+    noisy = F.concat(F.lit("  "), F.col("text"), F.lit("\u200b"))
     return lake.documents.select("doc_id", F.sha2(text.normalize_label(noisy), 256).alias("label_hash"))
 
 
