@@ -7,6 +7,7 @@ from tidemark.operators import ops
 from tidemark.plans.oracle_tables import TABLES
 from tidemark.plans.q_aggregates import event_observations, now
 from tidemark.plans.registry import query
+from tidemark.session import work_folder
 from tidemark.sources import reference_tables as ref
 from tidemark.streaming import event_windows, stream_ingest
 
@@ -79,16 +80,21 @@ def _(lake):
     return due(lake).select("source_code", "scheduled_period")
 
 
+def _stream_folders(lake):
+    root = work_folder(lake.spark)
+    return f"{root}/table", f"{root}/checkpoint"
+
+
 @query("stream_freshness", """
 SELECT event_type, date_trunc('day', ts) AS window_start, count(*) AS event_count, R(sum(value::DECIMAL(24,6))::DOUBLE / count(*)::DOUBLE) AS mean_value FROM events
 GROUP BY 1, 2 HAVING date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 2 HOUR FROM events)
 """)
 def _(lake):
-    return event_windows.run_event_windows(lake.spark, f"{lake.folder}/events.parquet")
+    return event_windows.run_event_windows(lake.spark, f"{lake.folder}/events.parquet", *_stream_folders(lake))
 
 
 @query("stream_ingest_upsert", """
 SELECT event_type AS indicator_code, 'u' || user_id AS region_code, ts::DATE AS observation_date, R(arg_max(value, (ts, value))) AS value FROM events GROUP BY 1, 2, 3
 """)
 def _(lake):
-    return stream_ingest.run_event_upsert(lake.spark, f"{lake.folder}/events.parquet")
+    return stream_ingest.run_event_upsert(lake.spark, f"{lake.folder}/events.parquet", *_stream_folders(lake))

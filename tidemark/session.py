@@ -1,22 +1,22 @@
-"""Session settings and the shared folder for intermediate tables."""
+"""Session settings and intermediate tables."""
 
 from __future__ import annotations
 
-import tempfile
+import os
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-_own_folders: dict[str, str] = {}
-
 
 def get_session(name: str = "tidemark", cores: str | int = "*", **conf: str) -> SparkSession:
+    """A session; `SPARK_MASTER` and `SPARK_SHUFFLE_PARTITIONS` choose another master than local and another partition count than 8."""
     builder = (
-        SparkSession.builder.master(f"local[{cores}]")
+        SparkSession.builder.master(os.environ.get("SPARK_MASTER", f"local[{cores}]"))
         .appName(name)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", os.environ.get("SPARK_SHUFFLE_PARTITIONS", "8"))
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
     )
@@ -25,25 +25,24 @@ def get_session(name: str = "tidemark", cores: str | int = "*", **conf: str) ->
     return builder.getOrCreate()
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors reach: `spark.checkpoint.dir`, or a temporary one if unset."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _own_folders:
-        _own_folders[app] = tempfile.mkdtemp(prefix="tidemark-")
-    return _own_folders[app]
-
-
 def settle(frame: DataFrame) -> DataFrame:
-    """Write a frame once to the shared folder and go on from the written table.
+    """Compute a frame that feeds several branches of one query only once.
 
-    Used where a derived table feeds several branches of one query: the inputs are scanned
-    once, lost executors cost no recomputation, and the file sizes give the optimizer real
-    statistics for its broadcast decisions.
+    On a cluster `spark.checkpoint.dir` names a folder that all executors share: the frame is
+    written there and read back, so a lost executor costs no recomputation and the file sizes
+    give the optimizer real statistics. Where it is unset, Spark keeps the rows itself, with
+    their lineage (`persist`, in memory and on disk); nothing is ever put in a machine-local folder.
     """
     spark = frame.sparkSession
-    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        return frame.persist(StorageLevel.MEMORY_AND_DISK)
+    path = f"{folder.rstrip('/')}/{uuid.uuid4().hex}"
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+def work_folder(spark: SparkSession) -> str:
+    """A new folder all executors share, for streams: under `spark.checkpoint.dir`, or else the warehouse."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"

@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import dbl, exact
-from tidemark.session import shared_folder
 
 
 def event_windows(stream: DataFrame, width: str = "1 day", delay: str = "2 hours") -> DataFrame:
@@ -23,16 +20,15 @@ def event_windows(stream: DataFrame, width: str = "1 day", delay: str = "2 hours
     )
 
 
-def run_event_windows(spark: SparkSession, source: str, width: str = "1 day", delay: str = "2 hours") -> DataFrame:
-    """Process what is there, then stop; windows the watermark has closed are in the result."""
-    base = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+def run_event_windows(spark: SparkSession, source: str, table: str, checkpoint: str, width: str = "1 day", delay: str = "2 hours") -> DataFrame:
+    """Process what is there into `table`, then stop; windows the watermark has closed are in the result."""
     schema = spark.read.parquet(source).schema
     folder, pattern = source.rsplit("/", 1)
     stream = spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(folder)
     result = event_windows(stream, width, delay)
     running = (
-        result.writeStream.outputMode("append").format("parquet").option("path", f"{base}/out")
-        .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
+        result.writeStream.outputMode("append").format("parquet").option("path", table)
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
     running.awaitTermination()
-    return spark.read.schema(result.schema).parquet(f"{base}/out")
+    return spark.read.schema(result.schema).parquet(table)

@@ -8,14 +8,11 @@ again after a failure writes the same folder again, so every file counts once.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import shared_folder
-
 
 def _latest_rows(frame: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     rest = [c for c in frame.columns if c not in keys and c != "batch"]
@@ -51,9 +48,8 @@ def compact(spark: SparkSession, root: str, target: str, keys: list[str], order:
     current(spark, root, keys, order).write.mode("errorifexists").parquet(f"{target}/batch={0:09d}")
 
 
-def run_event_upsert(spark: SparkSession, source: str) -> DataFrame:
+def run_event_upsert(spark: SparkSession, source: str, table: str, checkpoint: str) -> DataFrame:
     """Events as a stream of observations: the last value per type, user and day wins."""
-    base = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
     folder, pattern = source.rsplit("/", 1)
     stream = spark.readStream.schema(spark.read.parquet(source).schema).option("pathGlobFilter", pattern).parquet(folder)
     rows = stream.select(
@@ -61,6 +57,6 @@ def run_event_upsert(spark: SparkSession, source: str) -> DataFrame:
         F.to_date("ts").alias("observation_date"), "value", F.col("ts").alias("ingested_at"),
     )
     keys = ["indicator_code", "region_code", "observation_date"]
-    run_ingest(rows, f"{base}/table", f"{base}/checkpoint", keys, "ingested_at",
+    run_ingest(rows, table, checkpoint, keys, "ingested_at",
                lambda frame: frame.where(F.col("value").isNotNull()))
-    return current(spark, f"{base}/table", keys, "ingested_at").drop("ingested_at")
+    return current(spark, table, keys, "ingested_at").drop("ingested_at")
