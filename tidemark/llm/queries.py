@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat_format, quality_rules, sql
+from tidemark.llm import chat_format, mixing, quality_rules, simhash, sql
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -30,6 +30,14 @@ def op3_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat_format.digest(chat_format.examples(turns.unionByName(more)))
 
 
+def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, folder, "documents"))
+
+
+def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.taken_words(mixing.plan(_table(spark, folder, "documents").select("doc_id", "source", "text")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: build for name, build in globals().items() if name.startswith("op")}
 

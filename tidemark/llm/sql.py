@@ -29,3 +29,20 @@ SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) |
   sum(upto) FILTER (role = 'assistant' OR i = n)::BIGINT AS formatted_chars
 FROM p GROUP BY 1
 """
+
+ORACLES["op8_mixing"] = r"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
+s AS (SELECT *, [3, 1, 2][(no - 1) % 3 + 1] AS weight, 2 * source_size AS cap FROM (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS no FROM d GROUP BY 1)),
+l AS (SELECT *, row_number() OVER w AS place, (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(cap) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+  / (sum(weight) OVER () - coalesce(sum(weight) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE AS level FROM s WINDOW w AS (ORDER BY cap / weight, no)),
+f AS (SELECT place, level FROM l WHERE cap / weight >= level ORDER BY place LIMIT 1),
+t AS (SELECT l.*, CASE WHEN l.place >= f.place THEN weight * f.level ELSE cap::DOUBLE END AS target FROM l, f),
+b AS (SELECT least(1024, greatest(1, sum(floor(target)::BIGINT) // 65536))::BIGINT AS block, sum(floor(target)::BIGINT)::BIGINT AS mixed FROM t),
+c AS (SELECT *, sum(floor(target)::BIGINT) OVER (ORDER BY no) AS upto FROM t),
+p AS (SELECT no, floor((upto - floor(target)::BIGINT)::DOUBLE / mixed::DOUBLE * 4294967296.0::DOUBLE)::BIGINT AS low, floor(upto::DOUBLE / mixed::DOUBLE * 4294967296.0::DOUBLE)::BIGINT AS high FROM c, b),
+g AS (SELECT (i * 2654435769) % 4294967296 AS u FROM b, range(0, (mixed + block - 1) // block) AS r(i)),
+k AS (SELECT no, count(*) AS slots FROM g JOIN p ON u >= low AND u < high GROUP BY 1),
+o AS (SELECT doc_id, size, no, (sum(size) OVER (PARTITION BY no ORDER BY md5(coalesce(doc_id::VARCHAR, '')), doc_id, size ROWS UNBOUNDED PRECEDING) - size) AS start FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target, (greatest(0, least(size, coalesce(slots, 0) * block - start)) + greatest(0, least(size, coalesce(slots, 0) * block - source_size - start)))::BIGINT AS taken
+FROM o JOIN t USING (no) LEFT JOIN k USING (no), b
+"""
