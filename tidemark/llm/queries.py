@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat_format, mixing, quality_rules, simhash, sql
+from tidemark.llm import chat_format, mixing, quality_rules, simhash, sql, url_filter
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -23,6 +23,10 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.judge(_table(spark, folder, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict", "listed")
+
+
 def op3_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     says = "<|im_end|><|im_start|>assistant ok"
     more = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(says).alias("text"))

@@ -46,3 +46,12 @@ o AS (SELECT doc_id, size, no, (sum(size) OVER (PARTITION BY no ORDER BY md5(coa
 SELECT doc_id, size, source_size, target, (greatest(0, least(size, coalesce(slots, 0) * block - start)) + greatest(0, least(size, coalesce(slots, 0) * block - source_size - start)))::BIGINT AS taken
 FROM o JOIN t USING (no) LEFT JOIN k USING (no), b
 """
+
+ORACLES["op2_url_filter"] = r"""
+WITH u AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)([^?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)([^?#]*)', 2, 's') AS path FROM pages),
+r AS (SELECT * FROM (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')) AS t(says, name, start)),
+m AS (SELECT u.*, CASE WHEN list_has_any(string_split_regex(host, '[.-]'), ['ads', 'adult', 'bets', 'casino', 'pills', 'spam']) THEN true ELSE false END AS listed,
+  (SELECT max((length(name || start), name || start, says)) FROM r WHERE ends_with('.' || host, '.' || name) AND starts_with(path, start)) AS best FROM u)
+SELECT page_id, host, path, best[2] AS rule, coalesce(best[3], CASE WHEN listed THEN 'block' ELSE 'allow' END) AS verdict, listed FROM m
+"""
