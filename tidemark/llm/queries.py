@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat_format, mixing, quality_rules, simhash, sql, url_filter
+from tidemark.llm import chat_format, mixing, quality_rules, simhash, sql, threshold_search, url_filter
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -34,6 +34,10 @@ def op3_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat_format.digest(chat_format.examples(turns.unionByName(more)))
 
 
+def op4_threshold_search(spark: SparkSession, folder: str) -> DataFrame:
+    return threshold_search.search(_table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, folder, "documents"))
 

@@ -55,3 +55,12 @@ m AS (SELECT u.*, CASE WHEN list_has_any(string_split_regex(host, '[.-]'), ['ads
   (SELECT max((length(name || start), name || start, says)) FROM r WHERE ends_with('.' || host, '.' || name) AND starts_with(path, start)) AS best FROM u)
 SELECT page_id, host, path, best[2] AS rule, coalesce(best[3], CASE WHEN listed THEN 'block' ELSE 'allow' END) AS verdict, listed FROM m
 """
+
+ORACLES["op4_threshold_search"] = """
+WITH v AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, unnest(range(len(embedding))) AS d FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+q AS (SELECT vec_id, d, floor(64 * x)::BIGINT AS x FROM v),
+s AS (SELECT a.vec_id AS query_id, b.vec_id, sum(a.x * b.x)::BIGINT AS score FROM q a JOIN q b ON a.d = b.d AND a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0 GROUP BY 1, 2)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM s
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 20
+"""
