@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat_format, mixing, quality_rules, simhash, sql, threshold_search, url_filter
+from tidemark.llm import chat_format, language_id, mixing, quality_rules, rule_ensemble, simhash, sql, threshold_search, url_filter
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -38,6 +38,20 @@ def op4_threshold_search(spark: SparkSession, folder: str) -> DataFrame:
     return threshold_search.search(_table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op5_rule_ensemble(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
+    model = rule_ensemble.fit(docs, labels.where(~rule_ensemble.held_out(F.col("doc_id"))))
+    score = F.col("score")
+    return rule_ensemble.scored(docs, model, keep=["doc_id"]).select("doc_id", rule_ensemble.held_out(F.col("doc_id")).alias("held_out"), score, F.when(score >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
+def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text", "lang")
+    apart = rule_ensemble.held_out(F.col("doc_id"))
+    model = language_id.learn(docs.where(~apart))
+    return language_id.identify(docs, model, keep=["doc_id"]).select("doc_id", apart.alias("held_out"), "lang_pred", "score")
+
+
 def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, folder, "documents"))
 
