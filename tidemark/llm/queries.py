@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat_format, language_id, mixing, quality_rules, rule_ensemble, simhash, sql, threshold_search, url_filter
+from tidemark.llm import chat_format, language_id, license_scan, mixing, packing, quality_rules, rule_ensemble, simhash, sql, threshold_search, url_filter
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -60,6 +60,14 @@ def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.taken_words(mixing.plan(_table(spark, folder, "documents").select("doc_id", "source", "text")))
 
 
+def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.scan(_table(spark, folder, "documents"))
+
+
+def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(_table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: build for name, build in globals().items() if name.startswith("op")}
 
