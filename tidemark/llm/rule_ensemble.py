@@ -148,6 +148,13 @@ def scored(docs: DataFrame, model: RuleEnsemble, text: str = "text", keep: Seque
     return statistics(docs, text).withColumn("score", model.score()).select(*(docs.columns if keep is None else keep), "score")
 
 
+def accepted(docs: DataFrame, model: RuleEnsemble, threshold: float = 0.3, text: str = "text") -> DataFrame:
+    """The documents that score `threshold` or more. A generator picks them, since a filter would be
+    moved below the statistics and work them out anew for each rule that names them."""
+    passing = F.filter(F.array(model.score()), lambda score: score >= threshold)
+    return statistics(docs, text).select(*docs.columns, F.explode(passing).alias("__score")).drop("__score")
+
+
 def held_out(doc_id: Column) -> Column:
     """One fifth of the ids, by checksum; never learned from."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
