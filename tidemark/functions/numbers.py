@@ -41,8 +41,9 @@ def safe_percent_change(value: Column, previous: Column) -> Column:
 
 
 def growth_percent(value: Column, previous: Column) -> Column:
-    """Signed growth: a negative previous value flips the sign, zero gives NULL."""
-    return nan_to_null((dbl(value) / F.nullif(dbl(previous), F.lit(0.0)) - 1) * 100)
+    """Signed growth: a negative previous value flips the sign; zero, and what is not finite, give NULL."""
+    growth = (dbl(value) / F.nullif(dbl(previous), F.lit(0.0)) - 1) * 100
+    return F.when(is_finite(growth), growth)
 
 
 def numeric_token(text: Column) -> Column:

@@ -21,8 +21,9 @@ from tidemark.operators.windows import series_window
 
 # Fixed value: two-sided 95 percent point of the normal distribution.
 Z95 = 1.959963984540054
-THETAS = [round(-0.95 + 0.05 * i, 2) for i in range(39)]
-SEASONAL_GRID = [round(-0.8 + 0.2 * i, 1) for i in range(9)]
+# Grids over the whole open interval (-1, 1); a fit at an end means that the optimum lies there.
+THETAS = [round(-0.99 + 0.03 * i, 2) for i in range(67)]
+SEASONAL_GRID = [round(-0.99 + 0.18 * i, 2) for i in range(12)]
 SEASON = 12
 
 

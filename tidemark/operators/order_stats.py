@@ -1,9 +1,10 @@
 """Ranks, medians and quantiles that never sort a whole group in one task.
 
 Rows are first combined to one tally per distinct value, map-side. Tallies are then running-
-summed in value order. A group with more distinct values than `single_task_rows` is cut into
-value slices: each slice is summed by itself and offset by the slices below it, so the
-largest unit of work is one slice. All results are exact.
+summed in value order, slice by slice: approximate quantiles of all tallies cut every group at
+the same values, each slice is summed by itself and offset by the slices below it, so the largest
+unit of work is one slice of one group. Where the cuts fall does not change the results, which
+are exact. One plan serves every size; `slices` is the only setting.
 """
 
 from __future__ import annotations
@@ -12,40 +13,23 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.session import settle
 
-SINGLE_TASK_ROWS = 500_000
+SLICES = 64
 
 
-def running_tallies(
-    frame: DataFrame, groups: Sequence[str], value: str, single_task_rows: int = SINGLE_TASK_ROWS
-) -> DataFrame:
+def running_tallies(frame: DataFrame, groups: Sequence[str], value: str, slices: int = SLICES) -> DataFrame:
     """Distinct values per group with `ties`, `upto` (rows at or below) and `total`."""
     groups = list(groups)
     tallies = settle(
         frame.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("ties"))
     )
-    sizes = tallies.groupBy(*groups).count().agg(F.max("count"), F.sum("count")).first()
-    largest, rows = sizes[0] or 0, sizes[1] or 0
-    if largest <= single_task_rows:
-        group = Window.partitionBy(*groups)
-        upto = group.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-        return tallies.select(
-            "*", F.sum("ties").over(upto).alias("upto"), F.sum("ties").over(group).alias("total")
-        )
-    return _sliced_tallies(tallies, groups, value, rows, single_task_rows)
-
-
-def _sliced_tallies(
-    tallies: DataFrame, groups: list[str], value: str, rows: int, single_task_rows: int
-) -> DataFrame:
-    slices = max(2, -(-rows // single_task_rows))
-    # Range partitioning by (group, value) cuts large groups by value and keeps slices in
-    # order. The slice number is written with the rows, so both branches below see the same.
-    sliced = settle(
-        tallies.repartitionByRange(slices, *groups, value).withColumn("__slice", F.spark_partition_id())
-    )
+    cuts = tallies.agg(F.percentile_approx(value, [i / slices for i in range(1, slices)])).first()[0] or []
+    # The cuts are a short literal list, so a row's slice is an expression of its value.
+    literal = F.array(*(F.lit(c) for c in sorted(set(cuts)))).cast(T.ArrayType(tallies.schema[value].dataType))
+    sliced = tallies.withColumn("__slice", F.size(F.filter(literal, lambda cut: cut < F.col(value))))
     group = Window.partitionBy(*groups)
     below = group.orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sliced.groupBy(*groups, "__slice").agg(F.sum("ties").alias("__rows")).select(
@@ -67,7 +51,7 @@ def _join_groups(rows: DataFrame, per_group: DataFrame, keys: list[str], how: st
 
 
 def cross_section(
-    frame: DataFrame, groups: Sequence[str], value: str, single_task_rows: int = SINGLE_TASK_ROWS
+    frame: DataFrame, groups: Sequence[str], value: str, slices: int = SLICES
 ) -> DataFrame:
     """Add group mean, value count, descending rank and ascending percent rank to every row.
 
@@ -76,7 +60,7 @@ def cross_section(
     handling of adaptive execution. Rows without a value stay, unranked.
     """
     groups = list(groups)
-    tallies = running_tallies(frame, groups, value, single_task_rows)
+    tallies = running_tallies(frame, groups, value, slices)
     sums = tallies.groupBy(*groups).agg(
         F.sum(F.col(value) * F.col("ties").cast("decimal(12,0)")).alias("__sum"),
         F.sum("ties").alias("group_count"),
@@ -95,11 +79,11 @@ def cross_section(
 
 def quantiles(
     frame: DataFrame, groups: Sequence[str], value: str, probabilities: dict[str, float],
-    single_task_rows: int = SINGLE_TASK_ROWS,
+    slices: int = SLICES,
 ) -> DataFrame:
     """Linearly interpolated quantiles per group, one column per probability."""
     groups = list(groups)
-    tallies = running_tallies(frame, groups, value, single_task_rows)
+    tallies = running_tallies(frame, groups, value, slices)
     number = F.col(value).cast("double")
     aggregates = []
     for name, p in probabilities.items():
@@ -117,9 +101,9 @@ def quantiles(
 
 
 def average_ranks(frame: DataFrame, groups: Sequence[str], value: str, name: str,
-                  single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
+                  slices: int = SLICES) -> DataFrame:
     """Ascending rank per group with ties sharing their mean rank."""
     groups = list(groups)
-    tallies = running_tallies(frame, groups, value, single_task_rows)
+    tallies = running_tallies(frame, groups, value, slices)
     middle = F.col("upto").cast("double") - (F.col("ties") - 1).cast("double") / 2
     return _join_groups(frame, tallies.select(*groups, value, middle.alias(name)), [*groups, value], "left")

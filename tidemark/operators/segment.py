@@ -37,7 +37,11 @@ def regional_features(frame: DataFrame, min_features: int = 2, min_regions: int
 
 
 def feature_matrix(features: DataFrame, codes: list[str]) -> DataFrame:
-    return features.groupBy("region_code").pivot("indicator_code", codes).agg(F.max("value")).dropna()
+    """One row per region and one column per indicator. Two values for one cell are refused, not merged; indicators not in `codes` are left out."""
+    cells = features.where(F.col("indicator_code").isin(codes)).groupBy("region_code", "indicator_code").agg(F.max("value").alias("value"), F.count(F.lit(1)).alias("n"))
+    twice = F.raise_error(F.concat(F.lit("duplicate cell "), F.col("region_code"), F.lit(" "), F.col("indicator_code")))
+    cells = cells.withColumn("value", F.when(F.col("n") > 1, twice.cast("double")).otherwise(F.col("value"))).drop("n")
+    return cells.groupBy("region_code").pivot("indicator_code", codes).agg(F.max("value")).dropna()
 
 
 def _scaled(matrix: DataFrame, codes: list[str]) -> DataFrame:
@@ -45,7 +49,7 @@ def _scaled(matrix: DataFrame, codes: list[str]) -> DataFrame:
     return StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True).fit(vectors).transform(vectors)
 
 
-def regional_clusters(matrix: DataFrame, codes: list[str], max_clusters: int = 6, starts: int = 5, seed: int = 42) -> DataFrame:
+def regional_clusters(matrix: DataFrame, codes: list[str], max_clusters: int = 6, starts: int = 20, iterations: int = 300, seed: int = 42) -> DataFrame:
     """region_code, cluster, pca_1, pca_2, silhouette, cluster_count for the best k.
 
     The number of fits is fixed (k × starts); each fit is a distributed job over the rows.
@@ -57,7 +61,7 @@ def regional_clusters(matrix: DataFrame, codes: list[str], max_clusters: int = 6
         raise ValueError("clustering needs at least four regions and two indicators")
     best = None
     for k in range(2, upper + 1):
-        fits = [KMeans(k=k, seed=seed + i, maxIter=50).fit(scaled) for i in range(starts)]
+        fits = [KMeans(k=k, seed=seed + i, maxIter=iterations).fit(scaled) for i in range(starts)]
         model = min(fits, key=lambda m: m.summary.trainingCost)
         assigned = model.transform(scaled)
         if sum(size > 0 for size in model.summary.clusterSizes) < 2:

@@ -50,7 +50,11 @@ def write_snapshot(frame: DataFrame, root: str, version: str, partition_by: list
 
 
 def read_latest_snapshot(spark: SparkSession, root: str) -> DataFrame:
-    """The newest version of a table; files appear only when their write job commits."""
-    table = spark.read.parquet(root)
-    newest = table.agg(F.max("version")).first()[0]
-    return table.where(F.col("version") == newest).drop("version")
+    """The newest committed version of a table, found by listing the version folders; no data of other versions is read."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [status.getPath().getName() for status in system.listStatus(folder)]
+    written = [n for n in names if n.startswith("version=") and system.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{n}/_SUCCESS"))]
+    if not written:
+        raise FileNotFoundError(f"no version of a table in {root}")
+    return spark.read.parquet(f"{root.rstrip('/')}/{max(written)}")

@@ -73,14 +73,14 @@ def group_comparison(staged: DataFrame, members: DataFrame) -> DataFrame:
     )
 
 
-def regional_analysis(staged: DataFrame, single_task_rows: int | None = None) -> DataFrame:
+def regional_analysis(staged: DataFrame, slices: int | None = None) -> DataFrame:
     """Provinces: year-over-year change per series, mean and rank per indicator and date.
 
     The number of provinces per date is unbounded, so ranks come from running tallies, not
     from a window over the whole cross-section.
     """
     rows = settle(staged)
-    options = {} if single_task_rows is None else {"single_task_rows": single_task_rows}
+    options = {} if slices is None else {"slices": slices}
     ranked = cross_section(rows, ["indicator_code", "observation_date"], "value", **options)
     changed = neighbours(ranked, SERIES_KEY, {"observation_date": "observation_date", "value": "value"}, following=False)
     guard = consecutive("previous_observation_date", "observation_date")

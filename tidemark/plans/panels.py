@@ -29,13 +29,13 @@ def country_code(nation_key: str | Column) -> Column:
     return F.concat(F.lit("N"), F.lpad(key.cast("string"), 2, "0"))
 
 
-def hundredths(column: str) -> Column:
-    """Line measures carry two decimals: as whole hundredths their sums are exact and cheap."""
-    return F.round(F.col(column) * 100).cast("bigint")
+def millionths(column: str) -> Column:
+    """Line measures in whole millionths, the precision of VALUE: their sums are exact and stay cheap longs."""
+    return F.round(F.col(column) * 1_000_000).cast("bigint")
 
 
-def from_hundredths(column: str) -> Column:
-    return F.col(column).cast("decimal(22,0)") * F.lit(Decimal("0.01"))
+def from_millionths(column: str) -> Column:
+    return F.col(column).cast("decimal(22,0)") * F.lit(Decimal("0.000001"))
 
 
 def order_day() -> Column:
@@ -49,9 +49,9 @@ def customer_nation(lake: Lake) -> DataFrame:
 def annual_wide(lake: Lake) -> DataFrame:
     """Nation × year: orders, revenue, discount sum and count, customers, units."""
     lines = lake.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
-        F.sum(hundredths("l_discount")).alias("discount_sum"),
+        F.sum(millionths("l_discount")).alias("discount_sum"),
         F.count(F.lit(1)).alias("line_count"),
-        F.sum(hundredths("l_quantity")).alias("quantity"),
+        F.sum(millionths("l_quantity")).alias("quantity"),
     )
     per_customer = (
         lake.orders.select("o_orderkey", "o_custkey", year_start("o_orderdate").alias("observation_date"),
@@ -92,19 +92,19 @@ def _long(wide: DataFrame, region_id: Column, source: str, cells: dict[int, Colu
 
 
 def annual_facts(lake: Lake) -> DataFrame:
-    discount = F.round(100 * dbl(from_hundredths("discount_sum")) / dbl("line_count"), 6)
+    discount = F.round(100 * dbl(from_millionths("discount_sum")) / dbl("line_count"), 6)
     return _long(annual_wide(lake), F.col("nation_key"), "ledger_annual", {
-        1: F.col("orders"), 2: F.col("revenue"), 3: discount, 4: F.col("customers"), 5: from_hundredths("quantity"),
+        1: F.col("orders"), 2: F.col("revenue"), 3: discount, 4: F.col("customers"), 5: from_millionths("quantity"),
     })
 
 
 def regional_facts(lake: Lake) -> DataFrame:
     wide = lake.lineitem.groupBy("l_suppkey", year_start("l_shipdate").alias("observation_date")).agg(
-        F.sum(hundredths("l_tax")).alias("tax_sum"), F.count(F.lit(1)).alias("line_count"),
-        F.sum(hundredths("l_quantity")).alias("quantity"), F.max("l_shipdate").alias("ingested_at"),
+        F.sum(millionths("l_tax")).alias("tax_sum"), F.count(F.lit(1)).alias("line_count"),
+        F.sum(millionths("l_quantity")).alias("quantity"), F.max("l_shipdate").alias("ingested_at"),
     )
-    tax = F.round(100 * dbl(from_hundredths("tax_sum")) / dbl("line_count"), 6)
-    return _long(wide, SUPPLIER_BASE + F.col("l_suppkey"), "ledger_regional", {6: tax, 7: from_hundredths("quantity")})
+    tax = F.round(100 * dbl(from_millionths("tax_sum")) / dbl("line_count"), 6)
+    return _long(wide, SUPPLIER_BASE + F.col("l_suppkey"), "ledger_regional", {6: tax, 7: from_millionths("quantity")})
 
 
 def daily_rates(lake: Lake) -> DataFrame:
@@ -175,17 +175,15 @@ def star_join(fact: DataFrame, region: DataFrame, source: str | None = None) ->
     if source:
         fact = fact.where(F.col("source_id") == ref.SOURCE_IDS[source])
         source_dim = source_dim.where(F.col("source_code") == source)
-    dates = ref.calendar(spark).withColumnRenamed("full_date", "observation_date")
     return (
         fact.join(ref.indicators(spark), "indicator_id")
         .join(region, "region_id")
         .join(source_dim, "source_id")
-        .join(dates, "observation_date")
         .select(
             "indicator_code", "indicator_name", "unit", "frequency", "region_code", "region_name",
             "region_level", "parent_region_code", "source_code", "source_name", "observation_date",
-            F.col("year").alias("observation_year"), F.col("quarter").alias("observation_quarter"),
-            F.col("month").alias("observation_month"), "value", "ingested_at",
+            F.year("observation_date").alias("observation_year"), F.quarter("observation_date").alias("observation_quarter"),
+            F.month("observation_date").alias("observation_month"), "value", "ingested_at",
         )
     )
 

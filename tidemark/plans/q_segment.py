@@ -12,7 +12,7 @@ CODES = {"R.543.TV0.TP0": "tax", "R.1975.TV0.TP0": "quantity"}
 
 def matrix(lake):
     features = segment.regional_features(settle(panels.staged(lake, "ledger_regional")))
-    named = features.withColumn("indicator_code", F.when(F.col("indicator_code") == "R.543.TV0.TP0", "tax").otherwise("quantity"))
+    named = features.withColumn("indicator_code", F.element_at(F.create_map(*(F.lit(x) for pair in CODES.items() for x in pair)), F.col("indicator_code")))
     return segment.feature_matrix(named, list(CODES.values()))
 
 

@@ -155,8 +155,7 @@ def _(lake):
 SELECT DISTINCT I(year(o_orderdate) * 10000 + month(o_orderdate) * 100 + day(o_orderdate)) AS date_id, o_orderdate::DATE AS full_date, I(year(o_orderdate)) AS year, I(quarter(o_orderdate)) AS quarter, I(month(o_orderdate)) AS month FROM orders
 """)
 def _(lake):
-    days = lake.orders.select(F.to_date("o_orderdate").alias("full_date")).distinct()
-    return ref.calendar(lake.spark).join(days, "full_date", "left_semi")
+    return ref.date_dimension(lake.orders.select(F.to_date("o_orderdate").alias("full_date")))
 
 
 @query("sink_labels", """SELECT s_suppkey AS "Supplier id", s_name AS "Name, full", R(s_acctbal) AS "Balance" FROM supplier""")

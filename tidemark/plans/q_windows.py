@@ -8,7 +8,7 @@ from tidemark.operators import ops, readers, stats
 from tidemark.operators.anomaly import rolling_mad_anomalies, scored_changes
 from tidemark.operators.calendar import calendar_slots
 from tidemark.operators.forecast import naive_predictions
-from tidemark.operators.order_stats import cross_section
+from tidemark.operators.order_stats import cross_section, running_tallies
 from tidemark.operators.rules import set_difference
 from tidemark.operators.windows import gaps, latest_per_group, neighbours, newest, rolling_mean, series_window
 from tidemark.plans import marts, panels
@@ -71,7 +71,7 @@ SELECT l_returnflag, l_orderkey, l_linenumber, l_partkey, l_suppkey, R(l_extende
 def _(lake):
     # Three groups for the whole table: each is cut into value slices.
     rows = lake.lineitem.select("l_returnflag", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_extendedprice").cast("decimal(24,6)").alias("price"))
-    ranked = cross_section(rows, ["l_returnflag"], "price", single_task_rows=20_000)
+    ranked = cross_section(rows, ["l_returnflag"], "price", slices=16)
     return ranked.select("l_returnflag", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "price", F.col("rank_desc").alias("price_rank"))
 
 
@@ -368,18 +368,19 @@ def _(lake):
 
 @query("region_ranking", """
 SELECT region_code, region_name, R(value) AS value, row_number() OVER (ORDER BY value DESC, region_code) AS position FROM (
-  SELECT * FROM stg_regional WHERE indicator_code = 'R.1975.TV0.TP0' AND observation_date = (SELECT max(observation_date) FROM stg_regional)) ORDER BY value DESC, region_code LIMIT 50
+  SELECT * FROM stg_regional WHERE indicator_code = 'R.1975.TV0.TP0' AND observation_date = (SELECT max(observation_date) FROM stg_regional))
 """)
 def _(lake):
     rows = settle(panels.staged(lake, "ledger_regional"))
     last = rows.agg(F.max("observation_date").alias("observation_date"))
-    top = (
+    latest = settle(
         rows.where("indicator_code = 'R.1975.TV0.TP0'").join(F.broadcast(last), "observation_date", "left_semi")
-        .select("region_code", "region_name", "value").orderBy(F.col("value").desc(), "region_code").limit(50)
+        .select("region_code", "region_name", "value")
     )
-    # The report holds 50 rows, so numbering it in one task is bounded.
-    position = F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(F.col("value").desc(), "region_code"))
-    return top.withColumn("position", position)
+    # Regions above, from the tallies of all values; regions of one value are numbered by code.
+    tallies = running_tallies(latest, [], "value").select("value", (F.col("total") - F.col("upto")).alias("above"))
+    among_equals = F.row_number().over(Window.partitionBy("value").orderBy("region_code"))
+    return latest.join(tallies, "value").select("region_code", "region_name", "value", (F.col("above") + among_equals).alias("position"))
 
 
 @query("literal_union", "SELECT region_code, member_since FROM d_member WHERE region_code IN (SELECT region_code FROM stg_annual)")

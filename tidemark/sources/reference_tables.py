@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Indicator catalog (id, code, name, unit, frequency).
 INDICATORS = [
@@ -105,11 +106,9 @@ def schedules(spark: SparkSession) -> DataFrame:
     return literal_table(spark, SCHEDULES, SCHEDULE_COLUMNS)
 
 
-def calendar(spark: SparkSession, start: str = "1990-01-01", end: str = "2030-12-31") -> DataFrame:
-    """Date dimension over a fixed span: its size depends on the span alone."""
-    return spark.sql(
-        f"SELECT explode(sequence(DATE'{start}', DATE'{end}', INTERVAL 1 DAY)) AS full_date"
-    ).selectExpr(
+def date_dimension(dates: DataFrame, date: str = "full_date") -> DataFrame:
+    """One row for each date that occurs, whatever its year."""
+    return dates.where(F.col(date).isNotNull()).select(F.col(date).alias("full_date")).distinct().selectExpr(
         "CAST(year(full_date) * 10000 + month(full_date) * 100 + day(full_date) AS INT) AS date_id",
         "full_date", "year(full_date) AS year", "quarter(full_date) AS quarter", "month(full_date) AS month",
     )
