@@ -140,11 +140,14 @@ def membership(universe: DataFrame, bits_per_key: int = 8, hashes: int = 4, most
     """Cascades over `universe`, one row per key: key, listed (a boolean). A null key is treated as empty text."""
     universe = settle(universe.groupBy(F.coalesce("key", F.lit("")).alias("key")).agg(F.bool_or("listed").alias("listed")))
     n_listed, n_other = universe.agg(F.count_if("listed"), F.count_if(~F.col("listed"))).first()
-    # A level passes under a tenth of the keys it was not made of; twice that, summed over all levels, bounds the size.
-    bound = bits_per_key * (n_listed + 0.2 * (n_listed + n_other)) / 8
-    parts = max(1, -(-int(bound) // most_bytes))
-    part = F.pmod(F.xxhash64("key", F.lit("part")), F.lit(parts))
-    return Membership(tuple(_cascade(universe.where(part == i) if parts > 1 else universe, bits_per_key, hashes) for i in range(parts)))
+    # A level of the standard settings passes a tenth at most of the keys it was not made of: the first guess.
+    parts = max(1, -(-int(bits_per_key * (n_listed + 0.2 * (n_listed + n_other)) / 8) // most_bytes))
+    while True:
+        part = F.pmod(F.xxhash64("key", F.lit("part")), F.lit(parts))
+        made = Membership(tuple(_cascade(universe.where(part == i) if parts > 1 else universe, bits_per_key, hashes) for i in range(parts)))
+        if parts > n_listed + n_other or all(8 * sum(len(level.words) for level in c.levels) <= most_bytes for c in made.cascades):
+            return made
+        parts *= 2
 
 
 #: Parts of host names, between dots and hyphens, that put a host on the list.
