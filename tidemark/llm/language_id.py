@@ -26,7 +26,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import settle
@@ -106,20 +106,22 @@ def learn(docs: DataFrame, most_texts: int = 2000, most_words: int = 40_000, mos
     found = F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("word")
     words = settle(picked.select("lang", found).where("word <> ''").groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")))
     marked = F.concat(F.lit(" "), F.col("word"), F.lit(" "))
-    pieces = F.flatten(F.array(*(F.when(F.length(marked) >= n, F.transform(F.sequence(F.lit(1), F.length(marked) - n + 1), lambda i, n=n: F.substring(marked, i, F.lit(n)))).otherwise(F.array().cast("array<string>")) for n in orders)))
-    grams = words.select("lang", "n", F.explode(pieces).alias("gram")).where("trim(gram) <> ''").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-
-    def largest(frame: DataFrame, key: str, most: int) -> dict[str, dict[str, int]]:
-        out: dict[str, dict[str, int]] = {}
-        for language in languages:
-            rows = frame.where(F.col("lang") == language).orderBy(F.desc("n"), key).limit(most).collect()
-            out[language] = {row[key]: row.n for row in rows}
-        return out
-
-    grams = settle(grams)
-    keys, tables, maps, at = {}, [], {}, 0
-    for n, counts in [(0, largest(words, "word", most_words)), *((n, largest(grams.where(F.length("gram") == n), "gram", most_grams)) for n in orders)]:
-        keys, table = _log_frequencies(counts, languages)
+
+    def pieces(n: int) -> Column:
+        cut = F.transform(F.sequence(F.lit(1), F.length(marked) - n + 1), lambda i: F.substring(marked, i, F.lit(n)))
+        return F.when(F.length(marked) >= n, cut).otherwise(F.array().cast("array<string>"))
+
+    grams = words.select("lang", "n", F.explode(F.flatten(F.array(*map(pieces, orders)))).alias("key")).where("trim(key) <> ''")
+    grams = grams.groupBy(F.length("key").alias("size"), "lang", "key").agg(F.sum("n").alias("n"))
+    counted = words.select(F.lit(0).alias("size"), "lang", F.col("word").alias("key"), "n").unionByName(grams)
+    largest = Window.partitionBy("size", "lang").orderBy(F.desc("n"), "key")
+    kept = counted.withColumn("place", F.row_number().over(largest)).where(F.col("place") <= F.when(F.col("size") == 0, most_words).otherwise(most_grams))
+    counts: dict[int, dict[str, dict[str, int]]] = {n: {} for n in (0, *orders)}
+    for row in kept.where(f"place <= {max(most_words, most_grams)}").select("size", "lang", "key", "n").collect():  # bounded by the parameters
+        counts[row["size"]].setdefault(row.lang, {})[row.key] = row.n
+    tables, maps, at = [], {}, 0
+    for n, found in counts.items():
+        keys, table = _log_frequencies(found, languages)
         maps[n] = {key: at + i for i, key in enumerate(keys)}
         tables.append(table)
         at += len(keys)
