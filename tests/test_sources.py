@@ -21,10 +21,15 @@ def test_indicator_files(spark, tmp_path):
         (tmp_path / f"bad{i}.json").write_text(json.dumps(bad))
     payloads = landed.read_payloads(spark, str(tmp_path))
     assert {r.file for r in landed.envelope_issues(payloads).collect()} == {f"bad{i}.json" for i in range(4)}
+    with pytest.raises(Exception, match="bad_envelope"):
+        landed.indicator_records(payloads).select("period").collect()
+    payloads = payloads.where("file = 'good.json'")
     catalog = spark.createDataFrame([("X", "Growth", "percent", "annual")], "indicator_code string, indicator_name string, unit string, frequency string")
     rows = landed.normalize_records(landed.indicator_records(payloads), catalog).orderBy("observation_date").collect()
     assert [(r.observation_date, r.value, r.unit) for r in rows] == [(date(2021, 1, 1), Decimal("3.700000"), "percent"), (date(2023, 1, 1), Decimal("5.050000"), "percent")]
     assert landed.unknown_codes(landed.indicator_records(payloads), catalog.where("false")).count() == 1
+    with pytest.raises(Exception, match="unknown_code"):
+        landed.normalize_records(landed.indicator_records(payloads), catalog.where("false")).collect()
 
 
 def page(number, pages, rows, status="OK"):
@@ -34,8 +39,10 @@ def page(number, pages, rows, status="OK"):
 def test_pages(spark):
     rows = [("a", 1, page(1, 2, [{"domain_id": "1100"}])), ("a", 2, page(2, 2, [{"domain_id": "1200"}])), ("b", 1, page(1, 2, [{"domain_id": "1"}])), ("c", 1, page(2, 2, []))]
     payloads = spark.createDataFrame([(r, p, r, t) for r, p, t in rows], "request string, requested_page int, file string, payload string")
-    found = {(r.request, r.row["domain_id"]) for r in landed.paginated_records(payloads).collect()}
-    assert {("a", "1100"), ("a", "1200")} <= found
+    with pytest.raises(Exception, match="bad_page c 1"):
+        landed.paginated_records(payloads).collect()
+    found = {(r.request, r.row["domain_id"]) for r in landed.paginated_records(payloads.where("request <> 'c'")).collect()}
+    assert found == {("a", "1100"), ("a", "1200"), ("b", "1")}
     assert {tuple(r) for r in landed.page_issues(payloads).collect()} == {("b", "incomplete"), ("c", "bad_page"), ("c", "incomplete")}
 
 
@@ -64,6 +71,10 @@ def test_cube_drift(spark):
     issues = {(r.key, r.issue) for r in landed.cube_issues(payloads, regions, ["100"]).collect()}
     assert issues == {("7", "unknown_key"), ("120054301010", "unmapped_region"), ("110054301010", "ambiguous_format"),
                       ("110054301010", "unlisted_period"), ("120054301010", "unlisted_period")}
+    prefixes = spark.createDataFrame([("543", "S.543")], "variable_id string, code_prefix string")
+    assert [(r.key, r.issue) for r in landed.rejects(landed.checked_cube(payloads, prefixes, regions=regions)).collect()] == [("110054301010", "ambiguous_format")]
+    with pytest.raises(Exception, match="ambiguous_format 110054301010 1,5"):
+        landed.normalize_cube(payloads, prefixes).select("notes").collect()
 
 
 def rate(day, value, extra=""):
@@ -72,13 +83,17 @@ def rate(day, value, extra=""):
 
 
 def test_rate_files(spark, tmp_path):
-    days = [("2026-01-02", 16000), ("2026-01-30", 16200), ("2026-02-02", 16300), ("2026-02-27", 16500)]
+    days = [("2024-05-03", 101), ("2024-05-31", 107), ("2024-06-04", 90.5), ("2024-06-28", 91.5)]
     (tmp_path / "r.xml").write_text("<NewDataSet>" + "".join(rate(*d) for d in days) + "</NewDataSet>")
     records = landed.read_rate_xml(spark, str(tmp_path))
     rows = landed.normalize_rates(records).groupBy(F.month("observation_date").alias("m")).agg(F.avg("value").alias("v")).orderBy("m").collect()
-    assert [float(r.v) for r in rows] == [16100, 16400]
-    assert {r.issue: r.violations for r in landed.rate_issues(records, "2026-01-01", "2026-02-28").collect() if r.violations} == {}
-    assert {r.issue: r.violations for r in landed.rate_issues(records, "2026-01-01", "2026-02-15").collect() if r.violations} == {"outside_dates": 1}
+    assert [float(r.v) for r in rows] == [104, 91]
+    assert {r.issue: r.violations for r in landed.rate_issues(records, "2024-05-01", "2024-06-30").collect() if r.violations} == {}
+    assert {r.issue: r.violations for r in landed.rate_issues(records, "2024-05-01", "2024-06-15").collect() if r.violations} == {"outside_dates": 1}
+    odd = spark.createDataFrame([("<NewDataSet>" + rate("no date", 1) + rate("2024-05-06", "x") + rate("2024-05-07", 2, "<note>n</note>") + "</NewDataSet>",)], "payload string")
+    assert [r.issue for r in landed.checked_rates(landed.xml_rate_records(odd)).collect()] == ["bad_stamp", "bad_value", None]
+    assert [r.field for r in landed.unexpected_fields(odd).collect()] == ["note"]
+    assert {r.issue for r in landed.rate_issues(landed.xml_rate_records(odd), "2024-01-01", "2024-12-31").collect() if r.violations} >= {"bad_stamp"}
 
 
 def test_decision_file(spark, tmp_path):
@@ -96,8 +111,8 @@ def test_manifest(spark, tmp_path):
 
 
 def test_csv_cells_and_file(spark, tmp_path):
-    frame = spark.createDataFrame([("Jakarta, DKI", 'Data "resmi"', None)], "a string, b string, c string")
-    line = '"Jakarta, DKI","Data ""resmi""",'
+    frame = spark.createDataFrame([("North, upper", 'the "old" mill', None)], "a string, b string, c string")
+    line = '"North, upper","the ""old"" mill",'
     assert sinks.csv_lines(frame, ["a", "b", "c"]).first().line == line
     sinks.write_csv(frame.coalesce(1), str(tmp_path / "out"), {"a": "Region, name", "b": "Source", "c": "Note"})
     (part,) = (tmp_path / "out").glob("part-*.csv")

@@ -26,8 +26,8 @@ def local_date(utc: Column, zone: str) -> Column:
 
 
 def iso_local_date(text: Column) -> Column:
-    """Date part of an ISO stamp as written; the offset is dropped, not applied."""
-    return F.to_date(F.substring(F.trim(text), 1, 10))
+    """Date part of an ISO stamp as written; the offset is dropped, not applied. NULL for a text that is no stamp."""
+    return F.try_to_date(F.substring(F.trim(text), 1, 10), "yyyy-MM-dd")
 
 
 def last_complete_month_end(today: Column) -> Column:

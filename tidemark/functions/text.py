@@ -47,7 +47,7 @@ def named_month_date(text: Column) -> Column:
 def rate_text(text: Column) -> Column:
     """`5,75 %` to an exact number; NULL if the text is no such rate."""
     digits = F.regexp_extract(text, r"^\s*([0-9]+(?:[.,][0-9]+)?)\s*%?\s*$", 1)
-    return F.replace(F.nullif(digits, F.lit("")), F.lit(","), F.lit(".")).cast("decimal(24,6)")
+    return F.replace(F.nullif(digits, F.lit("")), F.lit(","), F.lit(".")).try_cast("decimal(24,6)")
 
 
 def redact(text: Column) -> Column:

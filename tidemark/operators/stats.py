@@ -102,12 +102,15 @@ def correlation_pairs(frame: DataFrame, columns: Sequence[str], minimum: int = 3
 
 
 def correlation_matrix(pairs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Both triangles of a pair table."""
-    mirrored = pairs.where(F.col("left_variable") != F.col("right_variable")).select(
-        *by, F.col("right_variable").alias("left_variable"), F.col("left_variable").alias("right_variable"),
-        "correlation", "overlap",
+    """Both triangles of a pair table; each pair is mirrored in its row, so the table is derived once."""
+    def entry(left, right):
+        return F.struct(F.col(left).alias("left_variable"), F.col(right).alias("right_variable"), "correlation", "overlap")
+
+    same = F.col("left_variable") == F.col("right_variable")
+    both = F.when(same, F.array(entry("left_variable", "right_variable"))).otherwise(
+        F.array(entry("left_variable", "right_variable"), entry("right_variable", "left_variable"))
     )
-    return pairs.unionByName(mirrored)
+    return pairs.select(*by, F.inline(both))
 
 
 def spearman(frame: DataFrame, row_key: Sequence[str], left: str, right: str, minimum: int = 3) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.numbers import is_finite
 from tidemark.operators.rules import blank
 from tidemark.schema import FREQUENCIES, NATURAL_KEY, REGION_LEVELS, REQUIRED, TEXT_COLUMNS
+from tidemark.session import settle
 
 
 def missing_columns(frame: DataFrame, required: list[str] = REQUIRED) -> list[str]:
@@ -42,11 +43,12 @@ def _inconsistent(frame: DataFrame, code: str, attributes: list[str]) -> DataFra
 def validate_observations(frame: DataFrame) -> DataFrame:
     """(rule, violations) for every rule of the observation contract, zero included.
 
-    Row rules share one pass; the three group rules are one aggregate each.
+    Row rules share one pass; the three group rules are one aggregate each, all over one derivation.
     """
     lacking = missing_columns(frame)
     if lacking:
         raise ValueError(f"missing columns: {lacking}")
+    frame = settle(frame)
     rules = _row_rules(frame)
     counts = frame.agg(
         F.when(F.count(F.lit(1)) == 0, 1).otherwise(0).cast("long").alias("empty_dataset"),

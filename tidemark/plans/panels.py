@@ -8,6 +8,9 @@ one row per key and period goes into the next shuffle.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
+from datetime import date
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
@@ -42,21 +45,47 @@ def order_day() -> Column:
     return F.to_date("o_orderdate").alias("day")
 
 
-def customer_nation(lake: Lake) -> DataFrame:
-    return lake.customer.select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("nation_key"))
+def nation_keys(regions: Sequence[str] | None) -> list[int] | None:
+    """The nations among some region codes; None stands for all."""
+    return None if regions is None else [int(code[1:]) for code in regions if re.fullmatch(r"N\d+", code)]
 
 
-def annual_wide(lake: Lake) -> DataFrame:
-    """Nation × year: orders, revenue, discount sum and count, customers, units."""
+def customer_nation(lake: Lake, regions: Sequence[str] | None = None) -> DataFrame:
+    rows = lake.customer
+    if regions is not None:
+        rows = rows.where(F.col("c_nationkey").isin(nation_keys(regions)))
+    return rows.select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("nation_key"))
+
+
+def orders_of(lake: Lake, regions: Sequence[str] | None, years: tuple[int | None, int | None] = (None, None)) -> DataFrame:
+    """The orders of some regions and whole years: bounds on the raw date reach the scan, and orders of
+    other customers are gone before anything is joined or summed."""
+    rows, (first, last) = lake.orders, years
+    if first is not None:
+        rows = rows.where(F.col("o_orderdate") >= F.lit(date(first, 1, 1)))
+    if last is not None:
+        rows = rows.where(F.col("o_orderdate") < F.lit(date(last + 1, 1, 1)))
+    return rows if regions is None else rows.join(customer_nation(lake, regions), "o_custkey", "left_semi")
+
+
+LINE_CELLS = {3, 5}
+
+
+def _no_lines(orders: DataFrame) -> DataFrame:
+    return orders.withColumns({c: F.lit(None).cast("bigint") for c in ("discount_sum", "line_count", "quantity")})
+
+
+def annual_wide(lake: Lake, regions: Sequence[str] | None = None, years: tuple[int | None, int | None] = (None, None), with_lines: bool = True) -> DataFrame:
+    """Nation × year: orders, revenue, discount sum and count, customers, units. Without lines, lineitem is not read."""
     lines = lake.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
         F.sum(millionths("l_discount")).alias("discount_sum"),
         F.count(F.lit(1)).alias("line_count"),
         F.sum(millionths("l_quantity")).alias("quantity"),
     )
+    orders = orders_of(lake, regions, years).select("o_orderkey", "o_custkey", year_start("o_orderdate").alias("observation_date"),
+                                                   exact("o_totalprice").alias("price"), "o_orderdate")
     per_customer = (
-        lake.orders.select("o_orderkey", "o_custkey", year_start("o_orderdate").alias("observation_date"),
-                           exact("o_totalprice").alias("price"), "o_orderdate")
-        .join(lines, "o_orderkey", "left")
+        (orders.join(lines, "o_orderkey", "left") if with_lines else _no_lines(orders))
         .groupBy("o_custkey", "observation_date")
         .agg(
             F.count(F.lit(1)).alias("orders"), F.sum("price").alias("revenue"),
@@ -65,7 +94,7 @@ def annual_wide(lake: Lake) -> DataFrame:
         )
     )
     return (
-        per_customer.join(customer_nation(lake), "o_custkey")
+        per_customer.join(customer_nation(lake, regions), "o_custkey")
         .groupBy("nation_key", "observation_date")
         .agg(
             F.sum("orders").alias("orders"), F.sum("revenue").alias("revenue"),
@@ -91,30 +120,46 @@ def _long(wide: DataFrame, region_id: Column, source: str, cells: dict[int, Colu
     )
 
 
-def annual_facts(lake: Lake) -> DataFrame:
-    discount = F.round(100 * dbl(from_millionths("discount_sum")) / dbl("line_count"), 6)
-    return _long(annual_wide(lake), F.col("nation_key"), "ledger_annual", {
-        1: F.col("orders"), 2: F.col("revenue"), 3: discount, 4: F.col("customers"), 5: from_millionths("quantity"),
-    })
+def _wanted(cells: dict[int, Column], indicators: Sequence[str] | None) -> dict[int, Column]:
+    ids = {code: i for i, code, *_ in ref.INDICATORS}
+    return cells if indicators is None else {i: c for i, c in cells.items() if i in {ids[code] for code in indicators}}
 
 
-def regional_facts(lake: Lake) -> DataFrame:
-    wide = lake.lineitem.groupBy("l_suppkey", year_start("l_shipdate").alias("observation_date")).agg(
+def annual_facts(lake: Lake, indicators: Sequence[str] | None = None, regions: Sequence[str] | None = None,
+                 years: tuple[int | None, int | None] = (None, None)) -> DataFrame:
+    discount = F.round(100 * dbl(from_millionths("discount_sum")) / dbl("line_count"), 6)
+    cells = _wanted({
+        1: F.col("orders"), 2: F.col("revenue"), 3: discount, 4: F.col("customers"), 5: from_millionths("quantity"),
+    }, indicators)
+    wide = annual_wide(lake, regions, years, with_lines=bool(LINE_CELLS & set(cells)))
+    return _long(wide, F.col("nation_key"), "ledger_annual", cells)
+
+
+def regional_facts(lake: Lake, indicators: Sequence[str] | None = None, regions: Sequence[str] | None = None,
+                   years: tuple[int | None, int | None] = (None, None)) -> DataFrame:
+    lines, (first, last) = lake.lineitem, years
+    if regions is not None:
+        lines = lines.where(F.col("l_suppkey").isin([int(code) for code in regions if code.isdigit()]))
+    if first is not None:
+        lines = lines.where(F.col("l_shipdate") >= F.lit(date(first, 1, 1)))
+    if last is not None:
+        lines = lines.where(F.col("l_shipdate") < F.lit(date(last + 1, 1, 1)))
+    wide = lines.groupBy("l_suppkey", year_start("l_shipdate").alias("observation_date")).agg(
         F.sum(millionths("l_tax")).alias("tax_sum"), F.count(F.lit(1)).alias("line_count"),
         F.sum(millionths("l_quantity")).alias("quantity"), F.max("l_shipdate").alias("ingested_at"),
     )
     tax = F.round(100 * dbl(from_millionths("tax_sum")) / dbl("line_count"), 6)
-    return _long(wide, SUPPLIER_BASE + F.col("l_suppkey"), "ledger_regional", {6: tax, 7: from_millionths("quantity")})
+    return _long(wide, SUPPLIER_BASE + F.col("l_suppkey"), "ledger_regional", _wanted({6: tax, 7: from_millionths("quantity")}, indicators))
 
 
-def daily_rates(lake: Lake) -> DataFrame:
+def daily_rates(lake: Lake, regions: Sequence[str] | None = None) -> DataFrame:
     """Nation × day mean order value, exact to six digits."""
-    per_customer = lake.orders.groupBy("o_custkey", order_day()).agg(
+    per_customer = orders_of(lake, regions).groupBy("o_custkey", order_day()).agg(
         F.sum(exact("o_totalprice")).alias("price"), F.count(F.lit(1)).alias("orders"),
         F.max("o_orderdate").alias("ingested_at"),
         F.max(F.when(F.col("o_orderpriority") == "1-URGENT", exact("o_totalprice"))).alias("urgent"),
     )
-    return per_customer.join(customer_nation(lake), "o_custkey").groupBy("nation_key", "day").agg(
+    return per_customer.join(customer_nation(lake, regions), "o_custkey").groupBy("nation_key", "day").agg(
         F.round(dbl(F.sum("price")) / dbl(F.sum("orders")), 6).cast(VALUE).alias("rate"),
         F.max("ingested_at").alias("ingested_at"),
         F.round(dbl(F.max("urgent")) / 10000, 2).cast(VALUE).alias("decision"),
@@ -131,9 +176,9 @@ def monthly_rates(lake: Lake) -> DataFrame:
     return daily_rates(lake).groupBy("nation_key", month_start("day").alias("observation_date")).agg(mean_rate().alias("rate"))
 
 
-def monthly_wide(lake: Lake) -> DataFrame:
+def monthly_wide(lake: Lake, regions: Sequence[str] | None = None) -> DataFrame:
     """Nation × month: mean of the daily rates, and the decision in force at month end."""
-    daily = daily_rates(lake)
+    daily = daily_rates(lake, regions)
     months = daily.groupBy("nation_key", month_start("day").alias("observation_date")).agg(
         mean_rate().alias("rate"), F.max("ingested_at").alias("ingested_at"),
         F.max_by("decision", F.when(F.col("decision").isNotNull(), F.col("day"))).alias("decision"),
@@ -142,16 +187,23 @@ def monthly_wide(lake: Lake) -> DataFrame:
     return asof_last(full, ["nation_key"], "observation_date", {"decision": "policy", "ingested_at": "seen_at"})
 
 
-def monthly_facts(lake: Lake) -> DataFrame:
-    wide = monthly_wide(lake).withColumn("ingested_at", F.col("seen_at"))
-    return _long(wide, F.col("nation_key"), "ledger_monthly", {8: F.col("policy"), 9: F.col("rate")})
+def monthly_facts(lake: Lake, indicators: Sequence[str] | None = None, regions: Sequence[str] | None = None,
+                  years: tuple[int | None, int | None] = (None, None)) -> DataFrame:
+    """The decision in force may be older than the first year, so years are cut after it is carried on."""
+    wide, (first, last) = monthly_wide(lake, regions).withColumn("ingested_at", F.col("seen_at")), years
+    if first is not None:
+        wide = wide.where(F.year("observation_date") >= first)
+    if last is not None:
+        wide = wide.where(F.year("observation_date") <= last)
+    return _long(wide, F.col("nation_key"), "ledger_monthly", _wanted({8: F.col("policy"), 9: F.col("rate")}, indicators))
 
 
 FACTS = {"ledger_annual": annual_facts, "ledger_regional": regional_facts, "ledger_monthly": monthly_facts}
 
 
-def facts(lake: Lake) -> DataFrame:
-    return annual_facts(lake).unionByName(regional_facts(lake)).unionByName(monthly_facts(lake))
+def facts(lake: Lake, **limits) -> DataFrame:
+    """Facts of all publishers; `indicators`, `regions` (codes) and `years` (first, last) limit what is read and summed."""
+    return annual_facts(lake, **limits).unionByName(regional_facts(lake, **limits)).unionByName(monthly_facts(lake, **limits))
 
 
 def regions(lake: Lake) -> DataFrame:
@@ -188,5 +240,6 @@ def star_join(fact: DataFrame, region: DataFrame, source: str | None = None) ->
     )
 
 
-def staged(lake: Lake, source: str) -> DataFrame:
-    return star_join(FACTS[source](lake), regions(lake), source)
+def staged(lake: Lake, source: str, **limits) -> DataFrame:
+    """The star of one publisher; limits as in `facts`."""
+    return star_join(FACTS[source](lake, **limits), regions(lake), source)

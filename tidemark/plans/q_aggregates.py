@@ -391,7 +391,7 @@ def _(lake):
 
 @query("last_updated", "SELECT indicator_code, max(ingested_at) AS last_updated_at FROM stg_annual WHERE indicator_code IN ('A.ORDERS', 'A.REVENUE') GROUP BY 1")
 def _(lake):
-    rows = panels.staged(lake, "ledger_annual").where(F.col("indicator_code").isin("A.ORDERS", "A.REVENUE"))
+    rows = panels.staged(lake, "ledger_annual", indicators=["A.ORDERS", "A.REVENUE"])
     return rows.groupBy("indicator_code").agg(F.max("ingested_at").alias("last_updated_at"))
 
 

@@ -55,7 +55,7 @@ FROM mart_overview
 
 @query("mart_national_overview", OVERVIEW_SQL)
 def _(lake):
-    return marts.national_overview(panels.staged(lake, "ledger_annual"))
+    return marts.national_overview(panels.staged(lake, "ledger_annual", regions=[ref.FOCUS_REGION]))
 
 
 @query("conditional_pivot", OVERVIEW_SQL.replace("FROM mart_overview", "FROM mart_overview_all"))
@@ -104,7 +104,7 @@ SELECT indicator_code, indicator_name, unit, frequency, region_code, region_name
 FROM mart_group
 """)
 def _(lake):
-    return marts.group_comparison(panels.staged(lake, "ledger_annual"), ref.members(lake.spark))
+    return marts.group_comparison(panels.staged(lake, "ledger_annual", regions=[code for code, _ in ref.MEMBERS]), ref.members(lake.spark))
 
 
 TABLES["mart_regional"] = """
@@ -165,4 +165,4 @@ FROM stg_annual WHERE indicator_code = 'A.DISCOUNT' WINDOW w AS (PARTITION BY in
 ORDER BY region_name, observation_date
 """)
 def _(lake):
-    return marts.economic_growth(panels.staged(lake, "ledger_annual"), "A.DISCOUNT").orderBy("region_name", "observation_date")
+    return marts.economic_growth(panels.staged(lake, "ledger_annual", indicators=["A.DISCOUNT"]), "A.DISCOUNT").orderBy("region_name", "observation_date")

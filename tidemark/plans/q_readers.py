@@ -22,13 +22,13 @@ FOCUS = ref.FOCUS_REGION
 
 @query("overview", OVERVIEW_SQL.replace("FROM mart_overview", "FROM mart_overview ORDER BY observation_date DESC LIMIT 1"))
 def _(lake):
-    rows = marts.national_overview(panels.staged(lake, "ledger_annual"))
+    rows = marts.national_overview(panels.staged(lake, "ledger_annual", regions=[FOCUS]))
     return rows.orderBy(F.col("observation_date").desc()).limit(1)
 
 
 @query("overview_monthly", MONETARY_SQL.replace("FROM mart_monetary", f"FROM mart_monetary WHERE region_code = '{FOCUS}' ORDER BY observation_date DESC LIMIT 1"))
 def _(lake):
-    rows = panels.staged(lake, "ledger_monthly").where(F.col("region_code") == FOCUS)
+    rows = panels.staged(lake, "ledger_monthly", regions=[FOCUS])
     return marts.monetary_conditions(rows).orderBy(F.col("observation_date").desc()).limit(1)
 
 
@@ -47,7 +47,7 @@ SERIES = f"SELECT observation_date, R(value) AS value, source_code, ingested_at
 
 @query("indicator_series", page_sql(SERIES, "observation_date, source_code", 2, 20))
 def _(lake):
-    rows = readers.optional_filters(panels.staged(lake, "ledger_monthly"), indicator_code="M.RATE", region_code=FOCUS)
+    rows = readers.optional_filters(panels.staged(lake, "ledger_monthly", indicators=["M.RATE"], regions=[FOCUS], years=(1996, 1999)), indicator_code="M.RATE", region_code=FOCUS)
     rows = readers.year_range(rows, 1996, 1999).select("observation_date", "value", "source_code", "ingested_at")
     return readers.page(settle(rows), ["observation_date", "source_code"], 2, 20)
 
@@ -72,7 +72,7 @@ def latest_values(rows, keys):
 
 @query("region_overview", page_sql(LATEST, "indicator_code", 1, 20))
 def _(lake):
-    rows = panels.star_join(panels.facts(lake), panels.regions(lake)).where(F.col("region_code") == FOCUS)
+    rows = panels.star_join(panels.facts(lake, regions=[FOCUS], years=(None, 2000)), panels.regions(lake)).where(F.col("region_code") == FOCUS)
     rows = readers.year_range(rows, end_year=2000).select(
         "indicator_code", "indicator_name", "unit", "frequency", "source_code", "observation_date", "value", "ingested_at"
     )
@@ -90,7 +90,7 @@ def _(lake):
 
 def group_of_year(lake, indicator_code, year=None):
     """The ranked members in one year, by default the latest."""
-    staged = panels.staged(lake, "ledger_annual").where(F.col("indicator_code") == indicator_code)
+    staged = panels.staged(lake, "ledger_annual", indicators=[indicator_code], regions=[code for code, _ in ref.MEMBERS])
     rows = settle(marts.group_comparison(staged, ref.members(lake.spark)))
     if year is None:
         chosen = rows.join(F.broadcast(rows.agg(F.max("observation_year").alias("observation_year"))), "observation_year", "left_semi")
@@ -142,7 +142,7 @@ def _(lake):
 SELECT indicator_code, latest_date, latest_value, previous_value, minimum, maximum, R(CASE WHEN unit = 'percent' THEN absolute_change ELSE percent_change END) AS shown_change FROM (""" + SUMMARY_SQL.format(
     keys="indicator_code, unit", table=f"(SELECT * FROM stg_annual WHERE region_code = '{FOCUS}' AND observation_date >= DATE '1999-01-01')") + ")")
 def _(lake):
-    rows = panels.staged(lake, "ledger_annual").where(F.col("region_code") == FOCUS)
+    rows = panels.staged(lake, "ledger_annual", regions=[FOCUS])
     summary = readers.series_summary(settle(readers.year_range(rows, start_year=1999)), ["indicator_code", "unit"])
     shown = readers.kpi_change(F.col("unit"), F.col("absolute_change"), F.col("percent_change"))
     return summary.select("indicator_code", "latest_date", "latest_value", "previous_value", "minimum", "maximum", shown.alias("shown_change"))

@@ -109,14 +109,62 @@ def _(lake):
 
 
 @query("rate_rules", """
-SELECT unnest(['missing_field', 'currency', 'denomination', 'buy_differs_from_sell', 'outside_dates', 'not_positive', 'repeated_date']) AS issue,
-       unnest([0, 0, 0, 0, (SELECT count(*) FROM daily WHERE day NOT BETWEEN DATE '1996-01-01' AND DATE '2000-12-31'), 0, 0]) AS violations
+SELECT unnest(['missing_field', 'currency', 'denomination', 'buy_differs_from_sell', 'bad_stamp', 'outside_dates', 'not_positive', 'repeated_date']) AS issue,
+       unnest([0, 0, 0, 0, 0, (SELECT count(*) FROM daily WHERE day NOT BETWEEN DATE '1996-01-01' AND DATE '2000-12-31'), 0, 0]) AS violations
 """)
 def _(lake):
     records = landed.xml_rate_records(payloads.rate_documents(lake))
     return landed.rate_issues(records, "1996-01-01", "2000-12-31")
 
 
+@query("record_rejects", """
+SELECT CASE WHEN region_code = 'N03' THEN 'X.' || indicator_code ELSE indicator_code END AS indicator_code, CASE WHEN region_code = 'N04' THEN ' ' ELSE region_code END AS region_code,
+       CASE WHEN observation_year = 1995 THEN 'FY1995' ELSE observation_year::VARCHAR END AS period,
+       CASE WHEN region_code = 'N03' THEN 'unknown_code' WHEN observation_year = 1995 THEN 'bad_period' ELSE 'no_region' END AS issue
+FROM stg_annual WHERE region_code IN ('N03', 'N04') OR observation_year = 1995
+""")
+def _(lake):
+    """Records with planted faults: a code outside the catalog, a year that is none, no region."""
+    records = landed.indicator_records(payloads.indicator_envelopes(lake))
+    region = F.col("region_code")
+    faulty = records.withColumns({
+        "indicator_code": F.when(region == "N03", F.concat(F.lit("X."), F.col("indicator_code"))).otherwise(F.col("indicator_code")),
+        "region_code": F.when(region == "N04", " ").otherwise(region),
+        "period": F.when(F.col("period") == "1995", "FY1995").otherwise(F.col("period")),
+    })
+    checked = landed.checked_records(faulty, ref.indicators(lake.spark).drop("indicator_id"))
+    return landed.rejects(checked).select("indicator_code", "region_code", "period", "issue")
+
+
+@query("rate_rejects", """
+SELECT 'N' || lpad(nation_key::VARCHAR, 2, '0') AS link, CASE WHEN nation_key = 3 THEN 'day ' || day ELSE day || 'T00:00:00+07:00' END AS stamp,
+       CASE WHEN nation_key = 3 THEN 'bad_stamp' WHEN nation_key = 4 THEN 'bad_value' ELSE 'denomination' END AS issue FROM daily WHERE nation_key IN (3, 4) OR day(day) = 1
+""")
+def _(lake):
+    """Rate records with planted faults: a stamp that is no date, a rate that is no number, another denomination."""
+    records = landed.xml_rate_records(payloads.rate_documents(lake))
+    link, stamp = F.col("lnk_subkursasing"), F.col("tgl_subkursasing")
+    faulty = records.withColumns({
+        "nil_subkursasing": F.when(F.substring(stamp, 9, 2) == "01", "100").otherwise(F.col("nil_subkursasing")),
+        "tgl_subkursasing": F.when(link == "N03", F.concat(F.lit("day "), F.substring(stamp, 1, 10))).otherwise(stamp),
+        "beli_subkursasing": F.when(link == "N04", F.lit("n.a.")).otherwise(F.col("beli_subkursasing")),
+    })
+    return landed.rejects(landed.checked_rates(faulty)).select("link", "stamp", "issue")
+
+
+@query("cube_rejects", """
+SELECT indicator_code, region_code, R(value) AS value, CASE WHEN y % 2 = 0 THEN 'bad_year' ELSE 'unmapped_region' END AS issue
+FROM (SELECT *, year(observation_date) AS y FROM cube_obs) WHERE y % 2 = 0 OR region_code::INT >= 1120
+""")
+def _(lake):
+    """Cube cells with planted faults: labels of even years without the year, and regions outside the list."""
+    odd_label = F.regexp_replace("payload", "Year [0-9]{3}([02468])", "Year of the $1")
+    known = lake.nation.where("n_nationkey < 20").select((F.col("n_nationkey") + 1100).cast("string").alias("region_code"))
+    faulty = payloads.cube_payloads(lake).withColumn("payload", odd_label)
+    checked = landed.checked_cube(faulty, payloads.series_prefixes(lake.spark), regions=known)
+    return landed.rejects(checked).select("indicator_code", "region_code", "value", "issue")
+
+
 @query("read_decision_table", """
 SELECT 'N' || lpad(nation_key::VARCHAR, 2, '0') AS file, day AS effective_date, R(decision) AS rate FROM daily WHERE decision IS NOT NULL
 """)

@@ -302,7 +302,7 @@ SELECT indicator_code, indicator_name, unit, I(observation_year) AS observation_
 FROM (SELECT *, row_number() OVER (PARTITION BY indicator_code ORDER BY observation_year DESC) AS rn FROM mart_group WHERE region_code = '{ref.FOCUS_REGION}') WHERE rn = 1
 """)
 def _(lake):
-    rows = marts.group_comparison(panels.staged(lake, "ledger_annual"), ref.members(lake.spark)).where(F.col("region_code") == ref.FOCUS_REGION)
+    rows = marts.group_comparison(panels.staged(lake, "ledger_annual", regions=[code for code, _ in ref.MEMBERS]), ref.members(lake.spark)).where(F.col("region_code") == ref.FOCUS_REGION)
     rows = rows.select("indicator_code", "indicator_name", "unit", "observation_year", "value", "group_average",
                        "difference_from_group_average", "country_coverage", "value_rank_desc")
     return latest_per_group(rows, ["indicator_code"], [-F.col("observation_year")])

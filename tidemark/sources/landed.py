@@ -3,11 +3,15 @@
 Readers return a frame with a `payload` text column and the `file` it came from; parsers turn
 payloads into records, and `*_issues` list what breaks the expected shape. All parsing is
 `from_json` / `from_xml` with declared schemas.
+
+`checked_*` functions return every row with an `issue` (NULL: clean). `rejects` keeps the others,
+and `require_clean` takes the clean ones and ends the job if there is any other, so no record is
+lost without a word. The `normalize_*` functions require clean input.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import iso_local_date
@@ -17,6 +21,17 @@ from tidemark.functions.text import (
 )
 
 
+def require_clean(checked: DataFrame, *shown: str) -> DataFrame:
+    """The rows without an issue. The first one with an issue raises, with the columns `shown` in the message."""
+    about = F.concat_ws(" ", F.col("issue"), *(F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in shown))
+    # A filter, since a column that nobody reads would be pruned with its error.
+    return checked.where(F.when(F.col("issue").isNull(), F.lit(True)).otherwise(F.raise_error(about).cast("boolean"))).drop("issue")
+
+
+def rejects(checked: DataFrame) -> DataFrame:
+    return checked.where(F.col("issue").isNotNull())
+
+
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:
     """One row per landed file."""
     return spark.read.text(path, wholetext=True).select(
@@ -55,8 +70,9 @@ def _good_envelope():
 
 
 def indicator_records(payloads: DataFrame) -> DataFrame:
-    """Records of every well-formed two-part envelope `[metadata, records]`."""
-    good = _split_envelope(payloads).where(_good_envelope())
+    """Records of the two-part envelopes `[metadata, records]`; a payload of another shape raises."""
+    split = _split_envelope(payloads).select("file", "__parts", F.when(~F.coalesce(_good_envelope(), F.lit(False)), "bad_envelope").alias("issue"))
+    good = require_clean(split, "file")
     return good.select("file", F.explode(F.from_json(F.get("__parts", 1), RECORD)).alias("r")).select(
         "file", F.col("r.indicator.id").alias("indicator_code"), F.col("r.countryiso3code").alias("region_code"),
         F.col("r.country.value").alias("region_name"), F.col("r.date").alias("period"), F.col("r.value").alias("value"),
@@ -67,18 +83,25 @@ def envelope_issues(payloads: DataFrame) -> DataFrame:
     return _split_envelope(payloads).where(~F.coalesce(_good_envelope(), F.lit(False))).select("file", F.lit("bad_envelope").alias("issue"))
 
 
-def normalize_records(records: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Drop empty values, attach the catalog entry, year text to 1 January."""
-    return (
-        records.where(F.col("value").isNotNull()).join(catalog, "indicator_code")
-        .select(
-            "indicator_code", "indicator_name", "unit", "frequency", "region_code", "region_name",
-            F.make_date(F.col("period").cast("int"), F.lit(1), F.lit(1)).alias("observation_date"),
-            F.col("value").cast("decimal(24,6)").alias("value"),
-        )
+def checked_records(records: DataFrame, catalog: DataFrame) -> DataFrame:
+    """Records with a value and their catalog entry, the year text as 1 January, and what is wrong with them."""
+    year = F.when(F.col("period").rlike("^[0-9]{4}$"), F.col("period").try_cast("int"))
+    value = F.col("value").try_cast("decimal(24,6)")
+    issue = (
+        F.when(F.col("indicator_name").isNull(), "unknown_code").when(year.isNull() | (year < 1), "bad_period")
+        .when(F.isnull("region_code") | (F.trim("region_code") == ""), "no_region").when(value.isNull(), "bad_value")
+    )
+    return records.where(F.col("value").isNotNull()).join(catalog, "indicator_code", "left").select(
+        "indicator_code", "indicator_name", "unit", "frequency", "region_code", "region_name", "period",
+        F.when(year >= 1, F.make_date(year, F.lit(1), F.lit(1))).alias("observation_date"), value.alias("value"), issue.alias("issue"),
     )
 
 
+def normalize_records(records: DataFrame, catalog: DataFrame) -> DataFrame:
+    """Drop empty values, attach the catalog entry, year text to 1 January; any bad record raises."""
+    return require_clean(checked_records(records, catalog), "indicator_code", "region_code", "period").drop("period")
+
+
 def unknown_codes(records: DataFrame, catalog: DataFrame) -> DataFrame:
     """Indicator codes the catalog does not list."""
     return records.select("indicator_code").distinct().join(catalog, "indicator_code", "left_anti")
@@ -98,20 +121,23 @@ def _pages(payloads: DataFrame) -> DataFrame:
 
 
 def paginated_records(payloads: DataFrame) -> DataFrame:
-    """Rows of all pages as maps. Needs columns request, requested_page, file, payload."""
-    pages = _pages(payloads).where((F.upper("status") == "OK") & (F.col("availability") == "available"))
+    """Rows of all pages as maps. Needs columns request, requested_page, file, payload. A bad page, or one that was not asked for, raises."""
     rows = F.from_json("rows_text", "array<map<string,string>>")
-    return pages.select("request", F.col("meta.page").alias("page"), F.explode(rows).alias("row"))
+    pages = _pages(payloads).select(F.col("meta.page").alias("page"), "request", "requested_page", rows.alias("rows"), F.when(~_good_page(), "bad_page").alias("issue"))
+    return require_clean(pages, "request", "requested_page").select("request", "page", F.explode("rows").alias("row"))
 
 
-def page_issues(payloads: DataFrame) -> DataFrame:
-    """Bad pages, and requests whose pages do not make up the announced number."""
-    pages = _pages(payloads)
-    valid = (
+def _good_page() -> Column:
+    good = (
         (F.upper("status") == "OK") & (F.col("availability") == "available") & F.col("meta").isNotNull()
         & F.col("meta.page").between(1, F.col("meta.pages")) & (F.col("meta.page") == F.col("requested_page"))
     )
-    checked = pages.withColumn("valid", F.coalesce(valid, F.lit(False)))
+    return F.coalesce(good, F.lit(False))
+
+
+def page_issues(payloads: DataFrame) -> DataFrame:
+    """Bad pages, and requests whose pages do not make up the announced number."""
+    checked = _pages(payloads).withColumn("valid", _good_page())
     bad = checked.where(~F.col("valid")).select("request", F.lit("bad_page").alias("issue"))
     counts = checked.groupBy("request").agg(
         F.count_distinct(F.when(F.col("valid"), F.col("meta.page"))).alias("have"), F.max("meta.pages").alias("want")
@@ -153,19 +179,33 @@ def cube_cells(payloads: DataFrame) -> DataFrame:
     ).drop("content")
 
 
-def normalize_cube(payloads: DataFrame, prefixes: DataFrame, national_code: str = "9999") -> DataFrame:
-    """Cube cells to observations. Missing texts and the national total are skipped."""
+def checked_cube(payloads: DataFrame, prefixes: DataFrame, national_code: str = "9999", regions: DataFrame | None = None) -> DataFrame:
+    """Cube cells as observations, with what is wrong with them. Missing texts and the national total are skipped."""
     rows = cube_cells(payloads).where(F.col("vervar.val") != national_code)
-    rows = rows.join(prefixes, F.col("var.val") == F.col("variable_id"))
-    return rows.select(
+    rows = rows.join(prefixes, F.col("var.val") == F.col("variable_id"), "left")
+    if regions is not None:
+        rows = rows.join(regions.select(F.col("region_code").alias("__known")).distinct(), F.col("vervar.val") == F.col("__known"), "left")
+    year, number = year_in_label(F.col("tahun.label")), numeric_token(F.col("text"))
+    issue = F.coalesce(
+        F.when(F.col("code_prefix").isNull(), "unknown_variable"), F.when(year.isNull(), "bad_year"), numeric_token_issue(F.col("text")),
+        F.when(F.col("__known").isNull(), "unmapped_region") if regions is not None else F.lit(None).cast("string"),
+    )
+    present = number.isNotNull() | numeric_token_issue(F.col("text")).isNotNull()
+    return rows.where(present).select(
         series_code(F.col("code_prefix"), F.col("turvar.val"), F.col("turtahun.val")).alias("indicator_code"),
         series_name(F.trim("var.label"), F.trim("turvar.label"), F.trim("turtahun.label")).alias("indicator_name"),
         F.trim("var.unit").alias("unit"), F.col("vervar.val").alias("region_code"),
-        F.make_date(year_in_label(F.col("tahun.label")), F.lit(1), F.lit(1)).alias("observation_date"),
-        numeric_token(F.col("text")).alias("value"), F.col("var.val").alias("source_variable_id"),
+        F.make_date(year, F.lit(1), F.lit(1)).alias("observation_date"),
+        number.alias("value"), F.col("var.val").alias("source_variable_id"),
         F.col("turvar.val").alias("derived_variable_id"), F.col("turtahun.val").alias("derived_period_id"),
         F.coalesce(F.trim("var.def"), F.lit("")).alias("definition_text"), F.coalesce(F.trim("var.note"), F.lit("")).alias("notes"),
-    ).where(F.col("value").isNotNull())
+        F.col("key"), F.coalesce(F.col("text"), F.lit("")).alias("text"), issue.alias("issue"),
+    )
+
+
+def normalize_cube(payloads: DataFrame, prefixes: DataFrame, national_code: str = "9999", regions: DataFrame | None = None) -> DataFrame:
+    """The observations of `checked_cube`; an unknown variable, region or year, or a text that is no number, raises."""
+    return require_clean(checked_cube(payloads, prefixes, national_code, regions), "key", "text").drop("key", "text")
 
 
 def cube_issues(payloads: DataFrame, regions: DataFrame, period_ids: list[str] | None = None,
@@ -209,12 +249,29 @@ def xml_rate_records(payloads: DataFrame) -> DataFrame:
     return payloads.select(F.explode(F.from_xml("payload", RATE_SCHEMA)["Table"]).alias("t")).select("t.*")
 
 
-def normalize_rates(records: DataFrame) -> DataFrame:
-    """region-free daily rates (observation_date, value); offsets in stamps are not applied."""
-    return records.select(
-        F.trim("lnk_subkursasing").alias("link"), iso_local_date(F.col("tgl_subkursasing")).alias("observation_date"),
-        F.trim("beli_subkursasing").cast("decimal(24,6)").alias("value"),
+def unexpected_fields(payloads: DataFrame) -> DataFrame:
+    """file or payload hash, field: tags of rate texts that are not in the exact field set."""
+    tags = F.array_distinct(F.regexp_extract_all("payload", F.lit(r"<([A-Za-z_][A-Za-z0-9_.-]*)"), F.lit(1)))
+    extra = F.array_except(tags, F.lit(["NewDataSet", "Table", *RATE_FIELDS]))
+    return payloads.select(F.sha2("payload", 256).alias("payload_sha256"), F.explode(extra).alias("field"))
+
+
+def checked_rates(records: DataFrame, currency: str = "USD") -> DataFrame:
+    """link, observation_date, value of every record, and the first thing wrong with it; offsets in stamps are not applied."""
+    day = iso_local_date(F.col("tgl_subkursasing"))
+    value = F.trim("beli_subkursasing").try_cast("decimal(24,6)")
+    number = lambda c: F.trim(c).try_cast("double")
+    issue = (
+        F.when(F.exists(F.array(*RATE_FIELDS), lambda f: f.isNull()), "missing_field").when(day.isNull(), "bad_stamp").when(value.isNull(), "bad_value")
+        .when(F.trim("mts_subkursasing") != currency, "currency").when(~number("nil_subkursasing").eqNullSafe(F.lit(1.0)), "denomination")
+        .when(~number("beli_subkursasing").eqNullSafe(number("jual_subkursasing")), "buy_differs_from_sell").when(value <= 0, "not_positive")
     )
+    return records.select(F.trim("lnk_subkursasing").alias("link"), day.alias("observation_date"), value.alias("value"), F.col("tgl_subkursasing").alias("stamp"), issue.alias("issue"))
+
+
+def normalize_rates(records: DataFrame) -> DataFrame:
+    """region-free daily rates (observation_date, value); a bad record raises."""
+    return require_clean(checked_rates(records), "link", "stamp").drop("stamp")
 
 
 def rate_issues(records: DataFrame, start: str, end: str, currency: str = "USD") -> DataFrame:
@@ -226,7 +283,8 @@ def rate_issues(records: DataFrame, start: str, end: str, currency: str = "USD")
         "currency": F.trim("mts_subkursasing") != currency,
         "denomination": number("nil_subkursasing") != 1,
         "buy_differs_from_sell": number("beli_subkursasing") != number("jual_subkursasing"),
-        "outside_dates": ~day.between(F.lit(start).cast("date"), F.lit(end).cast("date")),
+        "bad_stamp": day.isNull(),
+        "outside_dates": day.isNotNull() & ~day.between(F.lit(start).cast("date"), F.lit(end).cast("date")),
         "not_positive": ~(number("beli_subkursasing") > 0),
     }
     counts = records.agg(*(F.count_if(F.coalesce(t, F.lit(True))).alias(n) for n, t in tests.items()))
@@ -255,12 +313,18 @@ def read_decision_csv(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def decisions(rows: DataFrame) -> DataFrame:
-    """Dated rates below the header; rows above it do not parse and drop out."""
+def checked_decisions(rows: DataFrame) -> DataFrame:
+    """Rows with a date or a rate, but for the header; a row with one of the two has an issue. Title rows have neither and are no decisions."""
+    date, rate = named_month_date(F.col("date_text")), rate_text(F.col("rate_text"))
     parsed = rows.where(~F.coalesce(_is_header(), F.lit(False))).select(
-        "file", named_month_date(F.col("date_text")).alias("effective_date"), rate_text(F.col("rate_text")).alias("rate")
+        "file", date.alias("effective_date"), rate.alias("rate"), "date_text", "rate_text", F.when(date.isNull() != rate.isNull(), "half_parsed_row").alias("issue")
     )
-    return parsed.where(F.col("effective_date").isNotNull() & F.col("rate").isNotNull())
+    return parsed.where(F.col("effective_date").isNotNull() | F.col("rate").isNotNull())
+
+
+def decisions(rows: DataFrame) -> DataFrame:
+    """Dated rates below the header; a half-parsed row raises."""
+    return require_clean(checked_decisions(rows), "file", "date_text", "rate_text").drop("date_text", "rate_text")
 
 
 def decision_issues(rows: DataFrame) -> DataFrame:
