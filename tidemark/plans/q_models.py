@@ -324,21 +324,29 @@ UNION ALL SELECT run_key, NULL, 'passed_gate_wrong_horizon' FROM runs WHERE qual
 """)
 def _(lake):
     runs, forecasts, *_ = run_tables(lake)
-    broken = forecasts.where("step <> 6").withColumns({
+    return integrity_findings(runs, broken_forecasts(forecasts))
+
+
+def broken_forecasts(forecasts):
+    """Bounds that do not hold the forecast, a forecast that may not be published, and a missing last step."""
+    return forecasts.where("step <> 6").withColumns({
         "lower_bound": F.when(F.col("step") == 2, F.col("upper_bound") + 1).otherwise(F.col("lower_bound")),
         "is_publishable": F.col("step") != 3,
     })
-    return integrity_findings(runs, broken)
+
+
+def broken_anomalies(anomalies):
+    """Revisions without a reason, and rises without an observed value."""
+    reason = F.when(F.col("anomaly_type") == "source_revision", " ").otherwise(F.col("reason"))
+    value = F.when((F.col("anomaly_type") == "economic_anomaly") & (F.col("change") > 0), None).otherwise(F.col("observed_value"))
+    return anomalies.withColumns({"reason": reason, "observed_value": value})
 
 
 @query("anomaly_integrity", """
 SELECT run_key, observation_date, anomaly_type, 'invalid_anomaly_event' AS violation FROM run_anomalies WHERE anomaly_type = 'source_revision' OR (anomaly_type = 'economic_anomaly' AND change > 0)
 """)
 def _(lake):
-    anomalies = run_tables(lake)[2]
-    reason = F.when(F.col("anomaly_type") == "source_revision", " ").otherwise(F.col("reason"))
-    value = F.when((F.col("anomaly_type") == "economic_anomaly") & (F.col("change") > 0), None).otherwise(F.col("observed_value"))
-    return anomaly_findings(anomalies.withColumns({"reason": reason, "observed_value": value}))
+    return anomaly_findings(broken_anomalies(run_tables(lake)[2]))
 
 
 def run_findings(runs, forecasts, predictions, metrics, current):

@@ -215,6 +215,7 @@ SELECT 'national' AS panel, count(*) AS row_count, min(observation_date) AS peri
 UNION ALL SELECT 'trends', count(*), min(observation_date), max(observation_date) FROM mart_trends
 UNION ALL SELECT 'group', count(*), min(observation_date), max(observation_date) FROM mart_group
 UNION ALL SELECT 'monetary', count(*), min(observation_date), max(observation_date) FROM mart_monetary
+UNION ALL SELECT 'regional', count(*), min(observation_date), max(observation_date) FROM mart_regional
 """)
 def _(lake):
     annual = panels.staged(lake, "ledger_annual")
@@ -222,6 +223,7 @@ def _(lake):
         "national": marts.national_overview(annual, None), "trends": marts.indicator_trends(annual),
         "group": marts.group_comparison(annual, ref.members(lake.spark)),
         "monetary": marts.monetary_conditions(panels.staged(lake, "ledger_monthly")),
+        "regional": marts.regional_analysis(panels.staged(lake, "ledger_regional")),
     }
     inventory = dataset_inventory({n: (f, "observation_date") for n, f in frames.items()})
     return inventory.select(F.col("dataset").alias("panel"), "row_count", "period_start", "period_end")

@@ -162,15 +162,14 @@ def _(lake):
 
 
 @query("growth_rates", """
-SELECT region_code, observation_date, R(orders) AS orders, R((orders::DOUBLE / nullif(lag(orders) OVER w::DOUBLE, 0) - 1) * 100) AS orders_growth_percent,
-       R((revenue::DOUBLE / nullif(lag(revenue) OVER w::DOUBLE, 0) - 1) * 100) AS revenue_growth_percent
+SELECT region_code, observation_date, R(orders) AS orders, """ + ", ".join(f"R(({c}::DOUBLE / nullif(lag({c}) OVER w::DOUBLE, 0) - 1) * 100) AS {c}_growth_percent" for c in marts.OVERVIEW_COLUMNS.values()) + """
 FROM mart_overview_all WINDOW w AS (PARTITION BY region_code ORDER BY observation_date)
 """)
 def _(lake):
     rows = marts.national_overview(panels.staged(lake, "ledger_annual"), None)
     spec = series_window(["region_code"])
     return rows.select("region_code", "observation_date", "orders", *(
-        growth_percent(F.col(c), F.lag(c).over(spec)).alias(f"{c}_growth_percent") for c in ("orders", "revenue")
+        growth_percent(F.col(c), F.lag(c).over(spec)).alias(f"{c}_growth_percent") for c in marts.OVERVIEW_COLUMNS.values()
     ))
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import ops, rules
 from tidemark.operators.windows import gaps
 from tidemark.plans import marts, panels
-from tidemark.plans.q_models import anomaly_findings, integrity_findings, latest_runs, run_tables
+from tidemark.plans.q_models import anomaly_findings, broken_anomalies, broken_forecasts, integrity_findings, latest_runs, run_tables
 from tidemark.plans.q_windows import run_table
 from tidemark.schema import NATURAL_KEY, SERIES_KEY
 from tidemark.session import settle
@@ -56,6 +56,48 @@ class Tables:
     def runs(self):
         return run_tables(self.lake)
 
+    def mart(self, name: str) -> DataFrame:
+        return {
+            "national_overview": lambda: marts.national_overview(self.annual, None), "indicator_trends": lambda: marts.indicator_trends(self.annual),
+            "asean_comparison": lambda: marts.group_comparison(self.annual, ref.members(self.lake.spark)),
+            "regional_analysis": lambda: marts.regional_analysis(self.regional), "monetary_conditions": lambda: marts.monetary_conditions(self.monthly),
+        }[name]()
+
+
+class FaultyTables(Tables):
+    """The same tables with faults put in by rule, so that each check alone has something to find.
+
+    Region 5 (N05, or supplier 5) is there twice in even years, region 6 has a blank unit, and region 8 lacks 1998.
+    Marts have their rows of even years twice; runs have the broken forecasts and anomalies of the integrity queries.
+    """
+
+    def _faulty(self, rows: DataFrame) -> DataFrame:
+        region = lambda n: F.col("region_code").isin(f"N{n:02d}", str(n))
+        rows = rows.where(~(region(8) & (F.col("observation_year") == 1998)))
+        rows = rows.withColumn("unit", F.when(region(6), " ").otherwise(F.col("unit")))
+        return settle(rows.unionByName(rows.where(region(5) & (F.col("observation_year") % 2 == 0))))
+
+    @cached_property
+    def annual(self) -> DataFrame:
+        return self._faulty(panels.staged(self.lake, "ledger_annual"))
+
+    @cached_property
+    def regional(self) -> DataFrame:
+        return self._faulty(panels.staged(self.lake, "ledger_regional"))
+
+    @cached_property
+    def monthly(self) -> DataFrame:
+        return self._faulty(panels.staged(self.lake, "ledger_monthly"))
+
+    @cached_property
+    def runs(self):
+        runs, forecasts, anomalies, *rest = run_tables(self.lake)
+        return runs, broken_forecasts(forecasts), broken_anomalies(anomalies), *rest
+
+    def mart(self, name: str) -> DataFrame:
+        rows = settle(Tables(self.lake).mart(name))
+        return rows.unionByName(rows.where(F.col("observation_year") % 2 == 0))
+
 
 @dataclass(frozen=True)
 class Check:
@@ -118,11 +160,11 @@ CHECKS = [
                                                                    lambda: [F.day("observation_date") != 1])),
     Check("check_monthly_value_ranges", True, _ranges(monthly)),
     Check("check_monthly_coverage", True, _monthly_coverage),
-    Check("check_mart_national_overview_grain", True, _grain(lambda t: marts.national_overview(t.annual, None), ["region_code", "observation_date"])),
-    Check("check_mart_indicator_trends_grain", True, _grain(lambda t: marts.indicator_trends(t.annual), SERIES_DATE)),
-    Check("check_mart_asean_comparison_grain", True, _grain(lambda t: marts.group_comparison(t.annual, ref.members(t.lake.spark)), SERIES_DATE)),
-    Check("check_mart_regional_analysis_grain", True, _grain(lambda t: marts.regional_analysis(t.regional), SERIES_DATE)),
-    Check("check_mart_monetary_conditions_grain", True, _grain(lambda t: marts.monetary_conditions(t.monthly), ["region_code", "observation_date"])),
+    Check("check_mart_national_overview_grain", True, _grain(lambda t: t.mart("national_overview"), ["region_code", "observation_date"])),
+    Check("check_mart_indicator_trends_grain", True, _grain(lambda t: t.mart("indicator_trends"), SERIES_DATE)),
+    Check("check_mart_asean_comparison_grain", True, _grain(lambda t: t.mart("asean_comparison"), SERIES_DATE)),
+    Check("check_mart_regional_analysis_grain", True, _grain(lambda t: t.mart("regional_analysis"), SERIES_DATE)),
+    Check("check_mart_monetary_conditions_grain", True, _grain(lambda t: t.mart("monetary_conditions"), ["region_code", "observation_date"])),
     Check("check_forecast_integrity", True, lambda t: integrity_findings(*t.runs[:2])),
     Check("check_anomaly_integrity", True, lambda t: anomaly_findings(t.runs[2])),
     Check("check_data_freshness", False, lambda t: ops.source_freshness(t.everything, F.lit("2002-01-01").cast("timestamp_ntz"))),
