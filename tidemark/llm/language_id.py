@@ -33,7 +33,7 @@ from tidemark.session import settle
 
 LETTERS = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
-MEMORY = 200_000
+MEMORY = 50_000
 
 
 @dataclass
@@ -132,14 +132,16 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text", keep: li
     """The columns `keep` (all, if not given) with lang_pred and score."""
     keep = [c for c in (docs.columns if keep is None else keep) if c not in ("lang_pred", "score")]
     shipped = docs.sparkSession.sparkContext.broadcast(model)
+    # A text that is kept anyway is not sent twice.
+    rows = docs.select(*keep) if text in keep else docs.select(*keep, text)
+    at, width = rows.columns.index(text), len(keep)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            said = [shipped.value.predict(x.as_py()) for x in batch.column(batch.num_columns - 1)]
+            said = [shipped.value.predict(x.as_py()) for x in batch.column(at)]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array([x[0] for x in said], pa.string()), pa.array([x[1] for x in said], pa.float64())], names=[*keep, "lang_pred", "score"]
+                [*batch.columns[:width], pa.array([x[0] for x in said], pa.string()), pa.array([x[1] for x in said], pa.float64())], names=[*keep, "lang_pred", "score"]
             )
 
-    rows = docs.select(*keep, F.col(text).cast("string").alias("__text"))
-    schema = rows.drop("__text").schema.add("lang_pred", "string").add("score", "double")
+    schema = docs.select(*keep).schema.add("lang_pred", "string").add("score", "double")
     return rows.mapInArrow(run, schema)
