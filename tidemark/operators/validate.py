@@ -78,6 +78,7 @@ def require_valid(frame: DataFrame) -> DataFrame:
     return frame
 
 
+# The columns of the metadata contract.
 METADATA_COLUMNS = [
     "indicator_code", "source_code", "indicator_name", "unit", "definition_text", "notes", "source_variable_id",
     "derived_variable_id", "derived_period_id", "metadata_hash", "period_start", "period_end", "observed_at",

@@ -132,15 +132,11 @@ def _(lake):
     return lake.events.select("event_id", (F.length(F.coalesce(message, F.lit(""))) > 0).alias("has_error"))
 
 
+# The checking engine's expressions cannot look ahead: what the last pattern looks at is matched and put back.
 REDACT = "text"
-for _pattern, _keep in (
-    (r"((?:api[_-]?key|authorization|password|secret|token)\s*=\s*)[^\s,;]+", r"\1[REDACTED]"),
-    (r"(/key/)[^/?\s]+", r"\1[REDACTED]"),
-    (r"(authorization\s*[:=]\s*)(?:bearer\s+)?[^\s,;]+", r"\1[REDACTED]"),
-):
-    REDACT = f"regexp_replace({REDACT}, '{_pattern}', '{_keep}', 'gi')"
-# The last pattern looks ahead, which the checking engine's expressions cannot; it keeps the mark instead.
-REDACT = rf"regexp_replace({REDACT}, '(://[^:\s/@]+:)[^@\s/]+@', '\1[REDACTED]@', 'gi')"
+for _pattern in text.SECRET_PATTERNS:
+    _body, _, _ahead = _pattern.removeprefix("(?i)").partition("(?=")
+    REDACT = f"regexp_replace({REDACT}, '{_body}{_ahead.removesuffix(')')}', '\\1[REDACTED]{_ahead.removesuffix(')')}', 'gi')"
 
 
 @query("redact_text", f"SELECT doc_id, sha256({REDACT}) AS redacted_hash, I(text <> {REDACT}) AS was_masked FROM documents")

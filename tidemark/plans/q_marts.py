@@ -108,7 +108,7 @@ def _(lake):
 
 
 TABLES["mart_regional"] = """
-SELECT *, CASE WHEN date_sub('year', previous_observation_date, observation_date) = 1 THEN value - previous_value END AS yoy_absolute_change,
+SELECT *, value::DOUBLE - province_average AS difference_from_province_average, CASE WHEN date_sub('year', previous_observation_date, observation_date) = 1 THEN value - previous_value END AS yoy_absolute_change,
        CASE WHEN date_sub('year', previous_observation_date, observation_date) = 1
             THEN 100 * (value - previous_value)::DOUBLE / nullif(abs(previous_value)::DOUBLE, 0) END AS yoy_percent_change
 FROM (SELECT *, lag(observation_date) OVER w AS previous_observation_date, lag(value) OVER w AS previous_value,

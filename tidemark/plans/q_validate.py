@@ -11,7 +11,7 @@ from tidemark.plans import landed_payloads as payloads
 from tidemark.plans import panels
 from tidemark.plans.oracle_tables import TABLES
 from tidemark.plans.registry import query
-from tidemark.session import settle
+from tidemark.session import settle, work_folder
 from tidemark.sources import landed
 from tidemark.sources import reference_tables as ref
 from tidemark.sources.sinks import labelled
@@ -128,6 +128,16 @@ def _(lake):
     return up.upsert(current, batch, ["o_custkey", "observation_date"], "ingested_at")
 
 
+@query("snapshot_upsert", FACT_SQL)
+def _(lake):
+    """Version 1 of a table is written, a batch merged into what is read back, version 2 written and the newest read."""
+    current, batch = fact_versions(lake)
+    root = work_folder(lake.spark)
+    up.write_snapshot(current, root, "000001")
+    up.write_snapshot(up.upsert(up.read_latest_snapshot(lake.spark, root), batch, ["o_custkey", "observation_date"], "ingested_at"), root, "000002")
+    return up.read_latest_snapshot(lake.spark, root)
+
+
 @query("upsert_facts_twice", FACT_SQL)
 def _(lake):
     current, batch = fact_versions(lake)

@@ -1,6 +1,8 @@
 """Window functions, ordering and top-k, set operations."""
 
-from pyspark.sql import Window
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import dbl, growth_percent
@@ -325,27 +327,40 @@ def _(lake):
     return lake.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice").orderBy(F.col("o_orderdate").desc(), F.col("o_orderkey").desc()).limit(1)
 
 
-@query("top_missing", """
-SELECT dataset, "column", missing_count, missing_percent FROM (
-  SELECT 'monetary' AS dataset, 'policy_rate_percent' AS "column", count(*) - count(policy_rate_percent) AS missing_count, R(100 * (count(*) - count(policy_rate_percent))::DOUBLE / count(*)::DOUBLE) AS missing_percent FROM mart_monetary
-  UNION ALL SELECT 'monetary', 'exchange_rate', count(*) - count(exchange_rate), R(100 * (count(*) - count(exchange_rate))::DOUBLE / count(*)::DOUBLE) FROM mart_monetary
-  UNION ALL SELECT 'monetary', 'exchange_rate_mom_change', count(*) - count(exchange_rate_mom_change), R(100 * (count(*) - count(exchange_rate_mom_change))::DOUBLE / count(*)::DOUBLE) FROM mart_monetary
-  UNION ALL SELECT 'trends', 'previous_value', count(*) - count(previous_value), R(100 * (count(*) - count(previous_value))::DOUBLE / count(*)::DOUBLE) FROM mart_trends
-  UNION ALL SELECT 'trends', 'value', count(*) - count(value), R(100 * (count(*) - count(value))::DOUBLE / count(*)::DOUBLE) FROM mart_trends
-  UNION ALL SELECT 'trends', 'yoy_percent_change', count(*) - count(yoy_percent_change), R(100 * (count(*) - count(yoy_percent_change))::DOUBLE / count(*)::DOUBLE) FROM mart_trends)
-ORDER BY missing_percent DESC, dataset, "column" LIMIT 20
-""")
-def _(lake):
-    monetary = marts.monetary_conditions(panels.staged(lake, "ledger_monthly"))
-    trends = marts.indicator_trends(panels.staged(lake, "ledger_annual"))
-    parts = [
-        stats.profile_columns(f, columns).select(F.lit(name).alias("dataset"), "column", "missing_count", F.round("missing_percent", 6).alias("missing_percent"))
-        for name, f, columns in (
-            ("monetary", monetary, ["policy_rate_percent", "exchange_rate", "exchange_rate_mom_change"]),
-            ("trends", trends, ["previous_value", "value", "yoy_percent_change"]),
-        )
-    ]
-    return parts[0].unionByName(parts[1]).orderBy(F.col("missing_percent").desc(), "dataset", "column").limit(20)
+_SERIES = [*marts.IDENTITY, *marts.WHEN]
+PROFILED = {
+    "group": ("mart_group", [*_SERIES, "member_since", "was_member_during_period", "value", "group_average", "difference_from_group_average", "country_coverage",
+                             "value_rank_desc", "value_percentile", "ingested_at"]),
+    "monetary": ("mart_monetary", ["region_code", *marts.WHEN, "observation_quarter", "observation_month", "policy_rate_percent", "policy_rate_change_pp", "exchange_rate",
+                                   "exchange_rate_mom_change", "exchange_rate_mom_percent_change", "exchange_rate_rolling_3_month_average", "indicator_coverage", "ingested_at"]),
+    "national": ("mart_overview_all", ["region_code", "region_name", *marts.WHEN, *marts.OVERVIEW_COLUMNS.values(), "indicator_coverage", "last_ingested_at"]),
+    "regional": ("mart_regional", [*_SERIES, "value", "previous_observation_date", "previous_value", "yoy_absolute_change", "yoy_percent_change", "province_average",
+                                   "difference_from_province_average", "province_coverage", "value_rank_desc", "value_percentile", "ingested_at"]),
+    "trends": ("mart_trends", [*_SERIES, "value", "previous_observation_date", "previous_value", "next_observation_date", "next_value", "rolling_3_period_average",
+                               "yoy_absolute_change", "yoy_percent_change", "ingested_at"]),
+}
+
+
+@query("top_missing", "SELECT * FROM (" + " UNION ALL ".join(
+    f"""SELECT '{name}' AS dataset, '{c}' AS "column", count(*) - count({c}) AS missing_count, R(100 * (count(*) - count({c}))::DOUBLE / count(*)::DOUBLE) AS missing_percent FROM {table}"""
+    for name, (table, columns) in PROFILED.items() for c in columns
+) + """) ORDER BY missing_percent DESC, dataset, "column" LIMIT 20""")
+def _(lake):
+    """The 20 columns with most gaps, of all columns of all marts; one aggregate a mart."""
+    annual = panels.staged(lake, "ledger_annual")
+    frames = {
+        "group": marts.group_comparison(annual, ref.members(lake.spark)), "monetary": marts.monetary_conditions(panels.staged(lake, "ledger_monthly")),
+        "national": marts.national_overview(annual, None), "regional": marts.regional_analysis(panels.staged(lake, "ledger_regional")), "trends": marts.indicator_trends(annual),
+    }
+    parts = []
+    for name, frame in frames.items():
+        counts = frame.agg(F.count(F.lit(1)).alias("__all"), *(F.count(c).alias(c) for c in PROFILED[name][1]))
+        cells = F.array(*(F.struct(F.lit(c).alias("column"), (F.col("__all") - F.col(c)).alias("missing_count")) for c in PROFILED[name][1]))
+        parts.append(counts.select(F.lit(name).alias("dataset"), "__all", F.inline(cells)))
+    rows = reduce(DataFrame.unionByName, parts)
+    percent = F.round(100 * dbl("missing_count") / F.nullif(dbl("__all"), F.lit(0.0)), 6)
+    rows = rows.select("dataset", "column", "missing_count", percent.alias("missing_percent"))
+    return rows.orderBy(F.col("missing_percent").desc(), "dataset", "column").limit(20)
 
 
 @query("strongest_pair", """

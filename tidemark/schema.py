@@ -23,6 +23,7 @@ OBSERVATION = T.StructType(
     ]
 )
 
+# The columns and codes of the observation contract.
 REQUIRED = [name for name in OBSERVATION.names if name != "parent_region_code"]
 TEXT_COLUMNS = [
     "indicator_code", "indicator_name", "unit", "frequency", "region_code", "region_name",
