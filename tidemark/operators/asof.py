@@ -13,14 +13,14 @@ def asof_last(frame: DataFrame, keys: list[str], date: str, columns: dict[str, s
 
 
 def asof_join(
-    left: DataFrame, right: DataFrame, keys: list[str], left_date: str, right_date: str, value: str, chunk: str = "DAY"
+    left: DataFrame, right: DataFrame, keys: list[str], left_date: str, right_date: str, value: str, chunk: str = "HOUR"
 ) -> DataFrame:
     """For every left row, the value of the last right row dated on or before it.
 
     Both sides go into one stream, cut by key and time chunk. Inside a chunk the last value
     is carried by an ordered window, right rows first on equal dates; what earlier chunks
     leave behind comes from one row per chunk. A key with very many rows is thus spread over
-    its chunks. Right rows are combined to one per key and date before the shuffle.
+    its chunks; the chunk should be short enough that one key's rows in it fit a task. Right rows are combined to one per key and date before the shuffle.
     """
     marks = right.groupBy(*keys, F.col(right_date).alias("__date")).agg(F.max(value).alias("__value"))
     columns = [c for c in left.columns if c not in keys]

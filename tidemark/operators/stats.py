@@ -21,7 +21,7 @@ def melt(frame: DataFrame, ids: Sequence[str], columns: Sequence[str]) -> DataFr
 
 def describe_columns(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
     """count, mean, std, min, quartiles, max and missing count; one row per column."""
-    long = settle(melt(frame, [], columns))
+    long = melt(settle(frame.select(*columns)), [], columns)  # the wide rows are kept, not one copy a column
     moments = long.groupBy("variable").agg(
         F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"), F.max("value").alias("max"),
@@ -69,7 +69,7 @@ def dataset_inventory(datasets: dict[str, tuple[DataFrame, str]]) -> DataFrame:
 
 def iqr_outliers(frame: DataFrame, ids: Sequence[str], columns: Sequence[str], reach: float = 1.5) -> DataFrame:
     """Values outside the quartiles by more than `reach` spreads, per variable."""
-    long = settle(melt(frame, ids, columns).where(F.col("value").isNotNull()))
+    long = melt(settle(frame.select(*dict.fromkeys([*ids, *columns]))), ids, columns).where(F.col("value").isNotNull())
     bounds = quantiles(long, ["variable"], "value", {"q1": 0.25, "q3": 0.75})
     spread = (F.col("q3") - F.col("q1")) * reach
     bounds = bounds.select("variable", (F.col("q1") - spread).alias("lower_bound"), (F.col("q3") + spread).alias("upper_bound"))
