@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import language_id, mixing, packing, rule_ensemble, simhash
+from tidemark.llm import language_id, mixing, near_copies, packing, rule_ensemble
 from tidemark.session import settle
 
 #: No SQL says a fitted classifier or a packing; the run is tested against plain Python.
@@ -31,8 +31,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that SimHash links."""
-    return simhash.deduplicate(docs)
+    """One document of each group linked by a Jaccard similarity of 0.8 or more of five-word shingles."""
+    return near_copies.deduplicate(docs)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
