@@ -4,7 +4,7 @@ import random
 from collections import Counter, defaultdict
 
 import corpus_pipeline
-from tidemark.llm import near_copies
+from tidemark.llm import near_copies, packing
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -70,3 +70,20 @@ def test_near_duplicate_stage_against_brute_force_jaccard(spark):
     for held in groups.values():
         least = min(rows[i][0] for i in held)
         assert sum(got[row] for row in {rows[i] for i in held if rows[i][0] == least}) == 1
+
+
+def test_shards_of_null_and_repeated_rows_are_bounded(spark):
+    texts = [f"own words {i}" for i in range(1200)]
+    rows = [(None, t, "en", f"s{i % 5}", 1) for i, t in enumerate(texts)] + [(7, "the same row", "en", "a", 1)] * 600 + [(None, "the same text", "en", "b", 1)] * 600
+    frame = spark.createDataFrame(rows, DOCS)
+    for cluster in (None, frame["doc_id"]):
+        packed = packing.pack(frame, cluster=cluster, shard_pieces=100).collect()
+        assert len(packed) == 2400 and sum(r.n_words for r in packed) == sum(len(r[1].split()) for r in rows)
+        shards = Counter(r.bin >> 24 for r in packed)
+        assert len(shards) == 24 and max(shards.values()) < 160
+        assert max(Counter(r.bin for r in packed if r.doc_id == 7).values()) == 1
+
+
+def test_rows_without_a_cluster_may_share_a_bin(spark):
+    frame = spark.createDataFrame([(None, f"text {i}", "en", f"s{i}", 1) for i in range(30)], DOCS)
+    assert len({r.bin for r in packing.pack(frame, cluster=frame["doc_id"]).collect()}) == 1

@@ -10,11 +10,12 @@ a new bin is opened only if there is none.
 Conflicts: a bin holds at most one piece of a duplicate cluster and `per_source` pieces of a source.
 Clusters are a column, or else documents with the same lower-cased words.
 
-Shards do not depend on source or cluster, so a source or a group of copies with a third of all
-rows is spread over all of them. Their number follows the words and pieces, their size does not.
+A row's shard follows a number of its own besides its id and cluster, so a source, a group of copies, repeated
+rows or rows without an id are spread over all of them, whatever their part of the rows. The number of shards
+follows the words and pieces, their size does not. The numbers are those of one run: another order of rows gives other bins.
 
-Null sources are one source. Null ids and repeated rows are packed like all others; repeated
-rows are copies. Documents without words are returned with no bin. An empty table gives no rows.
+Null sources are one source, a null in the cluster column is a cluster of one. Null ids and repeated rows are packed like
+all others; repeated rows are copies. Documents without words are returned with no bin. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -88,10 +89,12 @@ def pack_shard(pieces: pd.DataFrame, capacity: int, per_source: int) -> pd.DataF
 def pack(docs: DataFrame, capacity: int = 2048, per_source: int = 2, cluster: Column | None = None, shard_words: int = 1 << 22, shard_pieces: int = 8192) -> DataFrame:
     """doc_id, piece, first_word, n_words, bin, bin_offset of every piece of every document of doc_id, source and text."""
     found = words(F.lower("text"))
-    group = F.xxhash64(found) if cluster is None else F.xxhash64(cluster)
+    number = F.monotonically_increasing_id()
     source = F.when(F.col("source").isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), F.col("source").cast("string")))
-    sizes = docs.select(F.col("doc_id").cast("long").alias("doc_id"), source.alias("source"), F.size(found).cast("long").alias("size"), group.alias("cluster"), F.xxhash64("doc_id", group).alias("row_key"))
-    sizes = settle(sizes)
+    sizes = docs.select(F.col("doc_id").cast("long").alias("doc_id"), source.alias("source"), F.size(found).cast("long").alias("size"), (found if cluster is None else cluster).alias("group"), number.alias("number"))
+    alone = F.xxhash64(F.lit("alone"), F.col("number"))
+    group = F.xxhash64("group") if cluster is None else F.when(F.col("group").isNull(), alone).otherwise(F.xxhash64("group"))
+    sizes = settle(sizes.select("doc_id", "source", "size", group.alias("cluster"), F.xxhash64("doc_id", group, "number").alias("row_key")))
     pieces = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("size") - 1) / capacity))).alias("piece")
     cut = sizes.where("size > 0").select("doc_id", "source", "size", "cluster", "row_key", pieces)
     first = F.col("piece") * capacity
