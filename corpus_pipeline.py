@@ -36,8 +36,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents the mix takes, once for each copy; a copy cut where the mix ends has the words taken."""
-    return mixing.mixed_documents(docs).withColumn("n_chars", F.length("text").cast("long"))
+    """The documents the mix takes, once for each copy, every source to its target; a copy cut where the mix ends has the words taken."""
+    return mixing.mixed_documents(docs, exact=True).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,7 +4,7 @@ import random
 from collections import Counter, defaultdict
 
 import corpus_pipeline
-from tidemark.llm import near_copies, packing
+from tidemark.llm import mixing, near_copies, packing
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -87,3 +87,21 @@ def test_shards_of_null_and_repeated_rows_are_bounded(spark):
 def test_rows_without_a_cluster_may_share_a_bin(spark):
     frame = spark.createDataFrame([(None, f"text {i}", "en", f"s{i}", 1) for i in range(30)], DOCS)
     assert len({r.bin for r in packing.pack(frame, cluster=frame["doc_id"]).collect()}) == 1
+
+
+def test_every_source_of_the_pipeline_mix_ends_at_its_target(spark):
+    """Many sources of less than a block or a few, and a large one."""
+    rng = random.Random(2)
+    rows = [(i, " ".join(["w"] * rng.randrange(1, 60)), "en", f"t{i % 200:03}", 1) for i in range(400)]
+    rows += [(1000 + i, "v " * 2000, "en", "z", 1) for i in range(100)]
+    frame = spark.createDataFrame(rows, DOCS)
+    options = {"block_words": 64, "least_blocks": 1}
+    mix = mixing.plan(frame, exact=True, **options)
+    targets = {r.source: int(r.target) for r in mix.sources.collect()}
+    got = Counter()
+    for r in mixing.mixed_documents(frame, exact=True, **options).collect():
+        got[r.source] += len(r.text.split())
+    assert dict(got) == targets and len(targets) == 201
+    assert sum(r.taken for r in mixing.taken_words(mix).collect()) == sum(targets.values())
+    slots = mix.slots.collect()
+    assert len({r.slot for r in slots}) == len(slots) == len({(r.no, r["rank"]) for r in slots})

@@ -6,7 +6,9 @@ Targets: the mix holds `share` of all words. Sources share it by weight; none ge
 Schedule: slot i has the golden-ratio point frac(i * 0.618...), in 32-bit integers, so reruns and
 other engines agree to the bit. The point falls into one source's part of the cumulated targets.
 The r-th slot of a source takes block r of it, so any stretch of slots holds the sources in
-nearly the target shares, and each source ends within a few blocks of its target.
+nearly the target shares. By these slots alone a source ends within a few blocks of its target, and one of a
+block or two may get none; with `exact`, slots after the target are dropped, those missing come after all
+others, the last block is cut, and every source ends at its target, rounded down to words.
 
 Blocks: a source's documents, shuffled by a hash of their ids, are laid end to end, `most` times
 over, and cut into blocks of equal words. A document is never taken more often than `most` times.
@@ -38,7 +40,7 @@ CHUNK = 4096
 @dataclass(frozen=True)
 class Mix:
     """`sources`: no, source, source_size, weight, target. `rows`: one per document, placed in its
-    source. `slots`: slot, no, rank (the block of that source). `block`: words in a block."""
+    source. `slots`: slot, no, rank (the block of that source), upto (the word of the source it ends before). `block`: words in a block."""
 
     sources: DataFrame
     rows: DataFrame
@@ -98,7 +100,20 @@ def schedule(sources: DataFrame, n_slots: int) -> DataFrame:
     return slots.withColumn("nth", F.row_number().over(inside)).join(chunks, ["no", "chunk"]).select("slot", "no", (F.col("ahead") + F.col("nth") - 1).alias("rank"))
 
 
-def plan(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: int = 2, block_words: int = 1024, least_blocks: int = 1 << 16) -> Mix:
+def to_target(slots: DataFrame, sources: DataFrame, block: int, n_slots: int) -> DataFrame:
+    """The slots with as many ranks of every source as its target has blocks; `upto` ends the last one at the target."""
+    part = F.floor(F.col("target")).cast("long")
+    had = slots.groupBy("no").count()
+    needs = sources.join(had, "no", "left").select("no", part.alias("part"), F.coalesce("count", F.lit(0)).alias("had"), F.ceil(part / block).alias("needs"))
+    kept = slots.join(needs, "no").where(F.col("rank") < F.col("needs")).select("slot", "no", "rank", "part")
+    along = Window.orderBy("no").rowsBetween(Window.unboundedPreceding, -1)
+    short = needs.where("had < needs").withColumn("ahead", F.coalesce(F.sum(F.col("needs") - F.col("had")).over(along), F.lit(0)))
+    more = short.select("*", F.explode(F.sequence("had", F.col("needs") - 1)).alias("rank"))
+    more = more.select((n_slots + F.col("ahead") + F.col("rank") - F.col("had")).alias("slot"), "no", "rank", "part")
+    return kept.unionByName(more).select("slot", "no", "rank", F.least("part", (F.col("rank") + 1) * block).alias("upto"))
+
+
+def plan(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: int = 2, block_words: int = 1024, least_blocks: int = 1 << 16, exact: bool = False) -> Mix:
     """The mix of a table of doc_id, text and source.
 
     A block holds `block_words`, or fewer if the mix would then have under `least_blocks` blocks.
@@ -107,7 +122,10 @@ def plan(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1
     sources = settle(targets(sizes, weights, share, most))
     mixed = int(sources.agg(F.sum(F.floor("target"))).first()[0] or 0)
     block = min(block_words, max(1, mixed // least_blocks))
-    return Mix(sources, place(sizes, sources), schedule(sources, -(-mixed // block)), block, most)
+    n_slots = -(-mixed // block)
+    slots = schedule(sources, n_slots)
+    slots = to_target(slots, sources, block, n_slots) if exact else slots.withColumn("upto", (F.col("rank") + 1) * block)
+    return Mix(sources, place(sizes, sources), slots, block, most)
 
 
 def pieces(mix: Mix) -> DataFrame:
@@ -117,11 +135,11 @@ def pieces(mix: Mix) -> DataFrame:
     last = F.floor((F.col("at") + F.col("size") - 1) / mix.block)
     blocks = F.when(F.col("size") > 0, F.sequence(F.floor(F.col("at") / mix.block), last))
     rows = rows.select("*", F.explode_outer(blocks).alias("rank"))
-    met = rows.join(mix.slots, ["no", "rank"], "left")
+    met = rows.join(mix.slots.withColumnRenamed("upto", "end"), ["no", "rank"], "left")
     low = F.greatest(F.col("at"), F.col("rank") * mix.block) - F.col("at")
-    high = F.least(F.col("at") + F.col("size"), (F.col("rank") + 1) * mix.block) - F.col("at")
-    taken = F.col("slot").isNotNull()
-    return met.select("no", "bucket", "nth", "doc_id", "row_key", "size", "source_size", "copy", "slot", F.when(taken, low).alias("from"), F.when(taken, high).alias("upto"))
+    high = F.least(F.col("at") + F.col("size"), F.col("end")) - F.col("at")
+    taken = F.col("slot").isNotNull() & (high > low)  # a last block may end before the document
+    return met.select("no", "bucket", "nth", "doc_id", "row_key", "size", "source_size", "copy", F.when(taken, F.col("slot")).alias("slot"), F.when(taken, low).alias("from"), F.when(taken, high).alias("upto"))
 
 
 def taken_words(mix: Mix) -> DataFrame:
