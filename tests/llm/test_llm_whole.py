@@ -3,8 +3,11 @@
 import random
 from collections import Counter, defaultdict
 
+import pytest
+from test_llm_queries import full_matches
+
 import corpus_pipeline
-from tidemark.llm import mixing, near_copies, packing
+from tidemark.llm import license_scan, mixing, near_copies, packing
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -105,3 +108,30 @@ def test_every_source_of_the_pipeline_mix_ends_at_its_target(spark):
     assert sum(r.taken for r in mixing.taken_words(mix).collect()) == sum(targets.values())
     slots = mix.slots.collect()
     assert len({r.slot for r in slots}) == len(slots) == len({(r.no, r["rank"]) for r in slots})
+
+
+@pytest.mark.parametrize(("text", "template"), [
+    ("Released under MIT License", "MIT notice"), ("Released under an MIT License", "MIT notice"), ("Released under our own MIT License", "MIT notice"),
+    ("This work is licensed under the GNU General Public License, version 2.", "GPL-2.0 notice"), ("Licensed under CC BY 4.0.", "CC BY 4.0 notice"),
+])
+def test_edited_notices_and_siblings(text, template):
+    found = license_scan.Scanner(license_scan.TEMPLATES).scan(f"Some words before. {text} Some words after.")
+    assert [m.template for m, _, _ in found] == [template]
+
+
+def test_edited_notices_in_whole_texts_against_full_alignment():
+    """Every template by itself, so that none hides another; edits after nearly every word, in texts of hundreds of words."""
+    rng = random.Random(9)
+    templates = {k: v for k, v in license_scan.TEMPLATES.items() if len(v) < 400}
+    pool = [w for v in templates.values() for w in license_scan.tokens(v)]
+    alone = {name: license_scan.Scanner({name: v}) for name, v in templates.items()}
+    n = 0
+    for name, scanner in alone.items():
+        for keep in (0.55, 0.65, 0.85):
+            words = [w for w in license_scan.tokens(templates[name]) if rng.random() < keep for w in ([w, rng.choice(["aa", "bb"])] if rng.random() < 0.3 else [w])]
+            filler = lambda: [rng.choice(pool) if rng.random() < 0.3 else f"w{rng.randrange(99)}" for _ in range(100)]
+            text = " ".join(filler() + words + filler())
+            want = full_matches(text, scanner)
+            assert want <= {m.template for m, _, _ in scanner.scan(text)}
+            n += len(want)
+    assert n > 30

@@ -1,10 +1,12 @@
-"""License scans: winnowed template fingerprints pick candidates, banded alignment measures them.
+"""License scans: an inverted index of template words picks candidate stretches, local alignment measures them.
 
-Texts and templates are lower-cased words. Every run of `gram` words is hashed, and in each window of
-`window` hashes the smallest (of equal ones the last) is kept, so a run of gram + window - 1 words
-shared with a template always shares a fingerprint. The templates' fingerprints form an inverted
-index; hits of one template on nearby diagonals are a candidate, and a local alignment of words
-inside a band around that diagonal counts the matched words and finds the span.
+Texts and templates are lower-cased words. A match at `least` coverage may have a change or an insertion
+after every word, so only single words are certain to be shared: the fingerprints are one-word grams.
+A template stays a candidate of a text while the text holds enough of its words (repeats counted as in the
+template). In an alignment whose score never falls below zero every text word adds two at most if it is one of the
+template's, and takes one if not; so a match lies in a stretch where that running sum does not fall below zero and
+that again holds enough words. Such a stretch is aligned in full, without a band; the words before and after an
+alignment are searched again. Nothing that reaches `least` is lost before the alignment.
 
 A match reports the template, its matched words and their share (coverage), and the span in
 code points of the text. Where matches overlap by half or more, the one with more matched words
@@ -17,8 +19,8 @@ empty table gives an empty result. Only the id and the text are read.
 
 from __future__ import annotations
 
+import math
 import re
-import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -30,7 +32,15 @@ from pyspark.sql import functions as F
 WORD = re.compile(r"[^\W_]+(?:[.+-][^\W_]+)*")
 SCHEMA = "doc_id long, template string, matched_words long, template_words long, coverage double, span_start long, span_end long"
 
-# The wording of common license notices.
+AS_IS = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, '
+    "THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE "
+    "LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS "
+    "OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, "
+    "OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+
+# The wording of common license notices; whole licenses and their parts, versions and variants are entries of their own.
 TEMPLATES = {
     "Apache-2.0 notice": "Licensed under the Apache License, Version 2.0",
     "Apache-2.0 header": (
@@ -74,30 +84,61 @@ TEMPLATES = {
 }
 
 
-def tokens(text: str) -> list[str]:
-    return WORD.findall(text.lower())
-
-
-def hashes(found: list[str], gram: int) -> np.ndarray:
-    """One hash for each run of `gram` words."""
-    single = np.fromiter((zlib.crc32(word.encode()) for word in found), np.uint64, len(found))
-    n = len(single) - gram + 1
-    if n <= 0:
-        return np.empty(0, np.uint64)
-    mixed = np.zeros(n, np.uint64)
-    for k in range(gram):
-        mixed = (mixed ^ single[k : k + n]) * np.uint64(0x9E3779B97F4A7C15)
-        mixed ^= mixed >> np.uint64(29)
-    return mixed
+def _gnu(program: str, name: str, version: str, given: str) -> str:
+    """The header of a GNU license."""
+    return (
+        f"{program} is free software: you can redistribute it and/or modify it under the terms of the GNU {name} General Public License as published by "
+        f"the Free Software Foundation, either version {version} of the License, or (at your option) any later version. "
+        f"{program} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+        f"MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {name} General Public License for more details. "
+        f"You should have received a copy of the GNU {name} General Public License along with {given}"
+    )
+
+
+_SITE = "this program. If not, see <https://www.gnu.org/licenses/>."
+_POST = "{}; if not, write to the Free Software Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA"
+_BSD_2 = TEMPLATES["BSD clauses"] + " "
+_BSD_3 = (
+    "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software "
+    "without specific prior written permission. "
+)
+TEMPLATES |= {
+    "MIT whole": TEMPLATES["MIT"] + (
+        ' THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, '
+        "FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER "
+        "LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+    ),
+    "BSD-2-Clause whole": _BSD_2 + AS_IS,
+    "BSD-3-Clause whole": _BSD_2 + _BSD_3 + AS_IS,
+    "ISC whole": TEMPLATES["ISC"] + (
+        ' THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY '
+        "AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM "
+        "LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR "
+        "PERFORMANCE OF THIS SOFTWARE."
+    ),
+    "BSD notice": "Released under the BSD License.",
+    "Apache-2.0 release notice": "Released under the Apache License, Version 2.0.",
+    "GPL-2.0 notice": "This work is licensed under the GNU General Public License, version 2.",
+    "LGPL-2.1 notice": "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+    "LGPL-3.0 notice": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "AGPL-3.0 notice": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "GPL-3.0 header": _gnu("This program", "", "3", _SITE),
+    "GPL-2.0 header": _gnu("This program", "", "2", _POST.format("this program")),
+    "LGPL-2.1 header": _gnu("This library", "Lesser", "2.1", _POST.format("this library")),
+    "LGPL-3.0 header": _gnu("This program", "Lesser", "3", _SITE),
+    "AGPL-3.0 header": _gnu("This program", "Affero", "3", _SITE),
+    "CC BY 4.0 notice": "Licensed under CC BY 4.0.",
+    "CC BY-SA 4.0 short notice": "Licensed under CC BY-SA 4.0.",
+    "CC BY-ND 4.0 notice": "Licensed under CC BY-ND 4.0.",
+    "CC BY-NC-SA 4.0 notice": "Licensed under CC BY-NC-SA 4.0.",
+    "CC BY 4.0 long notice": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "CC BY-NC 4.0 long notice": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    "CC0 1.0 notice": "This work is dedicated to the public domain under CC0 1.0 Universal.",
+}
 
 
-def winnow(values: np.ndarray, window: int) -> np.ndarray:
-    """Places of the hashes kept: the last of the smallest in every window (all of a short text is one window)."""
-    if not len(values):
-        return np.empty(0, np.int64)
-    size = min(window, len(values))
-    views = np.lib.stride_tricks.sliding_window_view(values, size)[:, ::-1]
-    return np.unique(np.arange(len(views)) + size - 1 - views.argmin(axis=1))
+def tokens(text: str) -> list[str]:
+    return WORD.findall(text.lower())
 
 
 @dataclass(frozen=True)
@@ -116,64 +157,72 @@ class Match:
 class Scanner:
     """The inverted index of a template set."""
 
-    def __init__(self, templates: dict[str, str], gram: int = 3, window: int = 2, least: float = 0.6):
-        self.gram, self.window, self.least = gram, window, least
+    def __init__(self, templates: dict[str, str], least: float = 0.6):
+        self.least = least
         self.names = sorted(templates)
         self.words = [tokens(templates[name]) for name in self.names]
-        entries = []
+        self.place = {word: i + 1 for i, word in enumerate(sorted({word for found in self.words for word in found}))}
+        self.counts = np.zeros((len(self.place) + 1, len(self.names)), np.int64)
         for t, found in enumerate(self.words):
-            values = hashes(found, gram)
-            entries += [(int(values[at]), t, int(at)) for at in winnow(values, window)]
-        entries.sort()
-        self.keys = np.array([e[0] for e in entries], np.uint64)
-        self.postings = [e[1:] for e in entries]
-
-    def band(self, t: int) -> int:
-        return min(16, max(2, len(self.words[t]) // 4))
-
-    def candidates(self, found: list[str]) -> list[tuple[int, int]]:
-        """(template, diagonal): where in the text the template would start."""
-        values = hashes(found, self.gram)
-        places = winnow(values, self.window)
-        low, high = np.searchsorted(self.keys, values[places], "left"), np.searchsorted(self.keys, values[places], "right")
-        starts: dict[int, list[int]] = {}
-        for i in np.nonzero(high > low)[0].tolist():
-            for t, at in self.postings[low[i] : high[i]]:
-                starts.setdefault(t, []).append(int(places[i]) - at)
-        out = []
-        for t, diagonals in sorted(starts.items()):
-            head = None
-            for diagonal in sorted(diagonals):
-                if head is None or diagonal - head > self.band(t):
-                    head = diagonal
-                    out.append((t, diagonal))
+            for word in found:
+                self.counts[self.place[word], t] += 1
+        self.needs = np.array([max(1, math.ceil(least * len(found))) for found in self.words], np.int64)
+
+    def shared(self, t: int, stretch: np.ndarray) -> int:
+        """How many words of a template a stretch holds, each as often as in the template at most."""
+        return int(np.minimum(np.bincount(stretch, minlength=len(self.counts)), self.counts[:, t]).sum())
+
+    def matches(self, found: list[str]) -> list[Match]:
+        """All matches of all templates; those of one template do not overlap."""
+        places = np.fromiter((self.place.get(word, 0) for word in found), np.int64, len(found))
+        held, n = np.unique(places, return_counts=True)
+        enough = np.minimum(n[:, None], self.counts[held]).sum(axis=0) >= self.needs
+        out: list[Match] = []
+        for t in np.nonzero(enough)[0].tolist():
+            # Where the running sum falls to a new smallest value, no alignment goes on; one of score zero keeps its matches.
+            total = np.cumsum(np.where(self.counts[places, t] > 0, 2, -1))
+            over = total >= np.minimum.accumulate(np.concatenate(([0], total[:-1])))
+            edges = np.flatnonzero(np.diff(np.concatenate(([0], over, [0]))))
+            open_ = [(low, high) for low, high in edges.reshape(-1, 2).tolist() if high - low >= self.needs[t]]
+            while open_:
+                low, high = open_.pop()
+                if high - low >= self.needs[t] and self.shared(t, places[low:high]) >= self.needs[t]:
+                    matched, first, last = self.align(t, found, low, high)
+                    if matched >= self.needs[t]:
+                        out.append(Match(self.names[t], matched, len(self.words[t]), first, last))
+                    if matched:
+                        open_ += [(low, first), (last + 1, high)]
         return out
 
-    def align(self, t: int, found: list[str], start: int) -> Match | None:
-        """The best local alignment of template words with text words inside the band: +2 a match, -1 a change or gap."""
-        words, reach = self.words[t], self.band(t)
-        best, above = (0, 0, 0, 0), {}
-        for i, word in enumerate(words):
-            row: dict[int, tuple[int, int, int]] = {}
-            for j in range(max(0, start + i - reach), min(len(found), start + i + 2 * reach + 1)):
-                same = word == found[j]
-                score, matched, first = above.get(j - 1, (0, 0, j))
-                options = [(score + 2, matched + 1, first) if same else (score - 1, matched, first)]
-                for before in (above.get(j), row.get(j - 1)):
-                    if before:
-                        options.append((before[0] - 1, before[1], before[2]))
-                cell = max(options, key=lambda c: (c[0], c[2]))
-                if cell[0] > 0:
-                    row[j] = cell
-                    if same and cell[:2] > best[:2]:
-                        best = (*cell, j)
+    def align(self, t: int, found: list[str], low: int, high: int) -> tuple[int, int, int]:
+        """Matched words, first and last place of the best local alignment with the text words [low, high): +2 a match, -1 a change or gap."""
+        words = self.words[t]
+        nothing = (0, 0, 0)
+        above, best, last = [nothing] * (len(words) + 1), (0, 0, 0), low
+        for j in range(low, high):
+            word, left, row = found[j], nothing, [nothing]
+            for i, wanted in enumerate(words):
+                score, matched, first = above[i]
+                if word == wanted:
+                    cell = (score + 2, matched + 1, first if matched else -j)
+                    if cell[:2] > best[:2]:
+                        best, last = cell, j
+                else:
+                    cell = (score - 1, matched, first)
+                up = above[i + 1]
+                if up[0] - 1 > cell[0] or (up[0] - 1 == cell[0] and up[1:] > cell[1:]):
+                    cell = (up[0] - 1, up[1], up[2])
+                if left[0] - 1 > cell[0] or (left[0] - 1 == cell[0] and left[1:] > cell[1:]):
+                    cell = (left[0] - 1, left[1], left[2])
+                left = cell if cell[0] >= 0 and cell[1] else nothing
+                row.append(left)
             above = row
-        return Match(self.names[t], best[1], len(words), best[2], best[3]) if best[1] >= self.least * len(words) else None
+        return best[1], -best[2], last
 
     def scan(self, text: str | None) -> list[tuple[Match, int, int]]:
         """Matches in order of place, with their spans in code points."""
         found = tokens(text) if text else []
-        matches = {m for t, start in self.candidates(found) if (m := self.align(t, found, start))}
+        matches = self.matches(found) if found else []
         kept: list[Match] = []
         taken = np.zeros(len(found) + 1, bool)
         for m in sorted(matches, key=lambda m: (-m.matched, -m.coverage, m.first, m.template)):
