@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat_format, language_id, license_scan, mixing, packing, quality_rules, rule_ensemble, simhash, sql, threshold_search, url_filter
+from tidemark.llm import ball_codes, chat_format, importance, language_id, license_scan, line_dedup, mixing, packing, quality_rules, rule_ensemble, simhash, sql, threshold_search, url_filter
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -68,6 +68,19 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_table(spark, folder, "documents"))
 
 
+def op11_ball_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return ball_codes.digest(*ball_codes.encode(_table(spark, folder, "embeddings")))
+
+
+def op12_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cleaned = line_dedup.report(_table(spark, folder, "documents"))
+    return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
+def op13_importance(spark: SparkSession, folder: str) -> DataFrame:
+    return importance.resample(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: build for name, build in globals().items() if name.startswith("op")}
 

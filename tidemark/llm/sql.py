@@ -64,3 +64,50 @@ s AS (SELECT a.vec_id AS query_id, b.vec_id, sum(a.x * b.x)::BIGINT AS score FRO
 SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM s
 QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 20
 """
+
+ORACLES["op12_line_dedup"] = r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT r, doc_id, i, lines[i] AS line, translate(regexp_replace(lines[i], '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT r, doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM d)),
+c AS (SELECT key, max(doc_id) AS holder FROM l WHERE length(key) >= 40 GROUP BY 1 HAVING count(DISTINCT doc_id) >= 5),
+m AS (SELECT l.*, c.key IS NOT NULL AND doc_id IS DISTINCT FROM holder AS lost FROM l LEFT JOIN c USING (key))
+SELECT any_value(doc_id) AS doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (lost)::BIGINT AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT lost), '')) AS kept_sha256 FROM m GROUP BY r
+"""
+
+#: The CRC-32 of a word goes through its bits, lowest of each byte first.
+ORACLES["op13_importance"] = r"""
+WITH d AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS words FROM documents),
+e AS (SELECT unnest(list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')) AS word FROM benchmark),
+n AS (SELECT word, sum(s)::DOUBLE AS s, sum(t)::DOUBLE AS t FROM (SELECT word, 1 AS s, 0 AS t FROM (SELECT unnest(words) AS word FROM d) UNION ALL SELECT word, 0, 1 FROM e) GROUP BY 1),
+x AS (SELECT *, hex(encode(word)) AS code FROM n),
+y AS (SELECT *, list_transform(range(4 * len(code)), lambda i: (('0x' || code[(i // 8) * 2 + 1:(i // 8) * 2 + 2])::BIGINT >> (i % 8)) & 1) AS bits FROM x),
+b AS (SELECT word, s, t, xor(4294967295, list_reduce(list_prepend(4294967295, bits), lambda c, bit: xor(c >> 1, 3988292384 * (xor(c, bit) & 1)))) % 10000 AS bucket FROM y),
+g AS (SELECT bucket, floor(1000 * ln((sum(t) + 1) * (sum(sum(s)) OVER () + 10000) / ((sum(s) + 1) * (sum(sum(t)) OVER () + 10000))))::BIGINT AS gain FROM b GROUP BY 1),
+w AS (SELECT doc_id, sum(gain) AS weight FROM (SELECT doc_id, unnest(words) AS word FROM d) JOIN b USING (word) JOIN g USING (bucket) GROUP BY 1),
+r AS (SELECT doc_id, len(words)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight, ('0x' || sha256('2024:' || doc_id)[:8])::BIGINT AS h FROM d LEFT JOIN w USING (doc_id)),
+z AS (SELECT doc_id, n_features, weight, (weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))))::BIGINT AS score FROM r),
+o AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place, count(*) OVER (PARTITION BY n_features >= 20) AS n FROM z)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= 10 * n // 100 THEN place END AS rank FROM o
+"""
+
+
+def _rounds_of_codes(rounds: int = 6) -> str:
+    """Parts against all entries, and the floored means, once a round; the last codes are final."""
+    steps = [
+        """v AS (SELECT vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS q FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        "x AS MATERIALIZED (SELECT vec_id, label, p, q[p * (len(q) // 8) + 1:(p + 1) * (len(q) // 8)] AS part FROM v, range(8) AS r(p))",
+        "b0 AS MATERIALIZED (SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, part AS entry FROM x QUALIFY e < 16)",
+    ]
+    nearest = "SELECT vec_id, label, x.p, e, entry, part, list_sum(list_transform(list_zip(part, entry), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS dist FROM x JOIN b{0} b ON x.p = b.p QUALIFY row_number() OVER (PARTITION BY vec_id, x.p ORDER BY dist, e) = 1"
+    for k in range(rounds):
+        steps.append(f"a{k} AS MATERIALIZED ({nearest.format(k)})")
+        steps.append(f"m{k} AS MATERIALIZED (SELECT p, e, list(mean ORDER BY i) AS entry FROM (SELECT p, e, i, floor(sum(part[i])::DOUBLE / count(*))::BIGINT AS mean FROM a{k}, range(1, len(part) + 1) AS c(i) GROUP BY 1, 2, 3) GROUP BY 1, 2)")
+        steps.append(f"b{k + 1} AS MATERIALIZED (SELECT b.p, b.e, coalesce(m.entry, b.entry) AS entry FROM b{k} b LEFT JOIN m{k} m USING (p, e))")
+    steps.append(f"a AS MATERIALIZED ({nearest.format(rounds)})")
+    steps.append("c AS (SELECT vec_id, any_value(label) AS label, string_agg(lower(printf('%02x', e)), '' ORDER BY p) AS code, sum(dist)::BIGINT AS error FROM a GROUP BY 1)")
+    steps.append(f"h AS (SELECT sha256(string_agg(array_to_string(entry, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM b{rounds})")
+    return f"WITH {(',' + chr(10)).join(steps)}\nSELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256 FROM c, h"
+
+
+ORACLES["op11_ball_codes"] = _rounds_of_codes()
