@@ -3,7 +3,8 @@
 Known words score by their log frequency in each language. An unseen word falls back to its longest
 character n-grams that are known to any language, then to shorter ones, down to single characters,
 with the mean of their log frequencies. A text gets the language with the largest sum; its
-score is that language's share of the likelihoods.
+score is that language's share of the likelihoods. Over many words that share nears one in any text, foreign
+ones too; the share of words known to the language does not (`known_share`).
 
 The model is bounded by parameters: at most about `most_texts` texts of a language are learned from
 (chosen by a hash of the id), and the `most_words` words and `most_grams` n-grams of each order and language
@@ -23,6 +24,7 @@ import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +48,12 @@ class LanguageModel:
     table: np.ndarray
     memory: dict[str, np.ndarray] = field(default_factory=dict, repr=False)
 
+    @cached_property
+    def unseen(self) -> np.ndarray:
+        """The log frequency, per language, of a word that its texts did not hold (and a little more)."""
+        rows = self.table[list(self.words.values())]
+        return rows.min(axis=0, initial=0.0) + 0.1
+
     def __getstate__(self):
         return self.__dict__ | {"memory": {}}
 
@@ -64,10 +72,11 @@ class LanguageModel:
             self.memory[word] = known
         return known
 
-    def predict(self, text: str | None) -> tuple[str, float]:
+    def predict(self, text: str | None) -> tuple[str, float, float]:
+        """Language, score, and the share of the words that the language's own texts held."""
         found = LETTERS.findall(text.lower()) if text else []
         if not self.languages or not any(c.isalpha() for word in found for c in word):
-            return UNKNOWN, 0.0
+            return UNKNOWN, 0.0, 0.0
         total, places, times = np.zeros(len(self.languages)), [], []
         for word, n in Counter(found).items():
             at = self.words.get(word)
@@ -79,7 +88,8 @@ class LanguageModel:
         if places:
             total += np.array(times, np.float64) @ self.table[places]
         best = int(total.argmax())
-        return self.languages[best], float(1 / np.exp(total - total[best]).sum())
+        known = sum(n for at, n in zip(places, times, strict=True) if self.table[at, best] > self.unseen[best])
+        return self.languages[best], float(1 / np.exp(total - total[best]).sum()), known / len(found)
 
 
 def _log_frequencies(counts: dict[str, dict[str, int]], languages: list[str]) -> tuple[list[str], np.ndarray]:
@@ -128,9 +138,10 @@ def learn(docs: DataFrame, most_texts: int = 2000, most_words: int = 40_000, mos
     return LanguageModel(languages, maps.pop(0), maps, np.concatenate(tables))
 
 
-def identify(docs: DataFrame, model: LanguageModel, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The columns `keep` (all, if not given) with lang_pred and score."""
-    keep = [c for c in (docs.columns if keep is None else keep) if c not in ("lang_pred", "score")]
+def identify(docs: DataFrame, model: LanguageModel, text: str = "text", keep: list[str] | None = None, known_share: bool = False) -> DataFrame:
+    """The columns `keep` (all, if not given) with lang_pred, score and, if asked for, known_share: the share of known words."""
+    says = ["lang_pred", "score", "known_share"][: 3 if known_share else 2]
+    keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in says]
     shipped = docs.sparkSession.sparkContext.broadcast(model)
     # A text that is kept anyway is not sent twice.
     rows = docs.select(*keep) if text in keep else docs.select(*keep, text)
@@ -139,9 +150,10 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text", keep: li
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             said = [shipped.value.predict(x.as_py()) for x in batch.column(at)]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:width], pa.array([x[0] for x in said], pa.string()), pa.array([x[1] for x in said], pa.float64())], names=[*keep, "lang_pred", "score"]
-            )
+            found = [pa.array([x[k] for x in said], kind) for k, kind in zip(range(len(says)), kinds, strict=False)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:width], *found], names=[*keep, *says])
 
-    schema = docs.select(*keep).schema.add("lang_pred", "string").add("score", "double")
+    schema, kinds = docs.select(*keep).schema, (pa.string(), pa.float64(), pa.float64())
+    for name in says:
+        schema = schema.add(name, "string" if name == "lang_pred" else "double")
     return rows.mapInArrow(run, schema)

@@ -26,10 +26,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.text import count_words, words
+from tidemark.llm.line_dedup import two_hashes
+from tidemark.llm.text import count_words, set_aside, words
 from tidemark.session import settle
 
 GOLDEN, CIRCLE = 2654435769, 1 << 32
@@ -113,12 +114,13 @@ def to_target(slots: DataFrame, sources: DataFrame, block: int, n_slots: int) ->
     return kept.unionByName(more).select("slot", "no", "rank", F.least("part", (F.col("rank") + 1) * block).alias("upto"))
 
 
-def plan(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: int = 2, block_words: int = 1024, least_blocks: int = 1 << 16, exact: bool = False) -> Mix:
+def plan(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: int = 2, block_words: int = 1024, least_blocks: int = 1 << 16, exact: bool = False, row_key: Column | None = None) -> Mix:
     """The mix of a table of doc_id, text and source.
 
-    A block holds `block_words`, or fewer if the mix would then have under `least_blocks` blocks.
+    A block holds `block_words`, or fewer if the mix would then have under `least_blocks` blocks. `row_key` tells
+    rows of equal ids apart; without one, a hash of all columns orders them.
     """
-    sizes = settle(docs.select(F.col("doc_id"), F.col("source"), count_words(F.col("text")).alias("size"), F.xxhash64(*docs.columns).alias("row_key")))
+    sizes = settle(docs.select(F.col("doc_id"), F.col("source"), count_words(F.col("text")).alias("size"), (F.xxhash64(*docs.columns) if row_key is None else row_key).alias("row_key")))
     sources = settle(targets(sizes, weights, share, most))
     mixed = int(sources.agg(F.sum(F.floor("target"))).first()[0] or 0)
     block = min(block_words, max(1, mixed // least_blocks))
@@ -153,10 +155,12 @@ def taken_words(mix: Mix) -> DataFrame:
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The documents of the mix, all columns kept, once for each copy taken; a copy cut by the end of the mix keeps only the words taken."""
-    mix = plan(docs, **options)
+    docs, back = set_aside(docs, {"__key", "__from", "__upto", "__size"})
+    row = F.struct(*two_hashes(*(F.col(f"`{c}`") for c in docs.columns)))  # 128 bits
+    mix = plan(docs, row_key=row, **options)
     spans = pieces(mix).where("slot IS NOT NULL").groupBy("row_key", "no", "bucket", "nth", "copy").agg(F.min("from").alias("__from"), F.max("upto").alias("__upto"), F.first("size").alias("__size"))
     spans = spans.select(F.col("row_key").alias("__key"), "__from", "__upto", "__size")
-    texts = docs.withColumn("__key", F.xxhash64(*docs.columns)).dropDuplicates(["__key"])
+    texts = docs.withColumn("__key", row).dropDuplicates(["__key"])
     whole = (F.col("__from") == 0) & (F.col("__upto") == F.col("__size"))
     cut = F.array_join(F.slice(words(F.col("text")), (F.col("__from") + 1).cast("int"), (F.col("__upto") - F.col("__from")).cast("int")), " ")
-    return texts.join(spans, "__key").withColumn("text", F.when(whole, F.col("text")).otherwise(cut)).select(*docs.columns)
+    return texts.join(spans, "__key").withColumn("text", F.when(whole, F.col("text")).otherwise(cut)).select(*back)

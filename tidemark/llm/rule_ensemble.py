@@ -25,13 +25,16 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.text import BREAKS, count_characters, words
+from tidemark.llm.text import BREAKS, count_characters, set_aside, words
 from tidemark.session import settle
 
 UPPER, DIGITS, SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "#*$%&<>"
 STATISTICS = ["n_words", "word_length", "distinct_words", "repeated_lines", "upper", "digits", "symbols", "bangs", "bars", "stops", "repeated_pairs"]
 
 
+WORKING = {"statistics", "__words", "__lines", "__n", "__chars", "__score"}
+
+
 def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     """The documents with a column `statistics`, an array of doubles in the order of STATISTICS."""
     body = F.coalesce(F.col(text), F.lit(""))
@@ -144,15 +147,20 @@ def _log_odds(rate: float) -> float:
 
 
 def scored(docs: DataFrame, model: RuleEnsemble, text: str = "text", keep: Sequence[str] | None = None) -> DataFrame:
-    """The documents (or their columns `keep`) with `score`."""
-    return statistics(docs, text).withColumn("score", model.score()).select(*(docs.columns if keep is None else keep), "score")
+    """The documents (or their columns `keep`) with `score`, which takes the place of an input column of that name."""
+    keep = [c for c in (docs.columns if keep is None else keep) if c.lower() != "score"]
+    names = docs.columns
+    docs, back = set_aside(docs, WORKING)
+    own = dict(zip(names, back, strict=True))
+    return statistics(docs, text).withColumn("score", model.score()).select(*(own[c] for c in keep), "score")
 
 
 def accepted(docs: DataFrame, model: RuleEnsemble, threshold: float = 0.3, text: str = "text") -> DataFrame:
     """The documents that score `threshold` or more. A generator picks them, since a filter would be
     moved below the statistics and work them out anew for each rule that names them."""
     passing = F.filter(F.array(model.score()), lambda score: score >= threshold)
-    return statistics(docs, text).select(*docs.columns, F.explode(passing).alias("__score")).drop("__score")
+    docs, back = set_aside(docs, WORKING)
+    return statistics(docs, text).select(*docs.columns, F.explode(passing).alias("__score")).select(*back)
 
 
 def held_out(doc_id: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BREAKS = " \t\n\x0b\x0c\r"
@@ -31,3 +31,18 @@ def count_characters(text: Column, characters: str) -> Column:
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """`body` of a value that is computed once, however often the body names it."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def set_aside(frame: DataFrame, names: set[str]) -> tuple[DataFrame, list[Column]]:
+    """The frame with columns of these names renamed to free ones, and the columns that give its own back."""
+    taken, renamed, back = {c.lower() for c in frame.columns}, {}, []
+    for c in frame.columns:
+        fresh = c
+        if c.lower() in names:
+            fresh = f"{c}_aside"
+            while fresh.lower() in taken:
+                fresh += "_"
+            taken.add(fresh.lower())
+            renamed[c] = fresh
+        back.append(F.col(f"`{fresh}`").alias(c))
+    return frame.withColumnsRenamed(renamed), back
