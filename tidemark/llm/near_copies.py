@@ -232,8 +232,8 @@ def wanted_sets(docs: DataFrame, wanted: DataFrame, text: str, width: int, seed:
     return texts.select("node", "__text").mapInArrow(run, "node long, shingles binary").dropDuplicates(["node"])
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, text: str, width: int, seed: int) -> DataFrame:
-    """Those of the pairs (a, b) whose sets have a Jaccard similarity of 0.8 or more."""
+def confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, text: str, width: int, seed: int) -> DataFrame | None:
+    """Those of the pairs (a, b) whose sets have a Jaccard similarity of 0.8 or more; None if no pair may have."""
 
     def possible(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -253,12 +253,25 @@ def confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, text: str, wi
     side = lambda end: nodes.select(F.col("node").alias(end), F.col("counts").alias(f"counts_{end}"), F.col("n").alias(f"n_{end}"))
     sized = pairs.distinct().join(side("a"), "a").join(side("b"), "b").where("5 * least(n_a, n_b) >= 4 * greatest(n_a, n_b)")
     near = settle(sized.select("a", "b", "counts_a", "counts_b", (F.col("n_a") + F.col("n_b")).alias("n")).mapInArrow(possible, "a long, b long"))
+    if not near.limit(1).count():
+        return None
     ends = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
     sets = settle(wanted_sets(docs, settle(nodes.select("node", "r1", "r2").join(ends, "node", "left_semi")), text, width, seed))
     both = near.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
     return settle(both.select("a", "b", "x", "y").mapInArrow(similar, "a long, b long"))
 
 
+def joined_components(tied: DataFrame, more: DataFrame) -> DataFrame:
+    """id and component after links `more` between components: only these, not all ties, are contracted."""
+    named = tied.select("id", "component")
+    end = lambda name: more.select(F.col(name).alias("id"), F.struct("a", "b").alias("link")).join(named, "id", "left").select("link", F.coalesce("component", "id").alias(name))
+    upper = components(end("a").join(end("b"), "link").select("a", "b"))
+    upper = settle(upper.select(F.col("id").alias("lower"), F.col("component").alias("upper")))
+    moved = named.join(upper, F.col("component") == F.col("lower"), "left").select("id", F.coalesce("upper", "component").alias("component"))
+    # A node with no tie before is an end of its own.
+    return moved.unionByName(upper.join(named, F.col("lower") == F.col("id"), "left_anti").select(F.col("lower").alias("id"), F.col("upper").alias("component")))
+
+
 def told_apart(nodes: DataFrame, most: int = 10_000) -> dict[bytes, int]:
     """Numbers for the sets that share the short identity with another: none but by chance, about n² / 2^61 pairs."""
     shared = nodes.groupBy("node").count().where("count > 1")
@@ -287,8 +300,11 @@ def linked(docs: DataFrame, doc_id: str, text: str, width: int, seed: int, bits:
     met = meetings(settle(prefixes(docs, text, width, seed, id_bits, apart, levels(found, cells))), tile_rows)
     trees = simhash.links(nodes.where("n > 0").select("fp", F.col("node").alias("id")), bits)
     ties = confirmed(neighbours(met).unionByName(trees.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))), docs, nodes, text, width, seed)
-    more = confirmed(across(met, settle(components(ties))), docs, nodes, text, width, seed)
-    return rows, components(ties.unionByName(more))
+    if ties is None:
+        ties = nodes.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
+    tied = settle(components(ties))
+    more = confirmed(across(met, tied), docs, nodes, text, width, seed)
+    return rows, tied if more is None else joined_components(tied, more)
 
 
 def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, seed: int = 42, bits: int = 4, cells: int = 1 << 20, id_bits: int = 60, tile_rows: int = 1024) -> DataFrame:
