@@ -1,6 +1,7 @@
 """Calendars, as-of joins, anomalies, backtests and forecasts."""
 
 import math
+import random
 from datetime import date
 
 import pytest
@@ -106,18 +107,76 @@ def trend_and_season(n=72):
     return [14000 + 15 * i + 80 * math.sin(2 * math.pi * i / 12) for i in range(n)]
 
 
-def test_ima_fit_equals_a_plain_loop(spark):
-    values = [100 + 3 * i + 10 * math.sin(i * 1.7) for i in range(40)]
-    n, train = len(values), 30
-    best = None
-    for theta in fc.THETAS:
-        u = w = uu = uw = ww = 0.0
-        for i in range(2, train + 1):
-            u, w = values[i - 1] - values[i - 2] - theta * u, i - theta * w
-            uu, uw, ww = uu + u * u, uw + u * w, ww + w * w
-        best = min(best or (math.inf,), (uu - uw * uw / ww, theta, uw / ww))
-    fitted = fc.ima_fit(fc.series_arrays(series(spark, values), ["k"], "value"), F.col("n") - (n - train)).first()
-    assert (fitted.theta, fitted.slope) == (best[1], pytest.approx(best[2]))
+def ima_sum(values, theta, train):
+    u = w = uu = uw = ww = 0.0
+    for i in range(2, train + 1):
+        u, w = values[i - 1] - values[i - 2] - theta * u, i - theta * w
+        uu, uw, ww = uu + u * u, uw + u * w, ww + w * w
+    return uu - uw * uw / ww
+
+
+def seasonal_sum(values, theta, seasonal, train):
+    e = [0.0] * 13
+    total = 0.0
+    for i in range(13, train):
+        r = values[i] - values[i - 1] - values[i - 12] + values[i - 13] - theta * e[0] - seasonal * e[11] - theta * seasonal * e[12]
+        e, total = [r, *e[:12]], total + r * r
+    return total
+
+
+def simulated(seed, theta, seasonal, n=96):
+    """Series of known parameters: differences at lags 1 and 12 are a moving average of noise."""
+    rng = random.Random(seed)
+    noise = [rng.gauss(0, 10) for _ in range(n + 13)]
+    values = [1000.0 + 5 * i for i in range(13)]
+    for t in range(13, n):
+        step = noise[t] + theta * noise[t - 1] + seasonal * noise[t - 12] + theta * seasonal * noise[t - 13]
+        values.append(values[-1] + values[-12] - values[-13] + step)
+    return values
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_ima_fit_is_the_least_sum(spark, seed):
+    rng = random.Random(seed)
+    theta = (-0.7, -0.2, 0.3, 0.6)[seed]
+    noise = [rng.gauss(0, 10) for _ in range(60)]
+    values = [100.0]
+    for i in range(1, 60):
+        values.append(values[-1] + 0.05 * i + noise[i] + theta * noise[i - 1])
+    fitted = fc.ima_fit(fc.series_arrays(series(spark, values), ["k"], "value"), F.lit(50)).first()
+    least = min(ima_sum(values, -0.99 + 0.001 * k, 50) for k in range(1981))
+    assert fitted.converged and abs(fitted.theta - theta) < 0.3
+    assert fitted.fit.sse == pytest.approx(ima_sum(values, fitted.theta, 50)) and fitted.fit.sse <= least * (1 + 1e-9)
+
+
+@pytest.mark.parametrize(("seed", "theta", "seasonal"), [(1, -0.4, -0.5), (2, 0.5, -0.3), (3, -0.6, 0.4)])
+def test_seasonal_fit_is_the_least_sum(spark, seed, theta, seasonal):
+    values = simulated(seed, theta, seasonal)
+    fitted = fc.seasonal_fit(fc.series_arrays(series(spark, values), ["k"], "value"), F.lit(90)).first()
+    grid = [-0.98 + 0.07 * k for k in range(29)]
+    least = min(seasonal_sum(values, a, b, 90) for a in grid for b in grid)
+    around = [seasonal_sum(values, fitted.theta + x, fitted.seasonal + y, 90) for x, y in [(1e-3, 0), (-1e-3, 0), (0, 1e-3), (0, -1e-3)]]
+    assert fitted.converged and fitted.fit.sse == pytest.approx(seasonal_sum(values, fitted.theta, fitted.seasonal, 90))
+    assert fitted.fit.sse <= min(least, *around)
+
+
+def test_fits_at_the_bound_have_not_converged(spark):
+    """Noise about a level is over-differenced: the best theta lies at the bound or beyond."""
+    frame = None
+    for seed in range(6):
+        rng = random.Random(seed)
+        rows = series(spark, [500 + rng.gauss(0, 10) for _ in range(60)]).withColumn("k", F.lit(f"s{seed}"))
+        frame = rows if frame is None else frame.unionByName(rows)
+    arrays = fc.series_arrays(frame, ["k"], "value")
+    fits = fc.ima_fit(arrays, F.lit(48), "c").collect()
+    assert any(abs(r.theta) == fc.BOUND for r in fits) and all(not r.converged for r in fits if abs(r.theta) == fc.BOUND)
+    held = {r.k: {r.converged} for r in fits}
+    assert {r.k: {r.converged} for r in fc.ima_predictions(arrays, ["k"], 12, "c").collect()} == held
+
+
+def test_a_constant_series_is_fitted(spark):
+    fitted = fc.ima_fit(fc.series_arrays(series(spark, [7.0] * 40), ["k"], "value"), F.lit(30)).first()
+    assert fitted.fit.sse == 0 and fitted.converged and fitted.slope == 0
 
 
 def test_seasonal_model_covers_its_holdout(spark):

@@ -1,11 +1,14 @@
 """Backtests and forecasts for many series at once.
 
 A series is one row with an array of values: at most one value per calendar slot, which
-`regular_series` enforces before anything is collected. Model fitting is a grid search with
-`aggregate()` folds inside that row, so there is one shuffle by series and no Python.
-
-Moving-average models are fitted by conditional sum of squares on the training part; the
-holdout is then predicted one step ahead without refitting.
+`regular_series` enforces before anything is collected. Models are fitted with `aggregate()` folds
+inside that row, so there is one shuffle by series and no Python.
+
+Moving-average models are fitted by conditional sum of squares on the training part: from the best of a few
+starts, Gauss-Newton steps follow the residuals' derivatives, which one fold carries along with the residuals. A step that
+makes the sum larger is cut to a quarter. Parameters stay within `BOUND`; a fit has converged
+where the next step is below `TOLERANCE` and no parameter lies on the bound. The holdout is
+then predicted one step ahead without refitting.
 """
 
 from __future__ import annotations
@@ -21,9 +24,12 @@ from tidemark.operators.windows import series_window
 
 # Fixed value: two-sided 95 percent point of the normal distribution.
 Z95 = 1.959963984540054
-# Grids over the whole open interval (-1, 1); a fit at an end means that the optimum lies there.
-THETAS = [round(-0.99 + 0.03 * i, 2) for i in range(67)]
-SEASONAL_GRID = [round(-0.99 + 0.18 * i, 2) for i in range(12)]
+BOUND, TOLERANCE, ROUNDS = 0.99, 1e-5, 50
+# A step this small is not taken, and ends a fit.
+STILL = 1e-7
+STARTS, SEASONAL_STARTS = [-0.8, -0.4, 0.0, 0.4, 0.8], [-0.7, -0.2, 0.4]
+# A sum this little larger is rounding, not a worse fit.
+SLACK = 1.0000000001
 SEASON = 12
 
 
@@ -106,35 +112,84 @@ def _difference_steps(trend: str) -> Column:
     ))
 
 
-def _filtered_sums(steps: Column, theta: Column) -> Column:
-    start = F.struct(*(_zero().alias(n) for n in ("u", "w", "uu", "uw", "ww")))
+def _let(value: Column, body) -> Column:
+    """`body` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _ratio(above: Column, below: Column) -> Column:
+    return F.coalesce(above / F.nullif(below, _zero()), _zero())
+
+
+def _outward(parameter: Column, step: Column) -> Column:
+    return ((parameter >= BOUND) & (step > 0)) | ((parameter <= -BOUND) & (step < 0))
+
+
+def _descend(starts: Column, trial, steps: tuple[str, ...], rounds: int = ROUNDS) -> Column:
+    """The best point from the best of `starts`; `trial(point, scale)` is the point a scaled step away, in the fields `steps`.
+
+    Points are structs whose first field is their sum of squares, `sse`.
+    """
+
+    def step(acc, _):
+        def judged(new):
+            kept = F.struct(new.alias("point"), F.least(F.lit(1.0), 2 * acc["scale"]).alias("scale"))
+            cut = F.struct(acc["point"].alias("point"), (acc["scale"] * 0.25).alias("scale"))
+            return F.when(new["sse"] <= acc["point"]["sse"] * SLACK, kept).otherwise(cut)
+
+        ended = F.greatest(*(F.abs(acc["point"][name]) for name in steps), _zero()) < STILL
+        return F.when(ended, acc).otherwise(_let(trial(acc["point"], acc["scale"]), judged))
+
+    first = F.struct(F.array_min(starts).alias("point"), F.lit(1.0).alias("scale"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), first, step, lambda acc: acc["point"])
+
+
+def _moved(parameter: Column, step: Column, scale: Column) -> Column:
+    return F.greatest(F.lit(-BOUND), F.least(F.lit(BOUND), parameter + scale * step))
+
+
+def _ima_point(steps: Column, theta: Column) -> Column:
+    """Sum of squares, best slope and Gauss-Newton step at theta. u and w are the filtered differences and trend, p and q their derivatives."""
+    sums = ("uu", "uw", "ww", "up", "uq", "wp", "wq", "pp", "pq", "qq")
 
     def push(acc, s):
-        u, w = s["d"] - theta * acc["u"], s["x"] - theta * acc["w"]
-        return F.struct(u.alias("u"), w.alias("w"), (acc["uu"] + u * u).alias("uu"),
-                        (acc["uw"] + u * w).alias("uw"), (acc["ww"] + w * w).alias("ww"))
+        def added(x):
+            return F.struct(*(x[k].alias(k) for k in "uwpq"), *((acc[ab] + x[ab[0]] * x[ab[1]]).alias(ab) for ab in sums))
+
+        return _let(F.struct(
+            (s["d"] - theta * acc["u"]).alias("u"), (s["x"] - theta * acc["w"]).alias("w"),
+            (_zero() - acc["u"] - theta * acc["p"]).alias("p"), (_zero() - acc["w"] - theta * acc["q"]).alias("q"),
+        ), added)
+
+    def solved(f):
+        def point(line):
+            s = line["s"]
+            cross = f["wp"] - s * f["wq"]
+            gradient = f["up"] - s * f["uq"] - s * f["wp"] + s * s * f["wq"]
+            curve = f["pp"] - 2 * s * f["pq"] + s * s * f["qq"] - _ratio(cross, f["ww"]) * cross
+            step = _zero() - _ratio(gradient, curve)
+            return F.struct(
+                (f["uu"] - s * f["uw"]).alias("sse"), theta.alias("theta"), s.alias("slope"), f["u"].alias("u"), f["w"].alias("w"),
+                F.when(_outward(theta, step), _zero()).otherwise(step).alias("step"),
+            )
 
-    return F.aggregate(steps, start, push)
+        return _let(F.struct(_ratio(f["uw"], f["ww"]).alias("s")), point)
+
+    start = F.struct(*(_zero().alias(n) for n in ("u", "w", "p", "q", *sums)))
+    return _let(F.aggregate(steps, start, push), solved)
 
 
 def ima_fit(arrays: DataFrame, train: Column, trend: str = "t") -> DataFrame:
-    """Fit y' = slope·trend + e + theta·e(-1) on the first `train` values of every series."""
-
-    def candidate(theta):
-        sums = _filtered_sums(F.slice(F.col("steps"), F.lit(1), F.col("train") - 1), theta)
-        return F.transform(F.array(sums), lambda s: F.struct(
-            (s["uu"] - F.coalesce(s["uw"] * s["uw"] / F.nullif(s["ww"], _zero()), _zero())).alias("sse"),
-            theta.alias("theta"),
-            F.coalesce(s["uw"] / F.nullif(s["ww"], _zero()), _zero()).alias("slope"),
-            s["u"].alias("u"), s["w"].alias("w"),
-        ))[0]
-
-    grid = F.transform(F.lit(THETAS), candidate)
-    fitted = arrays.withColumn("train", train).withColumn("steps", _difference_steps(trend)).withColumn("fit", F.array_min(grid))
+    """Fit y' = slope·trend + e + theta·e(-1) on the first `train` values of every series: theta, slope, sigma, last_residual, converged."""
+    part = F.slice(F.col("steps"), F.lit(1), F.col("train") - 1)
+    starts = F.transform(F.lit(STARTS), lambda theta: _ima_point(part, theta))
+    best = _descend(starts, lambda p, scale: _let(_moved(p["theta"], p["step"], scale), lambda theta: _ima_point(part, theta)), ("step",))
+    fitted = arrays.withColumn("train", train).withColumn("steps", _difference_steps(trend)).withColumn("fit", best)
     return fitted.withColumns({
         "theta": F.col("fit.theta"), "slope": F.col("fit.slope"),
         "sigma": F.sqrt(F.greatest(F.col("fit.sse"), _zero()) / (F.col("train") - 1)),
         "last_residual": F.col("fit.u") - F.col("fit.slope") * F.col("fit.w"),
+        "converged": (F.abs("fit.step") < TOLERANCE) & (F.abs("fit.theta") < BOUND),
     })
 
 
@@ -160,9 +215,9 @@ def _holdout_rows(fitted: DataFrame, keys: Sequence[str], test_periods: int, nam
     ))
     margin = Z95 * F.col("sigma")
     # The outer form keeps the optimizer from testing the array, which would fit the model twice.
-    return fitted.select(*keys, "sigma", F.inline_outer(rows)).select(
+    return fitted.select(*keys, "sigma", "converged", F.inline_outer(rows)).select(
         *keys, F.lit(name).alias("model_name"), F.lit(family).alias("family"), "observation_date", "actual", "prediction",
-        (F.col("prediction") - margin).alias("lower_bound"), (F.col("prediction") + margin).alias("upper_bound"),
+        (F.col("prediction") - margin).alias("lower_bound"), (F.col("prediction") + margin).alias("upper_bound"), "converged",
     )
 
 
@@ -180,30 +235,63 @@ def _seasonal_residual(w: Column, e: Column, theta: Column, seasonal: Column) ->
     return w - theta * F.get(e, 0) - seasonal * F.get(e, SEASON - 1) - theta * seasonal * F.get(e, SEASON)
 
 
-def seasonal_fit(arrays: DataFrame, train: Column) -> DataFrame:
-    """Fit a (0,1,1)(0,1,1,12) model on the first `train` values of every series."""
-    empty = F.array_repeat(_zero(), SEASON + 1)
+def _seasonal_point(steps: Column, theta: Column, seasonal: Column) -> Column:
+    """Sum of squares, the last residuals and the Gauss-Newton step; f and g are the residuals' derivatives by theta and seasonal."""
+    sums = ("ee", "ff", "fg", "gg", "ef", "eg")
 
-    def candidate(pair):
-        def push(acc, w):
-            r = _seasonal_residual(w, acc["e"], pair["a"], pair["b"])
-            recent = F.slice(F.array_prepend(acc["e"], r), 1, SEASON + 1)
-            return F.struct((acc["sse"] + r * r).alias("sse"), recent.alias("e"))
+    def push(acc, w):
+        at = lambda k: F.get(acc["last"], k)
+        one, twelve, thirteen = at(0), at(SEASON - 1), at(SEASON)
+        new = F.struct(
+            (w - theta * one["e"] - seasonal * twelve["e"] - theta * seasonal * thirteen["e"]).alias("e"),
+            (_zero() - one["e"] - seasonal * thirteen["e"] - theta * one["f"] - seasonal * twelve["f"] - theta * seasonal * thirteen["f"]).alias("f"),
+            (_zero() - twelve["e"] - theta * thirteen["e"] - theta * one["g"] - seasonal * twelve["g"] - theta * seasonal * thirteen["g"]).alias("g"),
+        )
+        return _let(new, lambda x: F.struct(
+            F.slice(F.array_prepend(acc["last"], x), 1, SEASON + 1).alias("last"),
+            *((acc[ab] + x[ab[0]] * x[ab[1]]).alias(ab) for ab in sums),
+        ))
+
+    def solved(f):
+        det = f["ff"] * f["gg"] - f["fg"] * f["fg"]
+        both = F.struct(
+            (_zero() - _ratio(f["gg"] * f["ef"] - f["fg"] * f["eg"], det)).alias("a"),
+            (_zero() - _ratio(f["ff"] * f["eg"] - f["fg"] * f["ef"], det)).alias("b"),
+        )
 
-        part = F.slice(F.col("steps"), F.lit(1), F.col("train") - (SEASON + 1))
-        folded = F.aggregate(part, F.struct(_zero().alias("sse"), empty.alias("e")), push)
-        return F.transform(F.array(folded), lambda s: F.struct(
-            s["sse"].alias("sse"), pair["a"].alias("theta"), pair["b"].alias("seasonal"), s["e"].alias("e")
-        ))[0]
+        def point(d):
+            held_a, held_b = _outward(theta, d["a"]), _outward(seasonal, d["b"])
+            # A parameter held at the bound leaves the other its own step.
+            step_a = F.when(held_a, _zero()).when(held_b, _zero() - _ratio(f["ef"], f["ff"])).otherwise(d["a"])
+            step_b = F.when(held_b, _zero()).when(held_a, _zero() - _ratio(f["eg"], f["gg"])).otherwise(d["b"])
+            return F.struct(
+                f["ee"].alias("sse"), theta.alias("theta"), seasonal.alias("seasonal"), step_a.alias("step"), step_b.alias("seasonal_step"),
+                F.transform(f["last"], lambda x: x["e"]).alias("e"),
+            )
 
-    pairs = F.array(*(
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in SEASONAL_GRID for b in SEASONAL_GRID
-    ))
-    fitted = arrays.withColumn("train", train).withColumn("steps", _seasonal_steps())
-    fitted = fitted.withColumn("fit", F.array_min(F.transform(pairs, candidate)))
+        return _let(both, point)
+
+    nothing = F.array_repeat(F.struct(*(_zero().alias(k) for k in "efg")), SEASON + 1)
+    start = F.struct(nothing.alias("last"), *(_zero().alias(n) for n in sums))
+    return _let(F.aggregate(steps, start, push), solved)
+
+
+def seasonal_fit(arrays: DataFrame, train: Column) -> DataFrame:
+    """Fit a (0,1,1)(0,1,1,12) model on the first `train` values of every series: theta, seasonal, sigma, converged."""
+    part = F.slice(F.col("steps"), F.lit(1), F.col("train") - (SEASON + 1))
+    pairs = F.array(*(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in SEASONAL_STARTS for b in SEASONAL_STARTS))
+    starts = F.transform(pairs, lambda pair: _seasonal_point(part, pair["a"], pair["b"]))
+
+    def trial(p, scale):
+        to = F.struct(_moved(p["theta"], p["step"], scale).alias("a"), _moved(p["seasonal"], p["seasonal_step"], scale).alias("b"))
+        return _let(to, lambda pair: _seasonal_point(part, pair["a"], pair["b"]))
+
+    fitted = arrays.withColumn("train", train).withColumn("steps", _seasonal_steps()).withColumn("fit", _descend(starts, trial, ("step", "seasonal_step")))
+    still = (F.abs("fit.step") < TOLERANCE) & (F.abs("fit.seasonal_step") < TOLERANCE)
     return fitted.withColumns({
         "theta": F.col("fit.theta"), "seasonal": F.col("fit.seasonal"),
         "sigma": F.sqrt(F.col("fit.sse") / (F.col("train") - (SEASON + 1))),
+        "converged": still & (F.abs("fit.theta") < BOUND) & (F.abs("fit.seasonal") < BOUND),
     })
 
 
@@ -222,6 +310,22 @@ def seasonal_predictions(arrays: DataFrame, keys: Sequence[str], test_periods: i
     return _holdout_rows(fitted.withColumn("errors", errors), keys, test_periods, name, "sarima")
 
 
+def optimum_check(fitted: DataFrame, keys: Sequence[str], name: str, distance: float = 0.001) -> DataFrame:
+    """Per fitted series: its parameters, whether it converged, and how many points at `distance` in one parameter have a smaller sum."""
+    ends = F.array(F.lit(-distance), F.lit(distance))
+    if "seasonal" in fitted.columns:
+        part = F.slice(F.col("steps"), F.lit(1), F.col("train") - (SEASON + 1))
+        first = F.transform(ends, lambda x: _seasonal_point(part, F.col("theta") + x, F.col("seasonal"))["sse"])
+        second = F.transform(ends, lambda x: _seasonal_point(part, F.col("theta"), F.col("seasonal") + x)["sse"])
+        around = F.concat(first, second)
+    else:
+        part = F.slice(F.col("steps"), F.lit(1), F.col("train") - 1)
+        around = F.transform(ends, lambda x: _ima_point(part, F.col("theta") + x)["sse"])
+    smaller = F.size(F.filter(around, lambda sse: sse < F.col("fit.sse")))
+    seasonal = F.col("seasonal") if "seasonal" in fitted.columns else F.lit(None).cast("double")
+    return fitted.select(*keys, F.lit(name).alias("model_name"), "theta", seasonal.alias("seasonal"), "converged", smaller.alias("smaller_neighbours"))
+
+
 def _forecast_rows(frame: DataFrame, keys: Sequence[str], points: Column, name: str) -> DataFrame:
     """Points to rows; the variance at step h is sigma²(1 + (h-1)(1+theta)²)."""
     rows = frame.select(*keys, "theta", "sigma", F.get("dates", F.col("n") - 1).alias("data_end"),

@@ -29,77 +29,148 @@ WHERE region_code IN (SELECT region_code FROM month_series GROUP BY 1 HAVING cou
 WINDOW w AS (PARTITION BY region_code ORDER BY observation_date)
 """
 TABLES["ima_steps"] = "SELECT region_code, i, n, y - lag(y) OVER (PARTITION BY region_code ORDER BY i) AS d FROM series_rows"
-_THETAS = ", ".join(f"({t})" for t in fc.THETAS)
-TABLES["ima_fold"] = f"""
-SELECT region_code, n, theta::DOUBLE AS theta, 1::BIGINT AS i, 0::DOUBLE AS u, 0::DOUBLE AS w, 0::DOUBLE AS uu, 0::DOUBLE AS uw, 0::DOUBLE AS ww
-FROM (SELECT DISTINCT region_code, n FROM series_rows), (VALUES {_THETAS}) g(theta)
+_STARTS = ", ".join(f"({t})" for t in fc.STARTS)
+_B = fc.BOUND
+TABLES["fit_spans"] = "SELECT DISTINCT region_code, n, n - 24 AS train FROM series_rows UNION SELECT DISTINCT region_code, n, n FROM series_rows"
+# A fold goes along i; at the end of the training part it becomes a point, which the next fold's theta is taken from.
+TABLES["ima_runs"] = f"""
+SELECT region_code, n, train, theta::DOUBLE AS start, 0 AS k, 1::BIGINT AS i, theta::DOUBLE AS theta, 0::DOUBLE AS u, 0::DOUBLE AS w, 0::DOUBLE AS p, 0::DOUBLE AS q,
+  0::DOUBLE AS uu, 0::DOUBLE AS uw, 0::DOUBLE AS ww, 0::DOUBLE AS up, 0::DOUBLE AS uq, 0::DOUBLE AS wp, 0::DOUBLE AS wq, 0::DOUBLE AS pp, 0::DOUBLE AS pq, 0::DOUBLE AS qq FROM fit_spans, (VALUES {_STARTS}) g(theta)
 UNION ALL
-SELECT region_code, n, theta, i, u, w, uu + u * u, uw + u * w, ww + w * w FROM (
-  SELECT f.region_code, f.n, f.theta, s.i, s.d - f.theta * f.u AS u, s.i::DOUBLE - f.theta * f.w AS w, f.uu, f.uw, f.ww
-  FROM ima_fold f JOIN ima_steps s ON s.region_code = f.region_code AND s.i = f.i + 1)
+SELECT region_code, n, train, start, k, i, theta, u, w, p, q, uu + u * u, uw + u * w, ww + w * w, up + u * p, uq + u * q, wp + w * p, wq + w * q, pp + p * p, pq + p * q, qq + q * q FROM (
+  SELECT f.* EXCLUDE (i, u, w, p, q), s.i, s.d - f.theta * f.u AS u, s.i::DOUBLE - f.theta * f.w AS w, 0 - f.u - f.theta * f.p AS p, 0 - f.w - f.theta * f.q AS q
+  FROM ima_runs f JOIN ima_steps s ON s.region_code = f.region_code AND s.i = f.i + 1 AND f.i < f.train)
+"""
+
+
+def _ima_point(source: str) -> str:
+    """sse, slope and the bounded Gauss-Newton step of folds that have come to their end."""
+    return f"""SELECT *, CASE WHEN theta >= {_B} AND raw > 0 OR theta <= -{_B} AND raw < 0 THEN 0 ELSE raw END AS step FROM (
+    SELECT *, 0 - coalesce((up - s * uq - s * wp + s * s * wq) / nullif(pp - 2 * s * pq + s * s * qq - coalesce((wp - s * wq) / nullif(ww, 0), 0) * (wp - s * wq), 0), 0) AS raw, uu - s * uw AS sse FROM (
+      SELECT *, coalesce(uw / nullif(ww, 0), 0) AS s FROM ({source})))"""
+
+
+TABLES["ima_start"] = f"SELECT *, row_number() OVER (PARTITION BY region_code, train ORDER BY sse, theta) AS place FROM ({_ima_point('SELECT * FROM ima_runs WHERE i = train')})"
+_ZEROS = ", ".join(f"0::DOUBLE AS {c}" for c in "u w p q uu uw ww up uq wp wq pp pq qq".split())
+_SUMS = "u, w, p, q, uu, uw, ww, up, uq, wp, wq, pp, pq, qq"
+
+
+def _moved(parameter: str, step: str) -> str:
+    return f"greatest(-{_B}::DOUBLE, least({_B}::DOUBLE, {parameter} + scale * {step}))"
+
+
+TABLES["ima_descent"] = f"""
+SELECT region_code, n, train, 1 AS k, 1::BIGINT AS i, greatest(-{_B}::DOUBLE, least({_B}::DOUBLE, theta + 1::DOUBLE * step)) AS theta, {_ZEROS},
+  sse AS b_sse, theta AS b_theta, s AS b_slope, u AS b_u, w AS b_w, step AS b_step, 1::DOUBLE AS scale FROM ima_start WHERE place = 1
+UNION ALL
+(SELECT region_code, n, train, k, i, theta, u, w, p, q, uu + u * u, uw + u * w, ww + w * w, up + u * p, uq + u * q, wp + w * p, wq + w * q, pp + p * p, pq + p * q, qq + q * q,
+  b_sse, b_theta, b_slope, b_u, b_w, b_step, scale FROM (
+  SELECT f.* EXCLUDE (i, u, w, p, q), s.i, s.d - f.theta * f.u AS u, s.i::DOUBLE - f.theta * f.w AS w, 0 - f.u - f.theta * f.p AS p, 0 - f.w - f.theta * f.q AS q
+  FROM ima_descent f JOIN ima_steps s ON s.region_code = f.region_code AND s.i = f.i + 1 AND f.i < f.train)
+UNION ALL
+SELECT region_code, n, train, k + 1, 1::BIGINT, {_moved('b_theta', 'b_step')}, {_ZEROS}, b_sse, b_theta, b_slope, b_u, b_w, b_step, scale FROM (
+  SELECT region_code, n, train, k, CASE WHEN better THEN sse ELSE b_sse END AS b_sse, CASE WHEN better THEN theta ELSE b_theta END AS b_theta, CASE WHEN better THEN s ELSE b_slope END AS b_slope,
+    CASE WHEN better THEN u ELSE b_u END AS b_u, CASE WHEN better THEN w ELSE b_w END AS b_w, CASE WHEN better THEN step ELSE b_step END AS b_step,
+    CASE WHEN better THEN least(1::DOUBLE, 2 * scale) ELSE scale * 0.25 END AS scale
+  FROM (SELECT *, sse <= b_sse * {fc.SLACK}::DOUBLE AND abs(b_step) >= {fc.STILL} AS better FROM ({_ima_point(f'SELECT * FROM ima_descent WHERE i = train AND k <= {fc.ROUNDS}')}))))
 """
 
 
 def _ima_fit(train: str) -> str:
     return f"""
-SELECT region_code, n, theta, uw / ww AS slope, u - uw / ww * w AS last_residual, sqrt(greatest(uu - uw * uw / ww, 0) / ({train} - 1)) AS sigma FROM (
-  SELECT *, row_number() OVER (PARTITION BY region_code ORDER BY uu - uw * uw / ww, theta) AS rn FROM ima_fold WHERE i = {train}) WHERE rn = 1
+SELECT region_code, n, train, b_theta AS theta, b_slope AS slope, b_sse AS sse, b_u AS u, b_w AS w, b_u - b_slope * b_w AS last_residual, sqrt(greatest(b_sse, 0) / (train - 1)) AS sigma,
+  abs(b_step) < {fc.TOLERANCE} AND abs(b_theta) < {_B} AS converged FROM ima_descent WHERE k = {fc.ROUNDS + 1} AND i = 1 AND train = {train}
 """
 
 
-TABLES["ima_train"] = _ima_fit("(n - 24)")
+TABLES["ima_train"] = _ima_fit("n - 24")
 TABLES["ima_full"] = _ima_fit("n")
+TABLES["ima_walk"] = """
+SELECT region_code, n, train, theta, slope, sigma, converged, train AS i, u, w FROM ima_train
+UNION ALL
+SELECT f.region_code, f.n, f.train, f.theta, f.slope, f.sigma, f.converged, s.i, s.d - f.theta * f.u, s.i::DOUBLE - f.theta * f.w FROM ima_walk f JOIN ima_steps s ON s.region_code = f.region_code AND s.i = f.i + 1
+"""
 TABLES["ima_pred"] = """
-SELECT t.region_code, 'ima_011_drift' AS model_name, r.observation_date, r.y AS actual, r.y - (f.u - t.slope * f.w) AS prediction, t.sigma
-FROM ima_train t JOIN ima_fold f ON f.region_code = t.region_code AND f.theta = t.theta AND f.i > t.n - 24
-JOIN series_rows r ON r.region_code = t.region_code AND r.i = f.i
+SELECT f.region_code, 'ima_011_drift' AS model_name, r.observation_date, r.y AS actual, r.y - (f.u - f.slope * f.w) AS prediction, f.sigma, f.converged
+FROM ima_walk f JOIN series_rows r ON r.region_code = f.region_code AND r.i = f.i WHERE f.i > f.train
 """
 TABLES["sea_steps"] = """
 SELECT region_code, i, n, y - lag(y, 1) OVER w - lag(y, 12) OVER w + lag(y, 13) OVER w AS d FROM series_rows WINDOW w AS (PARTITION BY region_code ORDER BY i)
 """
-_SEASONAL = ", ".join(f"({a}, {b})" for a in fc.SEASONAL_GRID for b in fc.SEASONAL_GRID)
-TABLES["sea_fold"] = f"""
-SELECT region_code, n, theta::DOUBLE AS theta, seasonal::DOUBLE AS seasonal, 13::BIGINT AS i, 0::DOUBLE AS sse, list_transform(range(13), lambda x: 0::DOUBLE) AS e
-FROM (SELECT DISTINCT region_code, n FROM series_rows), (VALUES {_SEASONAL}) g(theta, seasonal)
+_PAIRS = ", ".join(f"({a}, {b})" for a in fc.SEASONAL_STARTS for b in fc.SEASONAL_STARTS)
+_NONE = ", ".join(f"list_transform(range(13), lambda x: 0::DOUBLE) AS {c}" for c in "efg") + ", " + ", ".join(f"0::DOUBLE AS {c}" for c in "ee ff fg gg ef eg".split())
+_NEXT = """s.d - f.theta * f.e[1] - f.seasonal * f.e[12] - f.theta * f.seasonal * f.e[13] AS e0,
+    0 - f.e[1] - f.seasonal * f.e[13] - f.theta * f.f[1] - f.seasonal * f.f[12] - f.theta * f.seasonal * f.f[13] AS f0,
+    0 - f.e[12] - f.theta * f.e[13] - f.theta * f.g[1] - f.seasonal * f.g[12] - f.theta * f.seasonal * f.g[13] AS g0"""
+_ADDED = """list_prepend(e0, e)[1:13] AS e, list_prepend(f0, f)[1:13] AS f, list_prepend(g0, g)[1:13] AS g,
+  ee + e0 * e0 AS ee, ff + f0 * f0 AS ff, fg + f0 * g0 AS fg, gg + g0 * g0 AS gg, ef + e0 * f0 AS ef, eg + e0 * g0 AS eg"""
+TABLES["sea_runs"] = f"""
+SELECT region_code, n, train, 13::BIGINT AS i, theta::DOUBLE AS theta, seasonal::DOUBLE AS seasonal, {_NONE} FROM fit_spans, (VALUES {_PAIRS}) g(theta, seasonal)
 UNION ALL
-SELECT region_code, n, theta, seasonal, i, sse + r * r, list_prepend(r, e)[1:13] FROM (
-  SELECT f.region_code, f.n, f.theta, f.seasonal, s.i, f.sse, f.e, s.d - f.theta * f.e[1] - f.seasonal * f.e[12] - f.theta * f.seasonal * f.e[13] AS r
-  FROM sea_fold f JOIN sea_steps s ON s.region_code = f.region_code AND s.i = f.i + 1)
+SELECT region_code, n, train, i, theta, seasonal, {_ADDED} FROM (
+  SELECT f.* EXCLUDE (i), s.i, {_NEXT} FROM sea_runs f JOIN sea_steps s ON s.region_code = f.region_code AND s.i = f.i + 1 AND f.i < f.train)
+"""
+
+
+def _sea_point(source: str) -> str:
+    out = lambda p, d: f"({p} >= {_B} AND {d} > 0 OR {p} <= -{_B} AND {d} < 0)"
+    return f"""SELECT *, CASE WHEN {out('theta', 'a')} THEN 0 WHEN {out('seasonal', 'b')} THEN 0 - coalesce(ef / nullif(ff, 0), 0) ELSE a END AS step,
+    CASE WHEN {out('seasonal', 'b')} THEN 0 WHEN {out('theta', 'a')} THEN 0 - coalesce(eg / nullif(gg, 0), 0) ELSE b END AS seasonal_step FROM (
+    SELECT *, 0 - coalesce((gg * ef - fg * eg) / nullif(ff * gg - fg * fg, 0), 0) AS a, 0 - coalesce((ff * eg - fg * ef) / nullif(ff * gg - fg * fg, 0), 0) AS b FROM ({source}))"""
+
+
+TABLES["sea_start"] = f"SELECT *, row_number() OVER (PARTITION BY region_code, train ORDER BY ee, theta, seasonal) AS place FROM ({_sea_point('SELECT * FROM sea_runs WHERE i = train')})"
+_BEST = ["sse", "theta", "seasonal", "step", "seasonal_step", "e"]
+TABLES["sea_descent"] = f"""
+SELECT region_code, n, train, 1 AS k, 13::BIGINT AS i, greatest(-{_B}::DOUBLE, least({_B}::DOUBLE, theta + 1::DOUBLE * step)) AS theta, greatest(-{_B}::DOUBLE, least({_B}::DOUBLE, seasonal + 1::DOUBLE * seasonal_step)) AS seasonal, {_NONE},
+  ee AS b_sse, theta AS b_theta, seasonal AS b_seasonal, step AS b_step, seasonal_step AS b_seasonal_step, e AS b_e, 1::DOUBLE AS scale FROM sea_start WHERE place = 1
+UNION ALL
+(SELECT region_code, n, train, k, i, theta, seasonal, {_ADDED}, {', '.join(f'b_{c}' for c in _BEST)}, scale FROM (
+  SELECT f.* EXCLUDE (i), s.i, {_NEXT} FROM sea_descent f JOIN sea_steps s ON s.region_code = f.region_code AND s.i = f.i + 1 AND f.i < f.train)
+UNION ALL
+SELECT region_code, n, train, k + 1, 13::BIGINT, {_moved('b_theta', 'b_step')}, {_moved('b_seasonal', 'b_seasonal_step')}, {_NONE}, {', '.join(f'b_{c}' for c in _BEST)}, scale FROM (
+  SELECT region_code, n, train, k, {', '.join(f"CASE WHEN better THEN {'ee' if c == 'sse' else c} ELSE b_{c} END AS b_{c}" for c in _BEST)}, CASE WHEN better THEN least(1::DOUBLE, 2 * scale) ELSE scale * 0.25 END AS scale
+  FROM (SELECT *, ee <= b_sse * {fc.SLACK}::DOUBLE AND greatest(abs(b_step), abs(b_seasonal_step)) >= {fc.STILL} AS better FROM ({_sea_point(f'SELECT * FROM sea_descent WHERE i = train AND k <= {fc.ROUNDS}')}))))
 """
 
 
 def _sea_fit(train: str) -> str:
     return f"""
-SELECT region_code, n, theta, seasonal, e, sqrt(sse / ({train} - 13)) AS sigma FROM (
-  SELECT *, row_number() OVER (PARTITION BY region_code ORDER BY sse, theta, seasonal) AS rn FROM sea_fold WHERE i = {train}) WHERE rn = 1
+SELECT region_code, n, train, b_theta AS theta, b_seasonal AS seasonal, b_e AS e, b_sse AS sse, sqrt(b_sse / (train - 13)) AS sigma,
+  abs(b_step) < {fc.TOLERANCE} AND abs(b_seasonal_step) < {fc.TOLERANCE} AND abs(b_theta) < {_B} AND abs(b_seasonal) < {_B} AS converged FROM sea_descent WHERE k = {fc.ROUNDS + 1} AND i = 13 AND train = {train}
 """
 
 
-TABLES["sea_train"] = _sea_fit("(n - 24)")
+TABLES["sea_train"] = _sea_fit("n - 24")
 TABLES["sea_full"] = _sea_fit("n")
+TABLES["sea_walk"] = """
+SELECT region_code, n, train, theta, seasonal, sigma, converged, train AS i, e FROM sea_train
+UNION ALL
+SELECT region_code, n, train, theta, seasonal, sigma, converged, i, list_prepend(r, e)[1:13] FROM (
+  SELECT f.* EXCLUDE (i), s.i, s.d - f.theta * f.e[1] - f.seasonal * f.e[12] - f.theta * f.seasonal * f.e[13] AS r FROM sea_walk f JOIN sea_steps s ON s.region_code = f.region_code AND s.i = f.i + 1)
+"""
 TABLES["sea_pred"] = """
-SELECT t.region_code, 'seasonal_ima_011_011_12' AS model_name, r.observation_date, r.y AS actual, r.y - f.e[1] AS prediction, t.sigma
-FROM sea_train t JOIN sea_fold f ON f.region_code = t.region_code AND f.theta = t.theta AND f.seasonal = t.seasonal AND f.i > t.n - 24
-JOIN series_rows r ON r.region_code = t.region_code AND r.i = f.i
+SELECT f.region_code, 'seasonal_ima_011_011_12' AS model_name, r.observation_date, r.y AS actual, r.y - f.e[1] AS prediction, f.sigma, f.converged
+FROM sea_walk f JOIN series_rows r ON r.region_code = f.region_code AND r.i = f.i WHERE f.i > f.train
 """
 PRED_SQL = f"""
 SELECT region_code, model_name, observation_date, R(actual) AS actual, R(prediction) AS prediction, R(prediction - {fc.Z95} * sigma) AS lower_bound, R(prediction + {fc.Z95} * sigma) AS upper_bound FROM
 """
 TABLES["evaluations"] = f"""
-SELECT region_code, model_name, 'baseline' AS family, mae, rmse, mape_percent, NULL::DOUBLE AS coverage, test_observations, test_start, test_end FROM naive_metrics
+SELECT region_code, model_name, 'baseline' AS family, mae, rmse, mape_percent, NULL::DOUBLE AS coverage, test_observations, test_start, test_end, true AS converged FROM naive_metrics
 WHERE region_code IN (SELECT region_code FROM series_rows)
 UNION ALL
 SELECT region_code, model_name, CASE WHEN model_name LIKE 'sea%' THEN 'sarima' ELSE 'arima' END, avg(abs(actual - prediction)), sqrt(avg((actual - prediction) * (actual - prediction))),
        avg(CASE WHEN actual <> 0 THEN abs(actual - prediction) / abs(actual) END) * 100,
-       avg(CASE WHEN actual BETWEEN prediction - {fc.Z95} * sigma AND prediction + {fc.Z95} * sigma THEN 1::DOUBLE ELSE 0 END) * 100, count(*), min(observation_date), max(observation_date)
+       avg(CASE WHEN actual BETWEEN prediction - {fc.Z95} * sigma AND prediction + {fc.Z95} * sigma THEN 1::DOUBLE ELSE 0 END) * 100, count(*), min(observation_date), max(observation_date), bool_and(converged)
 FROM (SELECT * FROM ima_pred UNION ALL SELECT * FROM sea_pred) GROUP BY 1, 2
 """
 TABLES["gate"] = """
-SELECT *, CASE WHEN r1 || r2 || r3 || r4 = '' THEN 'passed' ELSE 'failed' END AS quality_status, trim(r1 || r2 || r3 || r4, ',') AS reasons FROM (
+SELECT *, CASE WHEN r1 || r0 || r2 || r3 || r4 = '' THEN 'passed' ELSE 'failed' END AS quality_status, trim(r1 || r0 || r2 || r3 || r4, ',') AS reasons FROM (
 SELECT s.region_code, s.model_name AS selected_model_name, s.family AS selected_model_family, b.model_name AS baseline_model_name, s.mae AS selected_mae, s.rmse AS selected_rmse,
        s.mape_percent AS selected_mape_percent, b.mae AS baseline_mae, b.rmse AS baseline_rmse, b.mape_percent AS baseline_mape_percent,
        100 * (b.mae - s.mae) / nullif(b.mae, 0) AS mae_improvement_percent, s.coverage AS interval_coverage_percent, s.test_observations, s.test_start, s.test_end,
-       CASE WHEN b.mae = 0 THEN 'baseline_mae_zero,' ELSE '' END AS r1, CASE WHEN 100 * (b.mae - s.mae) / nullif(b.mae, 0) < 5 THEN 'improvement_below_minimum,' ELSE '' END AS r2,
+       CASE WHEN b.mae = 0 THEN 'baseline_mae_zero,' ELSE '' END AS r1, CASE WHEN NOT s.converged THEN 'not_converged,' ELSE '' END AS r0, CASE WHEN 100 * (b.mae - s.mae) / nullif(b.mae, 0) < 5 THEN 'improvement_below_minimum,' ELSE '' END AS r2,
        CASE WHEN s.mape_percent > 40 OR s.mape_percent IS NULL THEN 'mape_above_maximum,' ELSE '' END AS r3, CASE WHEN s.coverage < 70 OR s.coverage IS NULL THEN 'coverage_below_minimum,' ELSE '' END AS r4
 FROM (SELECT *, row_number() OVER (PARTITION BY region_code ORDER BY mae, model_name) AS rn FROM evaluations WHERE family <> 'baseline') s
 JOIN (SELECT *, row_number() OVER (PARTITION BY region_code ORDER BY mae, model_name) AS rn FROM evaluations WHERE family = 'baseline') b ON b.region_code = s.region_code AND b.rn = 1
@@ -180,12 +251,12 @@ def arrays(lake):
 
 @query("ima_drift_backtest", PRED_SQL + "ima_pred")
 def _(lake):
-    return fc.ima_predictions(arrays(lake), KEY, HOLDOUT).drop("family")
+    return fc.ima_predictions(arrays(lake), KEY, HOLDOUT).drop("family", "converged")
 
 
 @query("seasonal_ima_backtest", PRED_SQL + "sea_pred")
 def _(lake):
-    return fc.seasonal_predictions(arrays(lake), KEY, HOLDOUT).drop("family")
+    return fc.seasonal_predictions(arrays(lake), KEY, HOLDOUT).drop("family", "converged")
 
 
 FUTURE_SQL = """
@@ -207,19 +278,47 @@ def evaluations(lake):
     regular = settle(fc.regular_series(settle(month_series(lake)), KEY, "value"))
     series = settle(fc.series_arrays(regular, KEY, "value"))
     predictions = (
-        fc.naive_predictions(regular, KEY, "value", [1, 12], HOLDOUT)
+        fc.naive_predictions(regular, KEY, "value", [1, 12], HOLDOUT).withColumn("converged", F.lit(True))
         .unionByName(fc.ima_predictions(series, KEY, HOLDOUT)).unionByName(fc.seasonal_predictions(series, KEY, HOLDOUT))
     )
-    # A grid search always ends, so every candidate counts as converged.
-    metrics = stats.error_metrics(predictions, ["region_code", "model_name", "family"]).withColumn("converged", F.lit(True))
+    metrics = stats.error_metrics(predictions, ["region_code", "model_name", "family", "converged"])
     return regular, series, settle(predictions), settle(metrics)
 
 
 @query("model_evaluations", """
-SELECT region_code, model_name, family, R(mae) AS mae, R(rmse) AS rmse, R(mape_percent) AS mape_percent, R(coverage) AS interval_coverage_percent, test_observations, test_start, test_end FROM evaluations
+SELECT region_code, model_name, family, R(mae) AS mae, R(rmse) AS rmse, R(mape_percent) AS mape_percent, R(coverage) AS interval_coverage_percent, test_observations, test_start, test_end, I(converged) AS converged FROM evaluations
+""")
+def _(lake):
+    return evaluations(lake)[3]
+
+
+TABLES["ima_around"] = """
+SELECT region_code, n, train, sse, theta + x AS theta, 1::BIGINT AS i, 0::DOUBLE AS u, 0::DOUBLE AS w, 0::DOUBLE AS uu, 0::DOUBLE AS uw, 0::DOUBLE AS ww FROM ima_train, (VALUES (-0.001::DOUBLE), (0.001::DOUBLE)) g(x)
+UNION ALL
+SELECT region_code, n, train, sse, theta, i, u, w, uu + u * u, uw + u * w, ww + w * w FROM (
+  SELECT f.* EXCLUDE (i, u, w), s.i, s.d - f.theta * f.u AS u, s.i::DOUBLE - f.theta * f.w AS w FROM ima_around f JOIN ima_steps s ON s.region_code = f.region_code AND s.i = f.i + 1 AND f.i < f.train)
+"""
+TABLES["sea_around"] = """
+SELECT region_code, n, train, sse, theta + x AS theta, seasonal + z AS seasonal, 13::BIGINT AS i, list_transform(range(13), lambda x: 0::DOUBLE) AS e, 0::DOUBLE AS ee
+FROM sea_train, (VALUES (-0.001::DOUBLE, 0::DOUBLE), (0.001, 0), (0, -0.001), (0, 0.001)) g(x, z)
+UNION ALL
+SELECT region_code, n, train, sse, theta, seasonal, i, list_prepend(r, e)[1:13], ee + r * r FROM (
+  SELECT f.* EXCLUDE (i), s.i, s.d - f.theta * f.e[1] - f.seasonal * f.e[12] - f.theta * f.seasonal * f.e[13] AS r FROM sea_around f JOIN sea_steps s ON s.region_code = f.region_code AND s.i = f.i + 1 AND f.i < f.train)
+"""
+
+
+@query("model_optimum", """
+SELECT f.region_code, 'ima_011_drift' AS model_name, R(theta) AS theta, NULL::DOUBLE AS seasonal, I(converged) AS converged,
+  (SELECT count(*) FROM ima_around a WHERE a.region_code = f.region_code AND a.i = a.train AND a.uu - a.uw / a.ww * a.uw < a.sse) AS smaller_neighbours FROM ima_train f
+UNION ALL
+SELECT f.region_code, 'seasonal_ima_011_011_12', R(theta), R(seasonal), I(converged),
+  (SELECT count(*) FROM sea_around a WHERE a.region_code = f.region_code AND a.i = a.train AND a.ee < a.sse) FROM sea_train f
 """)
 def _(lake):
-    return evaluations(lake)[3].drop("converged")
+    series = settle(arrays(lake))
+    train = F.col("n") - HOLDOUT
+    trend = fc.optimum_check(fc.ima_fit(series.where(F.col("n") > HOLDOUT + 3), train), KEY, IMA)
+    return trend.unionByName(fc.optimum_check(fc.seasonal_fit(series.where(F.col("n") > HOLDOUT + fc.SEASON + 1), train), KEY, SEASONAL))
 
 
 GATE_COLUMNS = """region_code, selected_model_name, selected_model_family, baseline_model_name, R(selected_mae) AS selected_mae, R(selected_rmse) AS selected_rmse, R(selected_mape_percent) AS selected_mape_percent,
