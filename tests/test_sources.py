@@ -91,11 +91,32 @@ def test_rate_files(spark, tmp_path):
     assert {r.issue: r.violations for r in landed.rate_issues(records, "2024-05-01", "2024-06-30").collect() if r.violations} == {}
     assert {r.issue: r.violations for r in landed.rate_issues(records, "2024-05-01", "2024-06-15").collect() if r.violations} == {"outside_dates": 1}
     odd = spark.createDataFrame([("<NewDataSet>" + rate("no date", 1) + rate("2024-05-06", "x") + rate("2024-05-07", 2, "<note>n</note>") + "</NewDataSet>",)], "payload string")
-    assert [r.issue for r in landed.checked_rates(landed.xml_rate_records(odd)).collect()] == ["bad_stamp", "bad_value", None]
-    assert [r.field for r in landed.unexpected_fields(odd).collect()] == ["note"]
+    assert [r.issue for r in landed.checked_rates(landed.xml_rate_records(odd)).collect()] == ["bad_stamp", "bad_value", "unexpected_field:note"]
+    assert [(r.field, r.records) for r in landed.unexpected_fields(landed.xml_rate_records(odd)).collect()] == [("note", 1)]
     assert {r.issue for r in landed.rate_issues(landed.xml_rate_records(odd), "2024-01-01", "2024-12-31").collect() if r.violations} >= {"bad_stamp"}
 
 
+def test_rate_files_with_odd_records(spark, tmp_path):
+    """One record, a tag too many, a tag too few, attributes, and text that is no record."""
+    (tmp_path / "one.xml").write_text('<?xml version="1.0"?>\n<NewDataSet>\n' + rate("2024-05-03", 1) + "\n</NewDataSet>\n")
+    less = rate("2024-05-04", 2).replace("<nil_subkursasing>1.00</nil_subkursasing>", "")
+    (tmp_path / "two.xml").write_text("<NewDataSet>" + rate("2024-05-05", 3, "<a>1</a><b/>") + less + "stray words</NewDataSet>")
+    checked = landed.checked_rates(landed.read_rate_xml(spark, str(tmp_path))).collect()
+    assert sorted((r.issue or "") for r in checked) == ["", "missing_field", "missing_field", "unexpected_field:a,b"]
+    with pytest.raises(Exception, match="unexpected_field:a,b|missing_field"):
+        landed.normalize_rates(landed.read_rate_xml(spark, str(tmp_path))).collect()
+
+
+def test_record_shapes(spark):
+    good = '{"indicator":{"id":"i"},"country":{"id":"c"},"countryiso3code":"ABC","date":"2000","value":1.5,"unit":""}'
+    rows = [good, good.replace("1.5", "null"), good.replace('"2000"', "2000"), good.replace('"date"', '"day"'), "[]", "3", "null", good.replace('{"id":"c"}', "null")]
+    payload = spark.createDataFrame([("f", '[{"page":1},[' + ",".join(rows) + "]]")], "file string, payload string")
+    found = {}
+    for r in landed.record_drift(payload).collect():
+        found.setdefault(r["at"], []).append(r.issue)
+    assert found == {2: ["type:date"], 3: ["missing:date", "unexpected:day"], 4: ["not_an_object"], 5: ["not_an_object"], 6: ["not_an_object"], 7: ["type:country"]}
+
+
 def test_decision_file(spark, tmp_path):
     (tmp_path / "d.csv").write_text('Report,\nTanggal,BI-Rate\n17 Desember 2025,5.75 %\n19 Februari 2026,"5,50 %"\n')
     rows = landed.read_decision_csv(spark, str(tmp_path))

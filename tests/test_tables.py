@@ -184,3 +184,31 @@ def test_clusters_separate_the_two_groups(spark):
         groups.setdefault(r.cluster, set()).add(r.region_code)
     assert 2 <= rows[0].cluster_count <= 5
     assert all(g <= set("ABC") or g <= set("DEF") for g in groups.values())
+
+
+def test_ingest_puts_bad_rows_aside_and_replays_change_nothing(spark, tmp_path):
+    columns = "k string, v int, at timestamp, id long"
+    check = lambda frame: frame.withColumn("issue", F.when(F.col("v") < 0, "negative"))
+    root, aside = str(tmp_path / "table"), str(tmp_path / "aside")
+    write = stream_ingest.write_batches(root, ["k"], "at", check, aside)
+    at = lambda minute: datetime(2024, 1, 1, 0, minute)
+    batches = [[("a", 1, at(1), 1), ("a", -5, at(2), 2), ("b", 2, at(1), 3)], [("a", 7, at(3), 4), ("c", -1, at(4), 5)]]
+    for _ in range(2):  # the second time is a replay
+        for number, rows in enumerate(batches):
+            write(spark.createDataFrame(rows, columns), number)
+        assert {r.k: r.v for r in stream_ingest.current(spark, root, ["k"], "at").collect()} == {"a": 7, "b": 2}
+        assert sorted((r.id, r.issue, r.batch) for r in stream_ingest.rejected(spark, aside).collect()) == [(2, "negative", 0), (5, "negative", 1)]
+    strict = stream_ingest.write_batches(str(tmp_path / "strict"), ["k"], "at", check)
+    with pytest.raises(Exception, match="negative"):
+        strict(spark.createDataFrame(batches[0], columns), 0)
+
+
+def test_rows_seen_before_are_not_taken_again_in_a_later_batch(spark, tmp_path):
+    columns = "k string, v int, at timestamp, id long"
+    files, root, state = str(tmp_path / "in"), str(tmp_path / "table"), str(tmp_path / "state")
+    at = lambda minute: datetime(2024, 1, 1, 0, minute)
+    for rows in ([("a", 1, at(1), 1), ("b", 2, at(2), 2)], [("a", 9, at(1), 1), ("c", 3, at(3), 3)]):
+        spark.createDataFrame(rows, columns).coalesce(1).write.mode("append").parquet(files)
+        stream = stream_ingest.first_seen(spark.readStream.schema(columns).parquet(files), ["id"], "at", "1 hour")
+        stream_ingest.run_ingest(stream, root, state, ["k"], "at")
+    assert {r.k: r.v for r in stream_ingest.current(spark, root, ["k"], "at").collect()} == {"a": 1, "b": 2, "c": 3}

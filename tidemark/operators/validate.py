@@ -33,6 +33,15 @@ def _row_rules(frame: DataFrame) -> dict[str, Column]:
     }
 
 
+def with_issue(frame: DataFrame) -> DataFrame:
+    """The rows with `issue`: the first row rule of the contract that each breaks, null for none."""
+    lacking = missing_columns(frame)
+    if lacking:
+        raise ValueError(f"missing columns: {lacking}")
+    named = (F.when(F.coalesce(test, F.lit(False)), name) for name, test in _row_rules(frame).items())
+    return frame.withColumn("issue", F.coalesce(*named))
+
+
 def _inconsistent(frame: DataFrame, code: str, attributes: list[str]) -> DataFrame:
     return (
         frame.select(code, *attributes).distinct().groupBy(code).count().where("count > 1")

@@ -82,7 +82,7 @@ def _(lake):
 
 def _stream_folders(lake):
     root = work_folder(lake.spark)
-    return f"{root}/table", f"{root}/checkpoint"
+    return f"{root}/table", f"{root}/rejects", f"{root}/checkpoint"
 
 
 @query("stream_freshness", """
@@ -90,7 +90,7 @@ SELECT event_type, date_trunc('day', ts) AS window_start, count(*) AS event_coun
 GROUP BY 1, 2 HAVING date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 2 HOUR FROM events)
 """)
 def _(lake):
-    return event_windows.run_event_windows(lake.spark, f"{lake.folder}/events.parquet", *_stream_folders(lake))
+    return event_windows.run_event_windows(lake.spark, f"{lake.folder}/events.parquet", *_stream_folders(lake)[::2])
 
 
 @query("stream_ingest_upsert", """
@@ -98,3 +98,29 @@ SELECT event_type AS indicator_code, 'u' || user_id AS region_code, ts::DATE AS
 """)
 def _(lake):
     return stream_ingest.run_event_upsert(lake.spark, f"{lake.folder}/events.parquet", *_stream_folders(lake))
+
+
+@query("stream_rejects", """
+SELECT I(event_id) AS event_id, CASE WHEN value IS NULL OR event_id % 10 = 3 THEN 'null_field' WHEN user_id % 10 = 4 THEN 'blank_text' WHEN event_type = 'click' AND event_id % 10 = 5 THEN 'unknown_frequency' WHEN event_id % 10 = 6 THEN 'value_not_finite'
+  ELSE 'province_without_parent' END AS issue, 'rejected' AS status FROM events
+WHERE value IS NULL OR event_id % 10 IN (3, 6, 7) OR user_id % 10 = 4 OR event_type = 'click' AND event_id % 10 = 5
+UNION ALL SELECT I(count(*)), 'none', 'accepted' FROM (SELECT DISTINCT event_type, user_id, ts::DATE FROM events
+  WHERE NOT (value IS NULL OR event_id % 10 IN (3, 6, 7) OR user_id % 10 = 4 OR event_type = 'click' AND event_id % 10 = 5))
+""")
+def _(lake):
+    """Events with planted faults, by id, user and type: what the ingest puts aside, and how many keys it takes."""
+    table, quarantine, checkpoint = _stream_folders(lake)
+    last = F.col("event_id") % 10
+
+    def planted(rows):
+        return rows.withColumns({
+            "value": F.when(last == 3, None).when(last == 6, float("inf")).otherwise(F.col("value")),
+            "region_name": F.when(F.col("region_code").endswith("4"), " ").otherwise(F.col("region_name")),
+            "frequency": F.when((F.col("indicator_code") == "click") & (last == 5), "hourly").otherwise(F.col("frequency")),
+            "region_level": F.when(last == 7, "province").otherwise(F.col("region_level")),
+        })
+
+    stream_ingest.run_event_ingest(lake.spark, f"{lake.folder}/events.parquet", table, quarantine, checkpoint, planted)
+    found = stream_ingest.rejected(lake.spark, quarantine).select("event_id", "issue", F.lit("rejected").alias("status"))
+    taken = stream_ingest.current(lake.spark, table, stream_ingest.EVENT_KEYS, "retrieved_at").agg(F.count(F.lit(1)).alias("event_id"))
+    return found.unionByName(taken.select("event_id", F.lit("none").alias("issue"), F.lit("accepted").alias("status")))

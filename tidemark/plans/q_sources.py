@@ -109,8 +109,8 @@ def _(lake):
 
 
 @query("rate_rules", """
-SELECT unnest(['missing_field', 'currency', 'denomination', 'buy_differs_from_sell', 'bad_stamp', 'outside_dates', 'not_positive', 'repeated_date']) AS issue,
-       unnest([0, 0, 0, 0, 0, (SELECT count(*) FROM daily WHERE day NOT BETWEEN DATE '1996-01-01' AND DATE '2000-12-31'), 0, 0]) AS violations
+SELECT unnest(['missing_field', 'unexpected_field', 'currency', 'denomination', 'buy_differs_from_sell', 'bad_stamp', 'outside_dates', 'not_positive', 'repeated_date']) AS issue,
+       unnest([0, 0, 0, 0, 0, 0, (SELECT count(*) FROM daily WHERE day NOT BETWEEN DATE '1996-01-01' AND DATE '2000-12-31'), 0, 0]) AS violations
 """)
 def _(lake):
     records = landed.xml_rate_records(payloads.rate_documents(lake))
@@ -152,6 +152,38 @@ def _(lake):
     return landed.rejects(landed.checked_rates(faulty)).select("link", "stamp", "issue")
 
 
+@query("rate_field_rejects", """
+SELECT 'N' || lpad(nation_key::VARCHAR, 2, '0') AS link, day || 'T00:00:00+07:00' AS stamp, CASE WHEN nation_key = 5 THEN 'missing_field' ELSE 'unexpected_field:note,source' END AS issue
+FROM daily WHERE nation_key = 5 OR nation_key = 6 AND day(day) <= 9
+""")
+def _(lake):
+    """Rate records with a tag too few (one country) or two too many (early days of another) in their text."""
+    text, early = F.col("payload"), r"(<tgl_subkursasing>[0-9]{4}-[0-9]{2}-0)"
+    faulty = (
+        F.when(text.contains("<lnk_subkursasing>N05<"), F.regexp_replace(text, "<mts_subkursasing>.*?</mts_subkursasing>", ""))
+        .when(text.contains("<lnk_subkursasing>N06<"), F.regexp_replace(text, early, "<source>s</source><note>n</note>$1")).otherwise(text)
+    )
+    records = landed.xml_rate_records(payloads.rate_documents(lake).withColumn("payload", faulty))
+    return landed.rejects(landed.checked_rates(records)).select("link", "stamp", "issue")
+
+
+@query("record_drift", """
+SELECT indicator_code || '-' || region_code AS file, unnest(CASE WHEN region_code = 'N05' THEN ['missing:date', 'unexpected:period'] WHEN region_code = 'N06' THEN ['type:value']
+  WHEN region_code = 'N07' THEN ['not_an_object'] ELSE ['type:country', 'unexpected:note'] END) AS issue, I(count(*)) AS records
+FROM (SELECT indicator_code, region_code FROM stg_annual UNION ALL SELECT DISTINCT indicator_code, region_code FROM stg_annual) WHERE region_code IN ('N05', 'N06', 'N07', 'N08') GROUP BY 1, 2
+""")
+def _(lake):
+    """Indicator records whose fields are renamed, of another type, no objects, or more than agreed, each in one country's files."""
+    payload, file = F.col("payload"), F.col("file")
+    renamed = F.regexp_replace(payload, '"date":', '"period":')
+    quoted = F.regexp_replace(payload, '"value":(null|-?[0-9.E]+)', '"value":"$1"')
+    listed = F.regexp_replace(payload, r'\{"indicator":.*?"value":(?:null|-?[0-9.E]+)\}', "7")
+    more = F.regexp_replace(payload, r'"country":\{[^}]*\}', '"note":1,"country":"a name"')
+    faulty = F.when(file.endswith("-N05"), renamed).when(file.endswith("-N06"), quoted).when(file.endswith("-N07"), listed).when(file.endswith("-N08"), more).otherwise(payload)
+    drift = landed.record_drift(payloads.indicator_envelopes(lake).withColumn("payload", faulty))
+    return drift.groupBy("file", "issue").agg(F.count(F.lit(1)).alias("records"))
+
+
 @query("cube_rejects", """
 SELECT indicator_code, region_code, R(value) AS value, CASE WHEN y % 2 = 0 THEN 'bad_year' ELSE 'unmapped_region' END AS issue
 FROM (SELECT *, year(observation_date) AS y FROM cube_obs) WHERE y % 2 = 0 OR region_code::INT >= 1120

@@ -57,6 +57,40 @@ RECORD = (
 )
 
 
+# The fields of one indicator record with their types, and those that may be there besides.
+RECORD_SHAPE = {"indicator": ["OBJECT"], "country": ["OBJECT"], "countryiso3code": ["STRING"], "date": ["STRING"], "value": ["BIGINT", "DECIMAL", "DOUBLE", "VOID"]}
+RECORD_OPTIONAL = ["unit", "obs_status", "decimal"]
+
+
+def shape_issues(record: Column, shape: dict[str, list[str]], optional: list[str]) -> Column:
+    """What a VARIANT has that its shape does not: `not_an_object`, or `missing:`, `unexpected:` and `type:` with the field, sorted.
+
+    An empty list in `shape` allows every type.
+    """
+    expected = F.lit(list(shape))
+
+    def listed(entries: Column) -> Column:
+        keys = F.map_keys(entries)
+        missing = F.transform(F.array_except(expected, keys), lambda f: F.concat(F.lit("missing:"), f))
+        extra = F.transform(F.array_except(keys, F.lit([*shape, *optional])), lambda f: F.concat(F.lit("unexpected:"), f))
+        wrong = F.array_compact(F.array(*(
+            F.when(~F.regexp_extract(F.schema_of_variant(entries[f]), "^[A-Z]+", 0).isin(kinds), f"type:{f}")
+            for f, kinds in shape.items() if kinds
+        )))
+        return F.array_sort(F.concat(missing, extra, wrong))
+
+    entries = F.transform(F.array(record), lambda r: r.try_cast("map<string,variant>"))
+    return F.get(F.transform(entries, lambda e: F.when(e.isNull(), F.array(F.lit("not_an_object"))).otherwise(listed(e))), F.lit(0))
+
+
+def record_drift(payloads: DataFrame) -> DataFrame:
+    """file, at (position in its list) and issue: every record whose fields or their types are not those of RECORD_SHAPE."""
+    parts = _split_envelope(payloads).where(F.coalesce(_good_envelope(), F.lit(False)))
+    records = F.try_variant_get(F.try_parse_json(F.get("__parts", F.lit(1))), F.lit("$"), "array<variant>")
+    each = parts.select("file", F.posexplode(records).alias("at", "record"))
+    return each.select("file", "at", F.explode(shape_issues(F.col("record"), RECORD_SHAPE, RECORD_OPTIONAL)).alias("issue"))
+
+
 def _split_envelope(payloads: DataFrame) -> DataFrame:
     parts = F.from_json("payload", "array<string>")
     return payloads.withColumn("__parts", F.when(F.col("payload").startswith("["), parts))
@@ -233,27 +267,37 @@ RATE_FIELDS = [
     "id_subkursasing", "lnk_subkursasing", "nil_subkursasing", "beli_subkursasing", "jual_subkursasing",
     "tgl_subkursasing", "mts_subkursasing",
 ]
-RATE_SCHEMA = "struct<Table:array<struct<" + ",".join(f"{f}:string" for f in RATE_FIELDS) + ",__extra:string>>>"
+RATE_SCHEMA = "struct<Table:array<struct<" + ",".join(f"{f}:string" for f in RATE_FIELDS) + ">>>"
 
 
 def read_rate_xml(spark: SparkSession, path: str) -> DataFrame:
-    """Raw records of landed XML files; undeclared fields end up in `__extra`."""
-    schema = ", ".join(f"{f} STRING" for f in RATE_FIELDS) + ", __extra STRING"
-    return (
-        spark.read.format("xml").option("rowTag", "Table").option("columnNameOfCorruptRecord", "__extra").schema(schema).load(path)
-    )
+    """Raw records of landed XML files. Files are cut at the ends of records, so a large one is read by many tasks."""
+    cut = spark.read.option("lineSep", "</Table>").text(path).select(F.col("value").alias("chunk"))
+    frame = F.regexp_replace("chunk", r"(?s)<\?.*?\?>|</?NewDataSet[^>]*>|\s", "")
+    record = F.concat(F.lit("<NewDataSet>"), F.regexp_extract("chunk", "(?s)<Table.*", 0), F.lit("</Table></NewDataSet>"))
+    # What is neither a record nor the frame around records is a record without fields.
+    text = F.when(F.col("chunk").contains("<Table"), record).otherwise("<NewDataSet><Table></Table></NewDataSet>")
+    return xml_rate_records(cut.where(frame != "").select(text.alias("payload")))
 
 
 def xml_rate_records(payloads: DataFrame) -> DataFrame:
-    """Raw records of XML texts in a `payload` column."""
-    return payloads.select(F.explode(F.from_xml("payload", RATE_SCHEMA)["Table"]).alias("t")).select("t.*")
+    """Raw records of XML texts in a `payload` column, each with the tags it has beyond RATE_FIELDS (`unexpected`).
+
+    Values are read by the declared schema, field names from the same text as VARIANT.
+    """
+    tables = F.expr("variant_get(from_xml(payload, 'variant'), '$.Table', 'variant')")
+    several = F.try_variant_get(tables, F.lit("$"), "array<variant>")
+    shapes = F.when(F.schema_of_variant(tables).startswith("ARRAY"), several).otherwise(F.array(tables))
+    keys = F.transform(shapes, lambda record: F.map_keys(record.try_cast("map<string,variant>")))
+    zipped = F.arrays_zip(F.from_xml("payload", RATE_SCHEMA)["Table"].alias("t"), keys.alias("k"))
+    each = payloads.select(F.explode(zipped).alias("z"))
+    extra = F.array_sort(F.array_except(F.coalesce("z.k", F.array().cast("array<string>")), F.lit(RATE_FIELDS)))
+    return each.select(*(F.col(f"z.t.{f}").alias(f) for f in RATE_FIELDS), extra.alias("unexpected"))
 
 
-def unexpected_fields(payloads: DataFrame) -> DataFrame:
-    """file or payload hash, field: tags of rate texts that are not in the exact field set."""
-    tags = F.array_distinct(F.regexp_extract_all("payload", F.lit(r"<([A-Za-z_][A-Za-z0-9_.-]*)"), F.lit(1)))
-    extra = F.array_except(tags, F.lit(["NewDataSet", "Table", *RATE_FIELDS]))
-    return payloads.select(F.sha2("payload", 256).alias("payload_sha256"), F.explode(extra).alias("field"))
+def unexpected_fields(records: DataFrame) -> DataFrame:
+    """field, records: tags of rate records that are not in the exact field set."""
+    return records.select(F.explode("unexpected").alias("field")).groupBy("field").agg(F.count(F.lit(1)).alias("records"))
 
 
 def checked_rates(records: DataFrame, currency: str = "USD") -> DataFrame:
@@ -262,7 +306,8 @@ def checked_rates(records: DataFrame, currency: str = "USD") -> DataFrame:
     value = F.trim("beli_subkursasing").try_cast("decimal(24,6)")
     number = lambda c: F.trim(c).try_cast("double")
     issue = (
-        F.when(F.exists(F.array(*RATE_FIELDS), lambda f: f.isNull()), "missing_field").when(day.isNull(), "bad_stamp").when(value.isNull(), "bad_value")
+        F.when(F.exists(F.array(*RATE_FIELDS), lambda f: f.isNull()), "missing_field")
+        .when(F.size("unexpected") > 0, F.concat(F.lit("unexpected_field:"), F.array_join("unexpected", ","))).when(day.isNull(), "bad_stamp").when(value.isNull(), "bad_value")
         .when(F.trim("mts_subkursasing") != currency, "currency").when(~number("nil_subkursasing").eqNullSafe(F.lit(1.0)), "denomination")
         .when(~number("beli_subkursasing").eqNullSafe(number("jual_subkursasing")), "buy_differs_from_sell").when(value <= 0, "not_positive")
     )
@@ -280,6 +325,7 @@ def rate_issues(records: DataFrame, start: str, end: str, currency: str = "USD")
     day = iso_local_date(F.col("tgl_subkursasing"))
     tests = {
         "missing_field": F.exists(F.array(*RATE_FIELDS), lambda f: f.isNull()),
+        "unexpected_field": F.size("unexpected") > 0,
         "currency": F.trim("mts_subkursasing") != currency,
         "denomination": number("nil_subkursasing") != 1,
         "buy_differs_from_sell": number("beli_subkursasing") != number("jual_subkursasing"),
