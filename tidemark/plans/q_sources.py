@@ -90,6 +90,22 @@ def _(lake):
     return landed.cube_issues(payloads.cube_payloads(lake), known)
 
 
+@query("cube_key_drift", """
+SELECT y - 1900 || '' AS file, region || '1975' || tv || (y - 1900) || tp AS key, 'ambiguous_key' AS issue FROM (
+  SELECT y, region, CASE rf WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END AS tv, CASE ls WHEN 'F' THEN 1 ELSE 2 END AS tp FROM cube UNION SELECT y, 9999, CASE rf WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END, CASE ls WHEN 'F' THEN 1 ELSE 2 END FROM cube)
+WHERE y % 2 = 1 AND y < 2000 AND tv = 1
+UNION ALL SELECT DISTINCT y - 1900 || '', 'odd' || (y - 1900), 'unknown_key' FROM cube WHERE y % 2 = 0
+""")
+def _(lake):
+    """Cubes with planted faults: in odd years an id that makes other cuts of a key possible, in even years a key of no listed ids."""
+    payload, year = F.col("payload"), F.col("file").cast("int")
+    item = lambda name, val: F.concat(F.lit(f'"{name}":[{{"val":"'), val, F.lit('","label":"odd"},'))
+    two = F.replace(F.replace(payload, F.lit('"turvar":['), item("turvar", F.lit("19"))), F.lit('"tahun":['), item("tahun", F.substring("file", 2, 1)))
+    none = F.replace(payload, F.lit('"datacontent":{'), F.concat(F.lit('"datacontent":{"odd'), F.col("file"), F.lit('":"1",')))
+    known = lake.nation.select((F.col("n_nationkey") + 1100).cast("string").alias("region_code"))
+    return landed.cube_issues(payloads.cube_payloads(lake).withColumn("payload", F.when(year % 2 == 1, two).otherwise(none)), known)
+
+
 @query("series_identity", """
 SELECT DISTINCT 'P.' || p_brand || '.TV' || p_size || '.TP' || p_type AS series_code,
        p_name || CASE WHEN lower(p_brand) NOT IN ('-', lower(p_name)) THEN ' — ' || p_brand ELSE '' END

@@ -11,6 +11,8 @@ lost without a word. The `normalize_*` functions require clean input.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -198,30 +200,76 @@ def _cubes(payloads: DataFrame) -> DataFrame:
     )
 
 
-def cube_cells(payloads: DataFrame) -> DataFrame:
-    """The filled cells of a sparse cube whose keys concatenate five ids.
+CUBE_DIMENSIONS = ["vervar", "var", "turvar", "tahun", "turtahun"]
+
+
+def _by_id(items: Column) -> Column:
+    """A dimension list as a map of its first item by id."""
+    ids = F.array_distinct(F.filter(F.transform(items, lambda x: x["val"]), lambda v: v.isNotNull()))
+    return F.map_from_arrays(ids, F.transform(ids, lambda v: F.get(F.filter(items, lambda x: x["val"] == v), F.lit(0))))
+
+
+def _readings(key: Column) -> Column:
+    """All ways to cut a key into one listed id of each dimension: ids in the order of CUBE_DIMENSIONS.
+
+    The cuts grow dimension by dimension, and only lengths that a dimension's ids have are tried, so a
+    key costs its own few cuts, not the product of the lists.
+    """
+    cuts = F.array(F.struct(F.lit(1).alias("at"), F.array().cast("array<string>").alias("ids")))
+
+    def longer(cut: Column, name: str) -> Column:
+        piece = lambda n: F.substring(key, cut["at"], n)
+        fitting = F.filter(F.col(f"__{name}_sizes"), lambda n: F.map_contains_key(F.col(f"__{name}"), piece(n)))
+        return F.transform(fitting, lambda n: F.struct((cut["at"] + n).alias("at"), F.array_append(cut["ids"], piece(n)).alias("ids")))
+
+    for name in CUBE_DIMENSIONS:
+        grown = partial(longer, name=name)
+        cuts = F.flatten(F.transform(cuts, lambda cut: grown(cut)))  # noqa: B023  (called at once)
+    whole = F.filter(cuts, lambda cut: cut["at"] == F.length(key) + 1)
+    return F.transform(whole, lambda cut: cut["ids"])
 
-    The dimension lists of one file unnest inside its own row, next to its own map, and a key
-    that is not in the map drops out before any shuffle.
+
+def cube_keys(payloads: DataFrame) -> DataFrame:
+    """file, key and text of every filled cell of a sparse cube whose keys concatenate five ids, and `n_readings`, how many ways
+    the key can be cut into listed ids; with just one, the items of the five dimensions.
+
+    Each file's filled keys are read in its own row, and leave it with their own items only.
     """
-    rows = _cubes(payloads)
-    for name in ("vervar", "turvar", "tahun", "turtahun"):
-        rows = rows.withColumn(name, F.explode(name))
-    key = F.concat("vervar.val", "var.val", "turvar.val", "tahun.val", "turtahun.val")
-    return rows.withColumn("key", key).withColumn("text", F.try_element_at("content", F.col("key"))).where(
-        F.map_contains_key("content", F.col("key"))
-    ).drop("content")
+    rows = _cubes(payloads).withColumn("var", F.array("var"))
+    for name in CUBE_DIMENSIONS:
+        rows = rows.withColumn(f"__{name}", _by_id(F.col(name)))
+        rows = rows.withColumn(f"__{name}_sizes", F.array_distinct(F.transform(F.map_keys(f"__{name}"), F.length)))
+
+    def cell(entry):
+        def read(found):
+            item = lambda name, i: F.when(F.size(found) == 1, F.try_element_at(F.col(f"__{name}"), F.get(F.get(found, F.lit(0)), F.lit(i)))).alias(name)
+            return F.struct(
+                entry["key"].alias("key"), entry["value"].alias("text"), F.size(found).alias("n_readings"),
+                *(item(name, i) for i, name in enumerate(CUBE_DIMENSIONS)),
+            )
+
+        return F.get(F.transform(F.array(_readings(entry["key"])), read), F.lit(0))
+
+    return rows.select("file", F.inline(F.transform(F.map_entries("content"), cell)))
+
+
+def cube_cells(payloads: DataFrame) -> DataFrame:
+    """The cells whose key has one reading."""
+    return cube_keys(payloads).where("n_readings = 1").drop("n_readings")
 
 
 def checked_cube(payloads: DataFrame, prefixes: DataFrame, national_code: str = "9999", regions: DataFrame | None = None) -> DataFrame:
-    """Cube cells as observations, with what is wrong with them. Missing texts and the national total are skipped."""
-    rows = cube_cells(payloads).where(F.col("vervar.val") != national_code)
+    """Cube cells as observations, with what is wrong with them. Missing texts and the national total are skipped.
+
+    A key of two readings is a row without dimensions; keys of none are left to `cube_issues`.
+    """
+    rows = cube_keys(payloads).where("n_readings > 0").where(F.coalesce(F.col("vervar.val") != national_code, F.lit(True)))
     rows = rows.join(prefixes, F.col("var.val") == F.col("variable_id"), "left")
     if regions is not None:
         rows = rows.join(regions.select(F.col("region_code").alias("__known")).distinct(), F.col("vervar.val") == F.col("__known"), "left")
     year, number = year_in_label(F.col("tahun.label")), numeric_token(F.col("text"))
     issue = F.coalesce(
-        F.when(F.col("code_prefix").isNull(), "unknown_variable"), F.when(year.isNull(), "bad_year"), numeric_token_issue(F.col("text")),
+        F.when(F.col("n_readings") > 1, "ambiguous_key"), F.when(F.col("code_prefix").isNull(), "unknown_variable"), F.when(year.isNull(), "bad_year"), numeric_token_issue(F.col("text")),
         F.when(F.col("__known").isNull(), "unmapped_region") if regions is not None else F.lit(None).cast("string"),
     )
     present = number.isNotNull() | numeric_token_issue(F.col("text")).isNotNull()
@@ -244,22 +292,16 @@ def normalize_cube(payloads: DataFrame, prefixes: DataFrame, national_code: str
 
 def cube_issues(payloads: DataFrame, regions: DataFrame, period_ids: list[str] | None = None,
                 national_code: str = "9999") -> DataFrame:
-    """Drift: unexplained keys, unmapped regions, unlisted periods, texts that are no numbers."""
-    cells = cube_cells(payloads)
-    all_keys = _cubes(payloads).select("file", F.explode(F.map_keys("content")).alias("key"))
-    parts = [
-        all_keys.join(cells.select("file", "key"), ["file", "key"], "left_anti").select("file", "key", F.lit("unknown_key").alias("issue")),
-        cells.where(F.col("vervar.val") != national_code).join(
-            regions.select(F.col("region_code").alias("__r")), F.col("vervar.val") == F.col("__r"), "left_anti"
-        ).select("file", "key", F.lit("unmapped_region").alias("issue")),
-        cells.select("file", "key", numeric_token_issue(F.col("text")).alias("issue")).where(F.col("issue").isNotNull()),
-    ]
-    if period_ids is not None:
-        parts.append(cells.where(~F.col("tahun.val").isin(period_ids)).select("file", "key", F.lit("unlisted_period").alias("issue")))
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    """Drift: keys of no reading or of several, unmapped regions, unlisted periods, texts that are no numbers. One parse, one row an issue."""
+    known = regions.select(F.col("region_code").alias("__known")).distinct()
+    cells = cube_keys(payloads).join(known, F.col("vervar.val") == F.col("__known"), "left")
+    found = F.array_compact(F.array(
+        F.when(F.col("n_readings") == 0, "unknown_key"), F.when(F.col("n_readings") > 1, "ambiguous_key"),
+        F.when((F.col("vervar.val") != national_code) & F.col("__known").isNull(), "unmapped_region"),
+        F.when(F.col("n_readings") == 1, numeric_token_issue(F.col("text"))),
+        F.when(~F.col("tahun.val").isin(period_ids), "unlisted_period") if period_ids is not None else F.lit(None).cast("string"),
+    ))
+    return cells.select("file", "key", F.explode(found).alias("issue"))
 
 
 # The exact field set of one daily rate record.
