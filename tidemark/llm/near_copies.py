@@ -10,7 +10,7 @@ Texts with equal sets are one node. Two searches find candidate pairs of nodes,
 The order needs no exact counts: shingles are counted in `cells` hash cells over all rows, so a passage that many documents
 share comes late in each, and is met only by documents that are mostly such passages. The table of cells has a fixed size.
 
-No group is compared pair by pair at once. First each node of a key is paired with the one before it by size, and confirmed
+No group is compared pair by pair at once. First each node of a key is paired with two others of it (`neighbours`), and confirmed
 pairs make components; a dense group of copies ends here. Then only nodes of different components are paired, in tiles of
 bounded rows where a key holds very many. Before a set is read again, the counts of its shingles in 64 buckets must allow the
 link (sets differ at least as much as these counts). Sets are sent pair by pair, never by group, and a text is hashed in slices of words.
@@ -198,10 +198,17 @@ def may_link(x: str, y: str) -> str:
 
 
 def neighbours(met: DataFrame) -> DataFrame:
-    """Pairs (a, b) of nodes next to each other by size among those of a key."""
-    along = Window.partitionBy("key", "part").orderBy("n", "node")
-    rows = met.select("node", F.struct("n", "at").alias("x"), F.lag("node").over(along).alias("other"), F.lag(F.struct("n", "at")).over(along).alias("y"))
-    return rows.where(F.col("other").isNotNull()).where(may_link("x", "y")).select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
+    """Pairs (a, b) of nodes of a key: each with the one before it by size, and with the one that has the key earliest in its order.
+
+    That one has the fewest rare shingles: where copies were made from one text, it is the text itself.
+    """
+    cell = Window.partitionBy("key", "part")
+    by_size, by_place = cell.orderBy("n", "node"), cell.orderBy("at", "node")
+    own = F.struct("node", "n", "at")
+    others = F.array(F.lag(own).over(by_size), F.first(own).over(by_place))
+    rows = met.select(own.alias("x"), others.alias("others")).select("x", F.explode("others").alias("y"))
+    rows = rows.where("y.node <> x.node").where(may_link("x", "y"))
+    return rows.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
 
 
 def across(met: DataFrame, tied: DataFrame) -> DataFrame:
