@@ -1,5 +1,6 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables and clashing columns."""
 
+import math
 import random
 from collections import Counter
 
@@ -101,17 +102,22 @@ def test_chat(spark):
 def test_search(spark):
     rng = np.random.default_rng(0)
     rows = [(i, rng.normal(0, 0.3, 6).tolist()) for i in range(200)] + [(500 + i, [0.5] * 6) for i in range(5)]
-    rows += [(300, None), (301, [1.0, None, 0.0]), (302, [float("nan")] * 6), (303, [float("inf")] * 6), (None, [1.0] * 6), (304, [1e30] * 6), (0, rows[0][1]), (305, []), (306, [0.9])]
+    rows += [(300, None), (301, [1.0, None, 0.0]), (302, [float("nan")] * 6), (303, [float("inf")] * 6), (None, [1.0] * 6), (0, rows[0][1]), (0, rows[7][1]), (305, []), (306, [0.9])]
+    rows += [(304, [7e14] + [0.0] * 5), (320, [0.1, -3e7, 0.0, 3e7, 0.0, 1e-9]), (321, [0.1, -3e7, 0.0, 3e7, 0.0, 1e-9])]  # products beyond what doubles hold exactly
     table = spark.createDataFrame([(*r, 9) for r in rows], "vec_id long, embedding array<double>, score int")
     got = {}
     for r in threshold_search.search(table, F.col("vec_id") % 20 == 0, k=7, shard_rows=40, block_rows=4).collect():
         got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
-    kept = {i: np.array([np.floor(64 * x) for x in v] + [0] * (6 - len(v)), int) for i, v in rows if i is not None and v is not None and all(x is not None and abs(x) < 1e6 for x in v)}
+    kept = [(i, [math.floor(64 * x) for x in v] + [0] * (6 - len(v))) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     want = {}
-    for q in [i for i in kept if i % 20 == 0]:
-        order = sorted(((-int(kept[q] @ v), i) for i, v in kept.items() if i != q))[:7]
-        want[q] = [(n + 1, i, -s) for n, (s, i) in enumerate(order)]
-    assert {q: sorted(v) for q, v in got.items()} == want
+    for n, (q, asked) in enumerate(kept):
+        if q % 20 == 0:
+            best = sorted((-sum(a * b for a, b in zip(asked, v)), i) for m, (i, v) in enumerate(kept) if m != n)[:7]
+            want.setdefault(q, []).extend((rank + 1, i, -s) for rank, (s, i) in enumerate(best))
+    assert {q: sorted(v) for q, v in got.items()} == {q: sorted(v) for q, v in want.items()} and len(got[0]) == 21
+    beyond = spark.createDataFrame([(0, [1e30]), (1, [1e30])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="too large|too big|Overflow"):
+        threshold_search.search(beyond, F.col("vec_id") == 0).collect()
     assert threshold_search.search(table.limit(0), F.col("vec_id") % 20 == 0).collect() == []
 
 

@@ -1,6 +1,6 @@
 """Exact top-k inner products by Fagin's threshold algorithm.
 
-Candidates are cut into shards by a hash of their ids and queries into blocks; each (block, shard)
+Candidates are cut into shards by a hash of their row numbers and queries into blocks; each (block, shard)
 is one group. A shard keeps one sorted list per dimension. A query walks all lists at once
 from the end its component prefers, scores every vector it meets, and stops when the best score
 still possible for an unseen vector (the sum over dimensions of its component times the last value
@@ -10,10 +10,14 @@ answers are merged by rank.
 Groups hold at most about `shard_rows` candidates and `block_rows` queries, whatever the table. The
 work is queries times candidates at worst, spread over the groups.
 
-Components are quantised to floor(scale * x). Vectors that are null or hold null or non-finite
-components, components beyond 2^28 after scaling, or no id, take no part. Shorter vectors count as
-padded with zeros. Rows with the same id count once, with the smallest vector. With fewer than k
-candidates all are returned; empty tables and query sets give no rows.
+Components are quantised to floor(scale * x), held as doubles, which are exact for whole numbers of
+that origin whatever their size. Scores are exact: in doubles where no partial sum can pass 2^53, else
+in Python integers. A returned score that no long holds ends the job with an error.
+
+Vectors that are null or hold null or non-finite components, and rows without an id, take no part.
+Shorter vectors count as padded with zeros. Rows that share an id are rows of their own: each asks if
+its id is selected, with the others among its candidates, so that such an id has every rank as often as it
+has rows. With fewer than k candidates all are returned; empty tables and query sets give no rows.
 """
 
 from __future__ import annotations
@@ -25,31 +29,41 @@ from pyspark.sql import functions as F
 
 from tidemark.session import settle
 
-MOST = 1 << 28
+WHOLE = float(1 << 53)
 
 
 def quantised(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", scale: int = 64) -> DataFrame:
-    """vec_id and vector (array of long), one row per id."""
-    usable = F.forall(F.col(embedding), lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) * scale < MOST))
-    vector = F.transform(F.col(embedding), lambda x: F.floor(x.cast("double") * scale).cast("long"))
-    rows = vectors.where(F.col(vec_id).isNotNull() & usable).select(F.col(vec_id).cast("long").alias("vec_id"), vector.alias("vector"))
-    return rows.groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    """row, vec_id and vector (whole numbers as array of double), one row per usable vector."""
+    usable = F.forall(F.col(embedding), lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < float("inf")))
+
+    def whole(x: Column) -> Column:
+        scaled = x.cast("double") * scale
+        return F.when(F.abs(scaled) < WHOLE, F.floor(scaled).cast("double")).otherwise(scaled)  # from 2^53 on every double is whole
+
+    rows = vectors.where(F.col(vec_id).isNotNull() & usable)
+    return rows.select(F.monotonically_increasing_id().alias("row"), F.col(vec_id).cast("long").alias("vec_id"), F.transform(F.col(embedding), whole).alias("vector"))
+
+
+def integers(whole: np.ndarray) -> np.ndarray:
+    """Python integers of whole doubles."""
+    return np.array([int(x) for x in whole.ravel().tolist()], dtype=object).reshape(whole.shape)
 
 
-def walk(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int, first: int = 16) -> list[tuple[int, int, int]]:
-    """(query_id, vec_id, score) of each query's k best in one shard; lists are read in steps that double."""
+def walk(rows: np.ndarray, ids: np.ndarray, vectors: np.ndarray, query_rows: np.ndarray, queries: np.ndarray, k: int, first: int = 16) -> list[tuple[int, int, int]]:
+    """(query row, vec_id, score) of each query's k best in one shard; lists are read in steps that double."""
     n, width = vectors.shape
-    if not n:
+    if not n or not len(queries):
         return []
     order = np.argsort(vectors, axis=0, kind="stable")
+    largest = max(1.0, float(np.abs(vectors).max(initial=0))) * max(1.0, float(np.abs(queries).max(initial=0))) * max(1, width)
+    if largest >= WHOLE:
+        vectors, queries = integers(vectors), integers(queries)
     ordered = np.take_along_axis(vectors, order, axis=0)
-    largest = max(1, int(np.abs(vectors).max(initial=0))) * max(1, int(np.abs(queries).max(initial=0))) * max(1, width)
-    exact = vectors.astype(np.float64) if largest < 1 << 53 else vectors  # both hold every partial sum exactly
     out = []
-    for query_id, query in zip(query_ids.tolist(), queries, strict=True):
+    for query_row, query in zip(query_rows.tolist(), queries, strict=True):
         up, down = np.nonzero(query > 0)[0], np.nonzero(query < 0)[0]
-        seen = ids == query_id
-        best_ids, best = np.empty(0, np.int64), np.empty(0, np.int64)
+        seen = rows == query_row
+        best_at, best = np.empty(0, np.int64), np.empty(0, vectors.dtype)
         depth, step = 0, first
         while depth < n:
             upto = min(n, depth + step)
@@ -61,16 +75,15 @@ def walk(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: n
                 met[:], upto = True, n
             new = np.nonzero(met & ~seen)[0]
             seen[new] = True
-            scores = (exact[new] @ query.astype(exact.dtype)).astype(np.int64)
-            best_ids, best = np.concatenate((best_ids, ids[new])), np.concatenate((best, scores))
-            top = np.lexsort((best_ids, -best))[:k]
-            best_ids, best = best_ids[top], best[top]
+            best_at, best = np.concatenate((best_at, new)), np.concatenate((best, vectors[new] @ query))
+            top = np.lexsort((ids[best_at], -best)) if best.dtype != object else np.array(sorted(range(len(best)), key=lambda i: (-best[i], ids[best_at[i]])), np.int64)
+            best_at, best = best_at[top[:k]], best[top[:k]]
             depth, step = upto, step * 2
             if len(best) == k and depth < n:
                 bound = int(query[up] @ ordered[n - depth, up]) + int(query[down] @ ordered[depth - 1, down])
                 if bound < best[-1]:
                     break
-        out += zip([query_id] * len(best), best_ids.tolist(), best.tolist(), strict=True)
+        out += zip([query_row] * len(best), ids[best_at].tolist(), map(int, best.tolist()), strict=True)
     return out
 
 
@@ -79,22 +92,24 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, shard_rows: int = 8
     rows = settle(quantised(vectors, **options))
     n, n_queries, width = rows.agg(F.count(F.lit(1)), F.count_if(queries), F.coalesce(F.max(F.size("vector")), F.lit(0))).first()
     shards, blocks = max(1, -(-n // shard_rows)), max(1, -(-n_queries // block_rows))
-    padded = F.concat(F.col("vector"), F.array_repeat(F.lit(0).cast("long"), F.lit(width) - F.size("vector"))).alias("vector")
-    own = F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int")
-    block = F.pmod(F.xxhash64("vec_id", F.lit("block")), F.lit(blocks)).cast("int")
+    padded = F.concat(F.col("vector"), F.array_repeat(F.lit(0.0), F.lit(width) - F.size("vector"))).alias("vector")
+    own = F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int")
+    block = F.pmod(F.xxhash64("row", F.lit("block")), F.lit(blocks)).cast("int")
     every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
-    groups = rows.select(every(blocks).alias("block"), own.alias("shard"), "vec_id", padded, F.lit(False).alias("asks")).unionByName(
-        rows.where(queries).select(block.alias("block"), every(shards).alias("shard"), "vec_id", padded, F.lit(True).alias("asks"))
+    groups = rows.select(every(blocks).alias("block"), own.alias("shard"), "row", "vec_id", padded, F.lit(False).alias("asks")).unionByName(
+        rows.where(queries).select(block.alias("block"), every(shards).alias("shard"), "row", "vec_id", padded, F.lit(True).alias("asks"))
     )
 
     def answer(table: pa.Table) -> pa.Table:
         asks = table.column("asks").to_numpy(zero_copy_only=False).astype(bool)
-        ids = table.column("vec_id").to_numpy()
+        ids, rows = table.column("vec_id").to_numpy(), table.column("row").to_numpy()
         matrix = table.column("vector").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(ids), width)
-        found = walk(ids[~asks], matrix[~asks], ids[asks], matrix[asks], k)
-        columns = np.array(found, dtype=np.int64).reshape(-1, 3).T
-        return pa.table(dict(zip(("query_id", "vec_id", "score"), map(pa.array, columns), strict=True)))
+        found = walk(rows[~asks], ids[~asks], matrix[~asks], rows[asks], matrix[asks], k)
+        owner = dict(zip(rows[asks].tolist(), ids[asks].tolist(), strict=True))
+        columns = list(zip(*((row, owner[row], vec_id, score) for row, vec_id, score in found), strict=True)) or [()] * 4
+        names = ("query_row", "query_id", "vec_id", "score")
+        return pa.table({name: pa.array(column, pa.int64()) for name, column in zip(names, columns, strict=True)})
 
-    found = groups.groupBy("block", "shard").applyInArrow(answer, "query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = groups.groupBy("block", "shard").applyInArrow(answer, "query_row long, query_id long, vec_id long, score long")
+    best = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
