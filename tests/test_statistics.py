@@ -57,6 +57,18 @@ def test_spearman_shares_ranks_on_ties(spark):
     assert row.correlation == pytest.approx(expected) and row.overlap == 5
 
 
+def test_spearman_pairs_rank_complete_rows_only(spark):
+    rows = [(1.0, 10.0, 3.0, None), (2.0, 10.0, 3.0, 1.0), (2.0, 30.0, 3.0, None), (None, 5.0, 3.0, 2.0), (4.0, 40.0, 3.0, None), (5.0, 35.0, 3.0, float("nan"))]
+    frame = spark.createDataFrame(rows, "a double, b double, c double, d double")
+    pairs = {(r.left_variable, r.right_variable): (r.correlation, r.overlap) for r in stats.spearman_pairs(frame, ["a", "b", "c", "d"]).collect()}
+    (one,) = stats.spearman(frame.withColumn("i", F.monotonically_increasing_id()), ["i"], "a", "b").collect()
+    assert len(pairs) == 10 and pairs["a", "b"] == (pytest.approx(one.correlation), 5)
+    assert pairs["a", "a"] == (pytest.approx(1), 5) and pairs["b", "b"] == (pytest.approx(1), 6)
+    assert pairs["a", "c"] == (None, 5) and pairs["a", "d"] == (None, 1) and pairs["d", "d"] == (None, 2)
+    empty = stats.spearman_pairs(frame.limit(0), ["a", "b"]).collect()
+    assert sorted((r.left_variable, r.right_variable, r.correlation, r.overlap) for r in empty) == [("a", "a", None, 0), ("a", "b", None, 0), ("b", "b", None, 0)]
+
+
 def test_lagged_correlation(spark):
     feature = [3.0, 1.0, 4.0, 1.0, 5.0, 9.0, 2.0, 6.0, 5.0, 3.0]
     rows = [("s", 2000 + i, feature[i], feature[i - 1] if i else None) for i in range(10)]

@@ -20,12 +20,11 @@ from tidemark.session import settle
 SLICES = 64
 
 
-def running_tallies(frame: DataFrame, groups: Sequence[str], value: str, slices: int = SLICES) -> DataFrame:
-    """Distinct values per group with `ties`, `upto` (rows at or below) and `total`."""
+def running_tallies(frame: DataFrame, groups: Sequence[str], value: str, slices: int = SLICES, rows: str | None = None) -> DataFrame:
+    """Distinct values per group with `ties`, `upto` (rows at or below) and `total`; `rows` names a column that counts rows already combined."""
     groups = list(groups)
-    tallies = settle(
-        frame.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("ties"))
-    )
+    ties = F.sum(rows) if rows else F.count(F.lit(1))
+    tallies = settle(frame.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(ties.alias("ties")))
     cuts = tallies.agg(F.percentile_approx(value, [i / slices for i in range(1, slices)])).first()[0] or []
     # The cuts are a short literal list, so a row's slice is an expression of its value.
     literal = F.array(*(F.lit(c) for c in sorted(set(cuts)))).cast(T.ArrayType(tallies.schema[value].dataType))

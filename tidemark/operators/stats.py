@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import dbl
-from tidemark.operators.order_stats import average_ranks, quantiles
+from tidemark.operators.order_stats import average_ranks, quantiles, running_tallies
 from tidemark.session import settle
 
 
@@ -126,6 +126,42 @@ def spearman(frame: DataFrame, row_key: Sequence[str], left: str, right: str, mi
     )
 
 
+def spearman_pairs(frame: DataFrame, columns: Sequence[str], minimum: int = 3) -> DataFrame:
+    """Upper triangle with diagonal of rank correlations, each on the pair's complete rows: (left_variable, right_variable, correlation, overlap).
+
+    NaN counts as missing. Rows are combined to one cell per pair and two values, map-side; the ranks of all
+    pairs come from one table of tallies keyed by (pair, side), in the slices of `running_tallies`, and go back
+    to the cells by (pair, value). Ranks are taken from their known mean, so the sums hold no large terms.
+    Every pair is in the result, also one without a complete row.
+    """
+    pair = ["left_variable", "right_variable"]
+    number = {c: F.nanvl(dbl(F.col(c)), F.lit(None).cast("double")) for c in columns}
+    entries = F.array(*(
+        F.struct(F.lit(a).alias(pair[0]), F.lit(b).alias(pair[1]), number[a].alias("x"), number[b].alias("y"))
+        for a, b in combinations_with_replacement(columns, 2)
+    ))
+    cells = settle(frame.select(F.inline(entries)).groupBy(*pair, "x", "y").agg(F.count(F.lit(1)).alias("rows")).where("x IS NOT NULL AND y IS NOT NULL"))
+    sides = F.array(F.struct(F.lit("x").alias("side"), F.col("x").alias("value")), F.struct(F.lit("y").alias("side"), F.col("y").alias("value")))
+    tallies = running_tallies(cells.select(*pair, "rows", F.inline(sides)), [*pair, "side"], "value", rows="rows")
+    middle = F.col("upto").cast("double") - (F.col("ties") - 1).cast("double") / 2 - (F.col("total") + 1).cast("double") / 2
+    ranks = settle(tallies.select(*pair, "side", "value", middle.alias("rank")))
+
+    def ranks_of(side: str) -> DataFrame:
+        return ranks.where(F.col("side") == side).select(*pair, F.col("value").alias(side), F.col("rank").alias(f"rank_{side}"))
+
+    a, b, n = F.col("rank_x"), F.col("rank_y"), F.col("rows").cast("double")
+    sums = cells.join(ranks_of("x"), [*pair, "x"]).join(ranks_of("y"), [*pair, "y"]).groupBy(*pair).agg(
+        F.sum(n * a * b).alias("both"), F.sum(n * a * a).alias("left"), F.sum(n * b * b).alias("right"), F.sum("rows").alias("overlap")
+    )
+    listed = frame.sparkSession.range(1).select(F.inline(F.array(*(
+        F.struct(F.lit(x).alias(pair[0]), F.lit(y).alias(pair[1])) for x, y in combinations_with_replacement(columns, 2)
+    ))))
+    r = F.try_divide(F.col("both"), F.sqrt("left") * F.sqrt("right"))
+    return listed.join(sums, pair, "left").select(
+        *pair, F.when(F.col("overlap") >= minimum, r).alias("correlation"), F.coalesce("overlap", F.lit(0)).alias("overlap")
+    )
+
+
 def lagged_correlation(frame: DataFrame, by: Sequence[str], time: str, target: str, feature: str,
                        lags: Sequence[int], minimum: int = 6) -> DataFrame:
     """Correlation of the target with the feature `lag` rows earlier (negative: later)."""

@@ -229,6 +229,33 @@ def _(lake):
     return stats.spearman(lake.lineitem, ["l_orderkey", "l_linenumber"], "l_quantity", "l_extendedprice")
 
 
+TABLES["rank_pairs"] = " UNION ALL ".join(
+    f"SELECT '{a}' AS left_variable, '{b}' AS right_variable, CASE WHEN count(*) >= 3 THEN covar_pop(ra, rb) / nullif(stddev_pop(ra) * stddev_pop(rb), 0) END AS correlation, "
+    f"count(*) AS overlap FROM (SELECT rank() OVER (ORDER BY {a}) + (count(*) OVER (PARTITION BY {a}) - 1) / 2.0::DOUBLE AS ra, "
+    f"rank() OVER (ORDER BY {b}) + (count(*) OVER (PARTITION BY {b}) - 1) / 2.0::DOUBLE AS rb FROM corr_data WHERE {a} IS NOT NULL AND {b} IS NOT NULL)" for a, b in _PAIRS
+)
+
+
+@query("spearman_matrix", """
+SELECT left_variable, right_variable, R(correlation) AS correlation, overlap FROM rank_pairs
+UNION ALL SELECT right_variable, left_variable, R(correlation), overlap FROM rank_pairs WHERE left_variable <> right_variable
+""")
+def _(lake):
+    return stats.correlation_matrix(stats.spearman_pairs(correlation_dataset(lake), SEVEN))
+
+
+LINE_MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@query("spearman_matrix_lines", " UNION ALL ".join(
+    f"SELECT '{a}' AS left_variable, '{b}' AS right_variable, R(corr(ra, rb)) AS correlation, count(*) AS overlap FROM (SELECT "
+    + ", ".join(f"rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0::DOUBLE AS r{s}" for c, s in ((a, "a"), (b, "b")))
+    + " FROM lineitem)" for a in LINE_MEASURES for b in LINE_MEASURES
+))
+def _(lake):
+    return stats.correlation_matrix(stats.spearman_pairs(lake.lineitem, LINE_MEASURES))
+
+
 @query("listwise_correlation", """
 SELECT region_code, R(CASE WHEN count(*) >= 2 THEN covar_pop(a, b) / nullif(stddev_pop(a) * stddev_pop(b), 0) END) AS correlation, count(*) AS overlap FROM (
   SELECT region_code, observation_date, max(value::DOUBLE) FILTER (indicator_code = 'M.POLICY') AS a, max(value::DOUBLE) FILTER (indicator_code = 'M.RATE') AS b
