@@ -139,6 +139,26 @@ def test_decision_file(spark, tmp_path):
     assert landed.decision_issues(rows.where("date_text <> 'Tanggal'")).first().issue == "header_drift"
 
 
+def test_floating_table(spark):
+    good = 'Title,,\r\n\r\nno,"x, y",Periode,z,BI-7Day-RR\r\n1,,3 Mei 2001,"q ""r""","7,25 %"\r\n,,,,\r\n2,,9 Juni 2001,,6.5 %'
+    cases = {
+        "good": good, "none": good.replace("Periode", "Hari"), "two": good + "\nPeriode,BI-Rate", "double": good.replace("no,", "Tanggal,"),
+        "half": good.replace("6.5 %", "?"), "odd": good.replace("9 Juni 2001", "later").replace("6.5 %", "?"), "short": good.replace(",,6.5 %", ""),
+        "quote": good.replace("6.5 %", '"6.5 %'), "empty": "", "null": None, "header": "Tanggal,BI-Rate",
+    }
+    rows = spark.createDataFrame([(k, v, "own") for k, v in cases.items()], "file string, payload string, rate string")
+    checked = landed.checked_decision_tables(rows)
+    found = {(r.file, r.line, r.issue) for r in landed.rejects(checked).collect()}
+    assert found == {
+        ("none", None, "header_missing"), ("two", None, "header_repeated"), ("double", None, "header_ambiguous"), ("half", 6, "half_parsed_row"),
+        ("odd", 6, "unparsed_row"), ("short", 6, "half_parsed_row"), ("quote", 6, "open_quote"), ("empty", None, "header_missing"), ("null", None, "header_missing"),
+    }
+    clean = landed.decision_tables(rows.where("file IN ('good', 'header')")).orderBy("effective_date").collect()
+    assert [(r.file, r.effective_date, float(r.rate)) for r in clean] == [("good", date(2001, 5, 3), 7.25), ("good", date(2001, 6, 9), 6.5)]
+    with pytest.raises(Exception, match="half_parsed_row half 6"):
+        landed.decision_tables(rows.where("file = 'half'")).collect()
+
+
 def test_manifest(spark, tmp_path):
     (tmp_path / "a.bin").write_bytes(b"abc")
     row = landed.snapshot_manifest(landed.read_binary(spark, str(tmp_path))).first()

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.text import MONTH_NAMES, normalize_label
 from tidemark.plans import panels
 from tidemark.sources import reference_tables as ref
 from tidemark.sources.lake import Lake
@@ -120,8 +121,6 @@ def rate_documents(lake: Lake) -> DataFrame:
 
 def decision_rows(lake: Lake) -> DataFrame:
     """Decision table rows as texts, one file per country, each with a header row."""
-    from tidemark.functions.text import MONTH_NAMES
-
     month = F.initcap(F.get(F.lit(MONTH_NAMES), F.month("day") - 1))
     rows = panels.daily_rates(lake).where(F.col("decision").isNotNull()).select(
         panels.country_code("nation_key").alias("file"),
@@ -134,5 +133,17 @@ def decision_rows(lake: Lake) -> DataFrame:
     return rows.unionByName(header)
 
 
+def decision_tables(lake: Lake) -> DataFrame:
+    """Decision tables as whole files, one per country: title lines, spare columns in front and behind, and the header in a line and columns of its own."""
+    place = F.substring("file", 2, 2).cast("int")
+    spare, quoted = F.repeat(F.lit('"note, kept",'), place % 4), F.concat(F.lit('"'), F.col("rate_text"), F.lit('"'))
+    titles = F.repeat(F.lit("Report of the board\r\n\r\n"), place % 5)
+    rows = decision_rows(lake).withColumn("is_header", normalize_label(F.col("date_text")) == "tanggal")
+    line = F.concat(spare, F.col("date_text"), F.lit(",,"), quoted, F.lit(',"a ""remark"""'))
+    header = F.max(F.when(F.col("is_header"), F.concat(titles, line)))
+    body = F.array_join(F.array_sort(F.collect_list(F.when(~F.col("is_header"), line))), "\n")
+    return rows.groupBy("file").agg(F.concat(header, F.lit("\n"), body, F.lit("\n")).alias("payload"))
+
+
 def series_prefixes(spark) -> DataFrame:
     return ref.literal_table(spark, [("1975", "R.1975"), ("543", "R.543")], "variable_id string, code_prefix string")

@@ -226,6 +226,28 @@ def _(lake):
     return landed.decision_issues(rows.withColumn("rate_text", F.replace("rate_text", F.lit("BI-Rate"), F.lit("Rate"))))
 
 
+@query("read_floating_tables", """
+SELECT 'N' || lpad(nation_key::VARCHAR, 2, '0') AS file, day AS effective_date, R(decision) AS rate FROM daily WHERE decision IS NOT NULL
+""")
+def _(lake):
+    return landed.decision_tables(payloads.decision_tables(lake))
+
+
+@query("floating_table_rejects", """
+SELECT 'N' || lpad(n_nationkey::VARCHAR, 2, '0') AS file, ['header_missing', 'header_repeated', 'header_ambiguous', 'half_parsed_row', 'unparsed_row', 'open_quote'][n_nationkey % 7] AS issue,
+       1::BIGINT AS row_count FROM nation WHERE n_nationkey % 7 > 0
+""")
+def _(lake):
+    files, fault = payloads.decision_tables(lake), F.substring("file", 2, 2).cast("int") % 7
+    spare = F.repeat(F.lit(","), F.substring("file", 2, 2).cast("int") % 4)
+    added = F.element_at(F.array(*(F.concat(spare, F.lit(end)) for end in ("Tanggal,,BI-Rate", "", "3 Mei 2001,,n/a", "soon,,n/a", '3 Mei 2001,,"5,00 %'))), fault - 1)
+    faulty = (
+        F.when(fault == 0, F.col("payload")).when(fault == 1, F.replace("payload", F.lit("BI-Rate"), F.lit("Rate")))
+        .when(fault == 3, F.replace("payload", F.lit('a ""remark""'), F.lit("Periode"))).otherwise(F.concat("payload", added))
+    )
+    return landed.rejects(landed.checked_decision_tables(files.select("file", faulty.alias("payload")))).groupBy("file", "issue").agg(F.count(F.lit(1)).alias("row_count"))
+
+
 @query("snapshot_manifest", """
 SELECT doc_id::VARCHAR AS file, octet_length(encode(text)) AS byte_count, sha256(text) AS sha256 FROM documents
 UNION ALL SELECT 'p' || page_id, octet_length(encode(html)), sha256(html) FROM pages

@@ -425,3 +425,72 @@ def decision_issues(rows: DataFrame) -> DataFrame:
     return counts.where("headers <> 1 OR half_parsed > 0").select(
         "file", F.when(F.col("headers") != 1, "header_drift").otherwise("half_parsed_row").alias("issue")
     )
+
+
+def table_cells(line: Column) -> Column:
+    """Cells of one line of comma-separated text; quoted cells lose their quotes. A comma is put in front, so that every cell is matched with one."""
+    found = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(r',("(?:[^"]|"")*"|[^,]*)'), 1)
+    return F.transform(found, lambda cell: F.when(
+        cell.startswith('"') & cell.endswith('"') & (F.length(cell) > 1), F.replace(F.substring(cell, F.lit(2), F.length(cell) - 2), F.lit('""'), F.lit('"'))
+    ).otherwise(cell))
+
+
+def _positions(cells: Column, labels: list[str]) -> Column:
+    """0-based places of the cells that carry one of the labels."""
+    return F.filter(F.transform(cells, lambda cell, at: F.when(normalize_label(cell).isin(labels), at)), lambda at: at.isNotNull())
+
+
+def decision_grid(payloads: DataFrame) -> DataFrame:
+    """file, lines and headers of whole files; nothing is shuffled.
+
+    A line is its number and its cells. A header is a line with one date label or rate label or more; it is
+    `usable` if it has exactly one of each, wherever they stand.
+    """
+    lines = F.transform(F.split("payload", "\r\n|\n|\r"), lambda line, at: F.struct(
+        (at + 1).alias("line"), table_cells(line).alias("cells"), (F.length(F.regexp_replace(line, '[^"]', "")) % 2 == 1).alias("open_quote")
+    ))
+    marked = F.transform(F.col("lines"), lambda row: F.struct(
+        row["line"].alias("line"), _positions(row["cells"], DECISION_DATE_LABELS).alias("dates"), _positions(row["cells"], DECISION_RATE_LABELS).alias("rates")
+    ))
+    headers = F.filter(F.col("marked"), lambda row: (F.size(row["dates"]) > 0) & (F.size(row["rates"]) > 0))
+    return payloads.select("file", F.coalesce(lines, F.array()).alias("lines")).withColumn("marked", marked).select(
+        "file", "lines", headers.alias("headers")
+    )
+
+
+def _table_issue() -> Column:
+    """What is wrong with the header of a file."""
+    doubled = F.exists("headers", lambda row: (F.size(row["dates"]) > 1) | (F.size(row["rates"]) > 1))
+    return F.when(F.size("headers") == 0, "header_missing").when(F.size("headers") > 1, "header_repeated").when(doubled, "header_ambiguous")
+
+
+def checked_decision_tables(payloads: DataFrame) -> DataFrame:
+    """Dated rates of files whose header may stand in any line and column, each with an issue.
+
+    Cells are taken from the header's columns, below the header; other columns may hold anything. A line with
+    a date or a rate alone is `half_parsed_row`, one whose quotes do not close `open_quote`, and one with text in
+    both columns that is neither `unparsed_row`. A line empty in both columns is none. A file without exactly one
+    header, or with a label twice in it, gives one row with that issue and no rates.
+    """
+    grid = decision_grid(payloads).withColumn("issue", _table_issue())
+    broken = F.array(F.struct(F.lit(None).cast("int").alias("line"), F.lit("").alias("date_text"), F.lit("").alias("rate_text"), F.lit(False).alias("open_quote")))
+    header = F.get("headers", F.lit(0))
+    below = F.transform(F.filter("lines", lambda row: row["line"] > header["line"]), lambda row: F.struct(
+        row["line"].alias("line"), F.coalesce(F.get(row["cells"], header["dates"][0]), F.lit("")).alias("date_text"),
+        F.coalesce(F.get(row["cells"], header["rates"][0]), F.lit("")).alias("rate_text"), row["open_quote"].alias("open_quote"),
+    ))
+    rows = grid.select("file", F.col("issue").alias("__file_issue"), F.inline(F.when(F.col("issue").isNull(), below).otherwise(broken)))
+    rows = rows.withColumn("effective_date", named_month_date(F.col("date_text"))).withColumn("rate", rate_text(F.col("rate_text")))
+    no_date, no_rate = F.col("effective_date").isNull(), F.col("rate").isNull()
+    issue = (
+        F.when(F.col("__file_issue").isNotNull(), F.col("__file_issue")).when(F.col("open_quote"), "open_quote")
+        .when(no_date & no_rate, "unparsed_row").when(no_date | no_rate, "half_parsed_row")
+    )
+    empty = (F.trim("date_text") == "") & (F.trim("rate_text") == "") & ~F.col("open_quote") & F.col("__file_issue").isNull()
+    return rows.where(~empty).select("file", "line", "effective_date", "rate", "date_text", "rate_text", issue.alias("issue"))
+
+
+def decision_tables(payloads: DataFrame) -> DataFrame:
+    """Dated rates of clean files; the first issue raises."""
+    clean = require_clean(checked_decision_tables(payloads), "file", "line", "date_text", "rate_text")
+    return clean.select("file", "effective_date", "rate")
