@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.numbers import growth_percent, numeric_token, numeric_token_issue, safe_percent_change
 from tidemark.operators import readers, stats
 from tidemark.operators.order_stats import average_ranks, cross_section, quantiles
-from tidemark.operators.windows import series_window
+from tidemark.operators.windows import checked_growth, series_window
 from tidemark.plans.q_aggregates import monthly_seasonality
 
 
@@ -69,6 +69,16 @@ def test_spearman_pairs_rank_complete_rows_only(spark):
     assert sorted((r.left_variable, r.right_variable, r.correlation, r.overlap) for r in empty) == [("a", "a", None, 0), ("a", "b", None, 0), ("b", "b", None, 0)]
 
 
+def test_growth_refuses_repeated_dates(spark):
+    rows = [("a", 1, 10.0), ("a", 2, 15.0), ("a", 3, 1.0), ("a", 3, 2.0), ("a", 4, 30.0), ("a", 5, 60.0), ("b", None, 5.0), ("b", 1, 5.0), ("b", 2, None)]
+    frame = spark.createDataFrame(rows, "s string, d int, v double")
+    got = {(r.s, r.d): (r.copies, r.issue, r.v_growth_percent) for r in checked_growth(frame, ["s"], "d", ["v"]).collect()}
+    assert got == {
+        ("a", 1): (1, None, None), ("a", 2): (1, None, pytest.approx(50)), ("a", 3): (2, "duplicate_date", None), ("a", 4): (1, None, None),
+        ("a", 5): (1, None, pytest.approx(100)), ("b", None): (1, "missing_date", None), ("b", 1): (1, None, None), ("b", 2): (1, None, None),
+    }
+
+
 def test_lagged_correlation(spark):
     feature = [3.0, 1.0, 4.0, 1.0, 5.0, 9.0, 2.0, 6.0, 5.0, 3.0]
     rows = [("s", 2000 + i, feature[i], feature[i - 1] if i else None) for i in range(10)]

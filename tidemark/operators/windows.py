@@ -3,11 +3,13 @@ the calendar, not by the volume of the raw data."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import whole_units
-from tidemark.functions.numbers import dbl
+from tidemark.functions.numbers import dbl, growth_percent
 
 
 def series_window(keys: list[str], date: str = "observation_date") -> WindowSpec:
@@ -61,3 +63,19 @@ def latest_per_group(frame: DataFrame, keys: list[str], order: list[Column]) ->
 def newest(column: str) -> Column:
     """Sort key that puts the latest moment first."""
     return -F.unix_micros(F.col(column).cast("timestamp"))
+
+
+def checked_growth(frame: DataFrame, keys: Sequence[str], date: str, columns: Sequence[str]) -> DataFrame:
+    """One row per series and date with the growth of every column in percent, `copies` and an `issue`.
+
+    A date with several rows is `duplicate_date`, a row without a date `missing_date`; such a row and the one after
+    it have no growth. Rows are counted by key and date first, so that the window holds one row per date at most.
+    """
+    alone = F.count(F.lit(1)) == 1
+    dated = frame.groupBy(*keys, date).agg(F.count(F.lit(1)).alias("copies"), *(F.when(alone, F.max(c)).alias(c) for c in columns))
+    issue = F.when(F.col(date).isNull(), "missing_date").when(F.col("copies") > 1, "duplicate_date")
+    spec = Window.partitionBy(*keys).orderBy(date)
+    clean = F.col("issue").isNull() & F.lag("issue").over(spec).isNull()
+    return dated.withColumn("issue", issue).select(
+        *keys, date, "copies", "issue", *columns, *(F.when(clean, growth_percent(F.col(c), F.lag(c).over(spec))).alias(f"{c}_growth_percent") for c in columns)
+    )

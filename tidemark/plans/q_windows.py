@@ -12,7 +12,7 @@ from tidemark.operators.calendar import calendar_slots
 from tidemark.operators.forecast import naive_predictions
 from tidemark.operators.order_stats import cross_section, running_tallies
 from tidemark.operators.rules import set_difference
-from tidemark.operators.windows import gaps, latest_per_group, neighbours, newest, rolling_mean, series_window
+from tidemark.operators.windows import checked_growth, gaps, latest_per_group, neighbours, newest, rolling_mean, series_window
 from tidemark.plans import marts, panels
 from tidemark.plans.oracle_tables import TABLES
 from tidemark.plans.q_aggregates import SEVEN, month_series, monthly_seasonality
@@ -175,6 +175,18 @@ def _(lake):
     ))
 
 
+@query("growth_rates_checked", """
+SELECT region_code, observation_date, CASE WHEN year(observation_date) = 1995 THEN 2 ELSE 1 END::BIGINT AS copies, CASE WHEN year(observation_date) = 1995 THEN 'duplicate_date' END AS issue,
+       CASE WHEN year(observation_date) <> 1995 THEN R(orders) END AS orders,
+       CASE WHEN year(observation_date) <> 1995 AND coalesce(year(lag(observation_date) OVER w), 0) <> 1995 THEN R((orders::DOUBLE / nullif(lag(orders) OVER w::DOUBLE, 0) - 1) * 100) END AS orders_growth_percent
+FROM mart_overview_all WINDOW w AS (PARTITION BY region_code ORDER BY observation_date)
+""")
+def _(lake):
+    rows = marts.national_overview(panels.staged(lake, "ledger_annual"), None)
+    copies = F.explode(F.sequence(F.lit(1), F.when(F.year("observation_date") == 1995, 2).otherwise(1)))
+    return checked_growth(rows.select("region_code", "observation_date", "orders", copies.alias("copy")), ["region_code"], "observation_date", ["orders"])
+
+
 LAGS = [-3, -2, -1, 0, 1, 2, 3]
 TABLES["lag_corr"] = " UNION ALL ".join(
     f"SELECT region_code, {lag} AS lag, CASE WHEN count(x) FILTER (y IS NOT NULL) >= 6 THEN covar_pop(y, x) / nullif(stddev_pop(y) FILTER (x IS NOT NULL) * stddev_pop(x) FILTER (y IS NOT NULL), 0) END AS correlation, "
