@@ -1,8 +1,10 @@
 """Near-copies against brute force, spread shards, targets met to the word, edited notices."""
 
+import math
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from test_llm_queries import full_matches
 
@@ -149,3 +151,67 @@ def test_edited_notices_in_whole_texts_against_full_alignment():
             assert want <= {m.template for m, _, _ in scanner.scan(text)}
             n += len(want)
     assert n > 30
+
+
+def full_alignment(words, found, low, high):
+    """Best local alignment with the words [low, high) by the whole matrix: matched words, first and last place."""
+    above, best = [(0, 0, 0)] * (len(words) + 1), (0, 0, 0, 0)
+    for j in range(low, high):
+        row = [(0, 0, 0)]
+        for i, wanted in enumerate(words):
+            score, matched, first = above[i]
+            same = wanted == found[j]
+            step = (score + 2, matched + 1, first if matched else -j) if same else (score - 1, matched, first)
+            cell = max(step, (above[i + 1][0] - 1, *above[i + 1][1:]), (row[i][0] - 1, *row[i][1:]))
+            row.append(cell if cell[0] >= 0 and cell[1] else (0, 0, 0))
+            if same and step[:2] > best[:2]:
+                best = (*step, j)
+        above = row
+    return best[1], -best[2], best[3]
+
+
+def all_alignments(words, found, least):
+    """Matched words and places of every alignment that covers enough, none overlapping, by whole matrices."""
+    out, open_, needs = [], [(0, len(found))], max(1, math.ceil(least * len(words)))
+    while open_:
+        low, high = open_.pop()
+        if sum((Counter(words) & Counter(found[low:high])).values()) >= needs:
+            matched, first, last = full_alignment(words, found, low, high)
+            out += [(matched, first, last)] * (matched >= needs)
+            open_ += [(low, first), (last + 1, high)] if matched else []
+    return sorted(out)
+
+
+@pytest.mark.parametrize("name", ["MIT whole", "BSD-3-Clause whole", "ISC whole", "GPL-2.0 header", "Apache-2.0 header", "CC BY 4.0 long notice", "MIT notice", "CC BY 4.0 notice"])
+def test_whole_licenses_have_the_coverage_and_span_of_a_full_alignment(name):
+    rng = random.Random(name)
+    template = license_scan.TEMPLATES[name]
+    words = license_scan.tokens(template)
+    scanner, n = license_scan.Scanner({name: template}), 0
+    for lost, put in ((0, 0), (0.05, 0), (0.1, 0.1), (0.2, 0.2), (0.3, 0.05), (0.36, 0), (0.5, 0.2)):
+        said = []
+        for _ in range(2):
+            said += [rng.choice(words) if rng.random() < 0.3 else f"w{rng.randrange(99)}" for _ in range(60)]
+            for word in words:
+                said += [word] if rng.random() >= lost else rng.choice([[], ["other"]])
+                said += ["more"] if rng.random() < put else []
+        want = all_alignments(words, said, scanner.least)
+        got = sorted((m.matched, m.first, m.last) for m in scanner.matches(said))
+        assert got == want, (lost, put)
+        text = "İ " + ", ".join(said)  # longer in lower case
+        spans = [text[a:b] for _, a, b in scanner.scan(text)]
+        for (_, first, last), span in zip(sorted(want, key=lambda m: m[1]), spans, strict=True):
+            assert span == ", ".join(said[first : last + 1])
+        n += len(want)
+    assert n >= 8
+
+
+def test_fingerprints_are_fewer_than_words_and_shared_by_every_pair_of_neighbours():
+    scanner = license_scan.Scanner(license_scan.TEMPLATES)
+    long = [t for t, paired in enumerate(scanner.paired) if paired]
+    assert len(scanner.at_template) < 0.8 * sum(len(scanner.places[t]) for t in long)
+    for t in long:
+        places = scanner.places[t]
+        for i in range(len(places) - 1):
+            of, position, where = scanner.hits(np.array([0, *places[i : i + 2], 0]))
+            assert any(a == t and p - i == w - 1 for a, p, w in zip(of, position, where, strict=True))

@@ -1,12 +1,21 @@
-"""License scans: an inverted index of template words picks candidate stretches, local alignment measures them.
+"""License scans: winnowed fingerprints in an inverted index pick candidates, banded local alignment measures them.
 
-Texts and templates are lower-cased words. A match at `least` coverage may have a change or an insertion
-after every word, so only single words are certain to be shared: the fingerprints are one-word grams.
-A template stays a candidate of a text while the text holds enough of its words (repeats counted as in the
-template). In an alignment whose score never falls below zero every text word adds two at most if it is one of the
-template's, and takes one if not; so a match lies in a stretch where that running sum does not fall below zero and
-that again holds enough words. Such a stretch is aligned in full, without a band; the words before and after an
-alignment are searched again. Nothing that reaches `least` is lost before the alignment.
+Texts and templates are lower-cased words. A match is a best local alignment (+2 a match, -1 a change or gap, never
+below zero) that covers at least the share `least` of its template. At that coverage every fifth word may go and more may
+be put in between, so runs of three or more words are not certain to be shared. Hence the fingerprints:
+
+* Templates of `pairs_from` words or more are winnowed: of every two neighbouring words the one that is rarer among the
+  templates is a fingerprint. Any two neighbouring words that text and template share leave the same one in both,
+  beside the same neighbour, which a look at the neighbours confirms. A match of such a template must share two neighbouring
+  words; it does if its matched words outnumber its edits by two, however the edits lie.
+* In shorter notices every word is a fingerprint, since one edit in three words may leave no two neighbours.
+
+A template stays a candidate of a text while the text holds enough of its words (repeats counted as in the template).
+In an alignment every text word adds two at most if it is one of the template's and takes one if not, so a match lies in a
+stretch where that running sum does not fall below zero, and that again holds enough words and a fingerprint. There the
+template is aligned in bands around the diagonals of the shared fingerprints. A path that leaves a band of half width w has more than w
+gaps and so scores less than two for each template word less w; the band is widened until that is below the best score found,
+so the result is that of the full matrix. The words before and after an alignment are searched again.
 
 A match reports the template, its matched words and their share (coverage), and the span in
 code points of the text. Where matches overlap by half or more, the one with more matched words
@@ -21,6 +30,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -30,6 +40,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 WORD = re.compile(r"[^\W_]+(?:[.+-][^\W_]+)*")
+SLICE = 1 << 16
+NARROW = 4
 SCHEMA = "doc_id long, template string, matched_words long, template_words long, coverage double, span_start long, span_end long"
 
 AS_IS = (
@@ -138,7 +150,13 @@ TEMPLATES |= {
 
 
 def tokens(text: str) -> list[str]:
-    return WORD.findall(text.lower())
+    return [word for word, _ in placed(text)] if len(text.lower()) != len(text) else WORD.findall(text.lower())
+
+
+def placed(text: str) -> list[tuple[str, tuple[int, int]]]:
+    """The words of a text with their spans; lower case may be longer than the letters it stands for."""
+    low = text.lower()
+    return [(m[0].lower(), m.span()) for m in WORD.finditer(low if len(low) == len(text) else text)]
 
 
 @dataclass(frozen=True)
@@ -157,16 +175,45 @@ class Match:
 class Scanner:
     """The inverted index of a template set."""
 
-    def __init__(self, templates: dict[str, str], least: float = 0.6):
+    def __init__(self, templates: dict[str, str], least: float = 0.6, pairs_from: int = 20):
         self.least = least
         self.names = sorted(templates)
         self.words = [tokens(templates[name]) for name in self.names]
-        self.place = {word: i + 1 for i, word in enumerate(sorted({word for found in self.words for word in found}))}
+        uses = Counter(word for found in self.words for word in found)
+        # Places go from rare to frequent words, so that of two neighbours the one with the smaller place is the rarer.
+        self.place = {word: i + 1 for i, word in enumerate(sorted(uses, key=lambda word: (uses[word], word)))}
         self.counts = np.zeros((len(self.place) + 1, len(self.names)), np.int64)
         for t, found in enumerate(self.words):
             for word in found:
                 self.counts[self.place[word], t] += 1
         self.needs = np.array([max(1, math.ceil(least * len(found))) for found in self.words], np.int64)
+        self.places = [np.array([self.place[word] for word in found], np.int64) for found in self.words]
+        self.paired = np.array([len(found) >= pairs_from for found in self.words], bool)
+        self.index()
+
+    def index(self) -> None:
+        """Fingerprints of the longer templates by word: template, position in it, and the words on both sides."""
+        entries = [(t, i) for t in np.flatnonzero(self.paired).tolist() for i in winnowed(self.places[t]).tolist()]
+        entries.sort(key=lambda entry: self.places[entry[0]][entry[1]])
+        side = lambda t, i: self.places[t][i] if 0 <= i < len(self.places[t]) else -1
+        listed = np.array([(side(t, i), t, i, side(t, i - 1), side(t, i + 1)) for t, i in entries], np.int64).reshape(-1, 5)
+        word, self.at_template, self.at_position, self.at_left, self.at_right = listed.T.copy()
+        self.starts = np.searchsorted(word, np.arange(len(self.place) + 2))
+
+    def hits(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Fingerprints that a text shares with the longer templates: template, position in it, position in the text."""
+        chosen = winnowed(places)
+        beside = np.concatenate(([-2], places, [-2]))
+        found = []
+        for low in range(0, len(chosen), SLICE):
+            some = chosen[low : low + SLICE]
+            first = self.starts[places[some]]
+            n = self.starts[places[some] + 1] - first
+            entry = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+            where = np.repeat(some, n)
+            same = (beside[where] == self.at_left[entry]) | (beside[where + 2] == self.at_right[entry])
+            found.append((self.at_template[entry[same]], self.at_position[entry[same]], where[same]))
+        return tuple(np.concatenate(part) for part in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
 
     def shared(self, t: int, stretch: np.ndarray) -> int:
         """How many words of a template a stretch holds, each as often as in the template at most."""
@@ -177,8 +224,18 @@ class Scanner:
         places = np.fromiter((self.place.get(word, 0) for word in found), np.int64, len(found))
         held, n = np.unique(places, return_counts=True)
         enough = np.minimum(n[:, None], self.counts[held]).sum(axis=0) >= self.needs
+        if not enough.any():
+            return []
+        of, position, where = self.hits(places) if (enough & self.paired).any() else (np.zeros(0, np.int64),) * 3
         out: list[Match] = []
-        for t in np.nonzero(enough)[0].tolist():
+        for t in np.flatnonzero(enough).tolist():
+            if self.paired[t]:
+                at, diagonals = where[of == t], (where - position)[of == t]
+            else:
+                spots = [np.flatnonzero(places == word) for word in self.places[t]]
+                at, diagonals = np.concatenate(spots), np.concatenate([spot - i for i, spot in enumerate(spots)])
+            if not len(at):
+                continue
             # Where the running sum falls to a new smallest value, no alignment goes on; one of score zero keeps its matches.
             total = np.cumsum(np.where(self.counts[places, t] > 0, 2, -1))
             over = total >= np.minimum.accumulate(np.concatenate(([0], total[:-1])))
@@ -187,37 +244,25 @@ class Scanner:
             while open_:
                 low, high = open_.pop()
                 if high - low >= self.needs[t] and self.shared(t, places[low:high]) >= self.needs[t]:
-                    matched, first, last = self.align(t, found, low, high)
+                    near = np.unique(diagonals[(at >= low) & (at < high)])
+                    matched, first, last = self.align(t, found, low, high, near) if len(near) else (0, 0, 0)
                     if matched >= self.needs[t]:
                         out.append(Match(self.names[t], matched, len(self.words[t]), first, last))
                     if matched:
                         open_ += [(low, first), (last + 1, high)]
         return out
 
-    def align(self, t: int, found: list[str], low: int, high: int) -> tuple[int, int, int]:
-        """Matched words, first and last place of the best local alignment with the text words [low, high): +2 a match, -1 a change or gap."""
-        words = self.words[t]
-        nothing = (0, 0, 0)
-        above, best, last = [nothing] * (len(words) + 1), (0, 0, 0), low
-        for j in range(low, high):
-            word, left, row = found[j], nothing, [nothing]
-            for i, wanted in enumerate(words):
-                score, matched, first = above[i]
-                if word == wanted:
-                    cell = (score + 2, matched + 1, first if matched else -j)
-                    if cell[:2] > best[:2]:
-                        best, last = cell, j
-                else:
-                    cell = (score - 1, matched, first)
-                up = above[i + 1]
-                if up[0] - 1 > cell[0] or (up[0] - 1 == cell[0] and up[1:] > cell[1:]):
-                    cell = (up[0] - 1, up[1], up[2])
-                if left[0] - 1 > cell[0] or (left[0] - 1 == cell[0] and left[1:] > cell[1:]):
-                    cell = (left[0] - 1, left[1], left[2])
-                left = cell if cell[0] >= 0 and cell[1] else nothing
-                row.append(left)
-            above = row
-        return best[1], -best[2], last
+    def align(self, t: int, found: list[str], low: int, high: int, diagonals: np.ndarray) -> tuple[int, int, int]:
+        """Matched words, first and last place of the best local alignment with the text words [low, high)."""
+        most, width = 2 * len(self.words[t]), NARROW
+        while True:
+            best, last = (0, 0, 0), low
+            cuts = np.flatnonzero(np.diff(diagonals) > 2 * width) + 1
+            for near in np.split(diagonals, cuts):
+                best, last = band(self.words[t], found, low, high, int(near[0]) - width, int(near[-1]) + width, best, last)
+            if width >= most - best[0]:
+                return best[1], -best[2], last
+            width = most - best[0]
 
     def scan(self, text: str | None) -> list[tuple[Match, int, int]]:
         """Matches in order of place, with their spans in code points."""
@@ -231,10 +276,43 @@ class Scanner:
                 kept.append(m)
         if not kept:
             return []
-        spans = [m.span() for m in WORD.finditer(text.lower())] if len(text.lower()) == len(text) else [m.span() for m in WORD.finditer(text)]
+        spans = [span for _, span in placed(text)]
         return [(m, spans[m.first][0], spans[m.last][1]) for m in sorted(kept, key=lambda m: (m.first, m.template))]
 
 
+def winnowed(places: np.ndarray) -> np.ndarray:
+    """Of every two neighbouring words of the index the position of the rarer one, the right one of two equals."""
+    pairs = np.flatnonzero((places[:-1] > 0) & (places[1:] > 0))
+    return np.unique(pairs + (places[pairs] >= places[pairs + 1]))
+
+
+def band(words: list[str], found: list[str], low: int, high: int, lowest: int, highest: int, best: tuple[int, int, int], last: int) -> tuple[tuple[int, int, int], int]:
+    """The better of `best` and the best local alignment in text words [low, high) whose cells have text place less template place in
+    [lowest, highest]: score, matched words, first place (negative), and its last place."""
+    nothing = (0, 0, 0)
+    above = [nothing] * (len(words) + 1)
+    for j in range(max(low, lowest), min(high, highest + len(words))):
+        start = max(0, j - highest)
+        word, left, row = found[j], nothing, [nothing] * (len(words) + 1)
+        for i in range(start, min(len(words), j - lowest + 1)):
+            score, matched, first = above[i]
+            if word == words[i]:
+                cell = (score + 2, matched + 1, first if matched else -j)
+                if cell[:2] > best[:2]:
+                    best, last = cell, j
+            else:
+                cell = (score - 1, matched, first)
+            up = above[i + 1]
+            if up[0] - 1 > cell[0] or (up[0] - 1 == cell[0] and up[1:] > cell[1:]):
+                cell = (up[0] - 1, up[1], up[2])
+            if left[0] - 1 > cell[0] or (left[0] - 1 == cell[0] and left[1:] > cell[1:]):
+                cell = (left[0] - 1, left[1], left[2])
+            left = cell if cell[0] >= 0 and cell[1] else nothing
+            row[i + 1] = left
+        above = row
+    return best, last
+
+
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """One row per match of a template in a document."""
     scanner = Scanner(TEMPLATES if templates is None else templates, **options)
