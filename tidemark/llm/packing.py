@@ -5,7 +5,7 @@ hash, some thousands to a shard, and each shard is packed on its own, largest pi
 kept in the order of what is left in them, and each carries a bitmap of its sources and one of its
 duplicate clusters. A piece goes into the bin with the least room that still holds it; if that bin
 has a conflict, the search goes on to its successors until the tightest compatible bin is found, and
-a new bin is opened only if there is none.
+a new bin is opened only if there is none. Rooms whose bins are all closed to the piece's source are passed over by a bitmap of the source.
 
 Conflicts: a bin holds at most one piece of a duplicate cluster and `per_source` pieces of a source.
 Clusters are a column, or else documents with the same lower-cased words.
@@ -42,24 +42,26 @@ class Bins:
         self.left: list[int] = []
         self.sources: list[int] = []
         self.clusters: list[int] = []
+        self.full: list[list[int]] = []  # sources a bin holds all it may of
+        self.closed: dict[int, dict[int, int]] = {}  # by room and source, the bins closed to the source
+        self.shut: dict[int, int] = {}  # by source, the rooms all of whose bins are closed to it
 
     def put(self, size: int, source: int, cluster: int) -> tuple[int, int]:
         """Place a piece; `cluster` is a bit, or zero for a cluster of one. Returns the bin and the offset in it."""
         full = 1 << (source * self.per_source + self.per_source - 1)
-        room, later = size, self.rooms >> size
+        room, later = size, (self.rooms & ~self.shut.get(source, 0)) >> size
         while later:
             skip = (later & -later).bit_length() - 1
             room, later = room + skip, later >> skip
             for at, number in enumerate(self.by_room[room]):
                 if not (self.sources[number] & full or self.clusters[number] & cluster):
-                    del self.by_room[room][at]
-                    if not self.by_room[room]:
-                        self.rooms &= ~(1 << room)
+                    self._leave(room, at)
                     return number, self._add(number, size, source, cluster)
             room, later = room + 1, later >> 1
         self.left.append(self.capacity)
         self.sources.append(0)
         self.clusters.append(0)
+        self.full.append([])
         return len(self.left) - 1, self._add(len(self.left) - 1, size, source, cluster)
 
     def _add(self, number: int, size: int, source: int, cluster: int) -> int:
@@ -69,11 +71,39 @@ class Bins:
         self.clusters[number] |= cluster
         offset = self.capacity - self.left[number]
         self.left[number] -= size
+        if held + 1 == 1 << (self.per_source - 1):
+            self.full[number].append(source)
         if self.left[number]:
-            self.by_room.setdefault(self.left[number], []).append(number)
-            self.rooms |= 1 << self.left[number]
+            self._enter(self.left[number], number)
         return offset
 
+    def _enter(self, room: int, number: int) -> None:
+        self.by_room.setdefault(room, []).append(number)
+        self.rooms |= 1 << room
+        closed = self.closed.setdefault(room, {})
+        for source in self.full[number]:
+            closed[source] = closed.get(source, 0) + 1
+        self._compare(room)
+
+    def _leave(self, room: int, at: int) -> None:
+        closed = self.closed[room]
+        for source in self.full[self.by_room[room].pop(at)]:
+            closed[source] -= 1
+        if not self.by_room[room]:
+            self.rooms &= ~(1 << room)
+        self._compare(room)
+
+    def _compare(self, room: int) -> None:
+        """Mark the sources to which every bin of a room is closed."""
+        bins, closed = len(self.by_room[room]), self.closed[room]
+        for source, n in list(closed.items()):
+            if n and n == bins:
+                self.shut[source] = self.shut.get(source, 0) | 1 << room
+            else:
+                self.shut[source] = self.shut.get(source, 0) & ~(1 << room)
+                if not n:
+                    del closed[source]
+
 
 def pack_shard(pieces: pd.DataFrame, capacity: int, per_source: int) -> pd.DataFrame:
     """Bin numbers (from 0) and offsets for the pieces of one shard: doc_id, piece, first_word, n_words, source, cluster."""
