@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import forecast as fc
-from tidemark.operators.anomaly import rolling_mad_anomalies
+from tidemark.operators.anomaly import checked_anomalies, input_issues, rolling_mad_anomalies
 from tidemark.operators.asof import asof_join
 from tidemark.operators.calendar import calendar_slots, missing_slots
 from tidemark.operators.stats import error_metrics
@@ -213,3 +213,22 @@ def test_gate_lists_all_reasons(spark):
     row = gate(spark, ("s", "m", "arima", 98.0, 99.0, 6.0, 60.0, False))
     assert row.quality_status == "failed"
     assert row.reasons == ["not_converged", "improvement_below_minimum", "mape_above_maximum", "coverage_below_minimum"]
+
+
+def test_faulty_series_are_refused(spark):
+    months = [date(2020 + i // 12, i % 12 + 1, 1) for i in range(24)]
+    rows = [(k, at, 10.0 + i % 3 + (50 if i == 20 else 0)) for k in ("good", "nan", "twice", "late", "off", None) for i, at in enumerate(months)]
+    rows += [("twice", months[3], 1.0), ("off", date(2020, 5, 9), None), (None, None, 2.0), ("nan", date(2022, 1, 1), float("nan")), ("nan", date(2022, 2, 1), float("-inf"))]
+    frame = spark.createDataFrame(rows, "k string, observation_date date, v double")
+    noted = spark.createDataFrame([("late", date(2023, 1, 1), " "), ("late", date(2023, 1, 1), "x"), ("good", months[4], "rebased"), ("unseen", months[4], "x")], "k string, observation_date date, reason string")
+    found = {(r.k, r.observation_date, r.copies, r.issue) for r in input_issues(frame, ["k"], "v", revisions=noted).collect()}
+    assert found == {
+        ("twice", months[3], 2, "duplicate_date"), ("off", date(2020, 5, 9), 1, "off_calendar"), (None, None, 1, "missing_date"),
+        ("nan", date(2022, 1, 1), 1, "not_finite"), ("nan", date(2022, 2, 1), 1, "not_finite"), ("unseen", months[4], 0, "revision_outside_series"),
+        *(("late", date(2023, 1, 1), 0, issue) for issue in ("revision_without_reason", "repeated_revision", "revision_outside_series")),
+    }
+    events = checked_anomalies(frame, ["k"], "v", revisions=noted, minimum_history=6, window=12).collect()
+    assert {(r.k, r.anomaly_type) for r in events if r.anomaly_type != "refused_input"} == {("good", "source_revision"), ("good", "economic_anomaly")}
+    assert sum(r.anomaly_type == "refused_input" for r in events) == 9
+    none = checked_anomalies(frame.limit(0), ["k"], "v", revisions=noted.limit(0))
+    assert none.collect() == []

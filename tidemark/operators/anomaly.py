@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import dbl
-from tidemark.operators.calendar import calendar_slots
+from tidemark.operators.calendar import calendar_slots, off_calendar
 from tidemark.operators.windows import series_window
+from tidemark.session import settle
 
 # Fixed value: turns a median absolute deviation into a robust z-score.
 ROBUST_SCALE = 0.67448975
@@ -100,3 +101,58 @@ def rolling_mad_anomalies(
         F.when(is_anomaly, F.col("score")).alias("score"), F.lit(threshold).alias("threshold"),
         "anomaly_type", method.alias("method"), reason.alias("reason"),
     )
+
+
+def input_issues(
+    frame: DataFrame, keys: Sequence[str], value: str, *, step: str = "month", date: str = "observation_date", revisions: DataFrame | None = None,
+) -> DataFrame:
+    """Why a series cannot be scored: keys, date, `copies` (its observations on that date) and one `issue` a row.
+
+    `missing_date`, `duplicate_date`, `off_calendar` (not the first day of its period), `not_finite` (NaN or infinite), and for
+    revisions `revision_without_reason`, `repeated_revision` and `revision_outside_series` (before its first or after its last
+    observation). Observations and revisions become one row per key and date first, so the window holds a calendar at most.
+    """
+    keys = list(keys)
+    number = dbl(value)
+    odd = F.isnan(number) | (F.abs(number) == float("inf"))
+    told = frame.select(*keys, date, F.lit(False).alias("__revised"), F.coalesce(odd, F.lit(False)).alias("__odd"))
+    if revisions is not None:
+        blank = F.coalesce(F.trim("reason") == "", F.lit(True))
+        told = told.unionByName(revisions.select(*keys, date, F.lit(True).alias("__revised"), blank.alias("__odd")))
+    slots = told.groupBy(*keys, date).agg(
+        F.count_if(~F.col("__revised")).alias("copies"), F.count_if("__revised").alias("__revisions"),
+        F.count_if(F.col("__odd") & ~F.col("__revised")).alias("__odd"), F.count_if(F.col("__odd") & F.col("__revised")).alias("__blank"),
+    )
+    series = Window.partitionBy(*keys)
+    observed = F.when(F.col("copies") > 0, F.col(date))
+    outside = F.coalesce(~F.col(date).between(F.min(observed).over(series), F.max(observed).over(series)), F.lit(True))
+    found = {
+        "missing_date": F.col(date).isNull(),
+        "duplicate_date": F.col(date).isNotNull() & (F.col("copies") > 1),
+        "off_calendar": off_calendar(date, step) if step != "day" else F.lit(False),
+        "not_finite": F.col("__odd") > 0,
+        "revision_without_reason": F.col("__blank") > 0,
+        "repeated_revision": F.col("__revisions") > 1,
+        "revision_outside_series": F.col(date).isNotNull() & (F.col("__revisions") > 0) & outside,
+    }
+    issues = F.array_compact(F.array(*(F.when(held, name) for name, held in found.items())))
+    return slots.select(*keys, date, "copies", issues.alias("issues")).select(*keys, date, "copies", F.explode("issues").alias("issue"))
+
+
+def checked_anomalies(
+    frame: DataFrame, keys: Sequence[str], value: str, *, step: str = "month", date: str = "observation_date", revisions: DataFrame | None = None, **limits,
+) -> DataFrame:
+    """The events of `rolling_mad_anomalies` for series without an input issue; of the others a `refused_input` row per issue.
+
+    No event of a series with an issue is given, since one repeated or misplaced date makes false changes after it.
+    """
+    keys = list(keys)
+    frame = settle(frame)
+    issues = settle(input_issues(frame, keys, value, step=step, date=date, revisions=revisions))
+    bad = issues.select(*(F.col(k).alias(f"__{k}") for k in keys)).distinct()
+    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
+    good = frame.join(bad, same, "left_anti")
+    noted = revisions if revisions is None else revisions.join(bad, same, "left_anti")
+    events = rolling_mad_anomalies(good, keys, value, step=step, date=date, revisions=noted, **limits)
+    refused = issues.select(*keys, date, F.lit("refused_input").alias("anomaly_type"), F.lit("input_check").alias("method"), F.col("issue").alias("reason"))
+    return events.unionByName(refused, allowMissingColumns=True)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import dbl, growth_percent
 from tidemark.operators import ops, readers, stats
-from tidemark.operators.anomaly import rolling_mad_anomalies, scored_changes
+from tidemark.operators.anomaly import checked_anomalies, input_issues, rolling_mad_anomalies, scored_changes
 from tidemark.operators.calendar import calendar_slots
 from tidemark.operators.forecast import naive_predictions
 from tidemark.operators.order_stats import cross_section, running_tallies
@@ -272,6 +272,51 @@ def _(lake):
     return anomaly_events(lake)
 
 
+TABLES["series_faults"] = """
+SELECT region_code, observation_date, count(*) FILTER (NOT revised) AS copies, list(issue) AS planted, count(*) FILTER (revised) AS n_revised FROM (
+  SELECT region_code, CASE WHEN region_code = 'N02' AND month(observation_date) = 5 THEN (observation_date + INTERVAL 1 DAY)::DATE ELSE observation_date END AS observation_date, false AS revised,
+         CASE WHEN region_code = 'N03' AND year(observation_date) = 1997 THEN 'not_finite' WHEN region_code = 'N02' AND month(observation_date) = 5 THEN 'off_calendar' END AS issue FROM month_series
+  UNION ALL SELECT region_code, observation_date, false, 'duplicate_date' FROM month_series WHERE region_code = 'N01' AND year(observation_date) = 1995
+  UNION ALL SELECT DISTINCT region_code, DATE '1980-01-01', true, 'revision_outside_series' FROM month_series WHERE region_code IN ('N04', 'N05')
+  UNION ALL SELECT DISTINCT region_code, DATE '1980-01-01', true, 'repeated_revision' FROM month_series WHERE region_code = 'N05')
+GROUP BY 1, 2
+"""
+TABLES["series_issues"] = """
+SELECT region_code, observation_date, copies, unnest(list_filter(planted, lambda x: x IS NOT NULL)) AS issue FROM series_faults
+"""
+
+
+def faulty_series(lake):
+    """The monthly series and their revisions with faults planted in five countries: repeated months, shifted days, NaN, revisions before the series."""
+    rows, at, region = month_series(lake), F.col("observation_date"), F.col("region_code")
+    copies = F.when((region == "N01") & (F.year(at) == 1995), 2).otherwise(1)
+    rows = rows.select(
+        "region_code", F.when((region == "N02") & (F.month(at) == 5), F.date_add(at, 1)).otherwise(at).alias("observation_date"),
+        F.when((region == "N03") & (F.year(at) == 1997), F.lit(float("nan"))).otherwise(F.col("value").cast("double")).alias("value"),
+        F.explode(F.sequence(F.lit(1), copies)).alias("copy"),
+    ).drop("copy")
+    early = rows.where("region_code IN ('N04', 'N05')").select("region_code").distinct().select(
+        "region_code", F.lit("1980-01-01").cast("date").alias("observation_date"), F.lit("rebased").alias("reason")
+    )
+    return rows, revisions(lake).unionByName(early).unionByName(early.where("region_code = 'N05'"))
+
+
+@query("anomaly_input_issues", "SELECT region_code, observation_date, copies, issue FROM series_issues")
+def _(lake):
+    rows, noted = faulty_series(lake)
+    return input_issues(rows, ["region_code"], "value", revisions=noted)
+
+
+@query("rolling_mad_checked", """
+SELECT region_code, observation_date, R(observed_value) AS observed_value, R(change) AS change, R(score) AS score, threshold, anomaly_type, "method", reason FROM anomaly_events
+WHERE region_code NOT IN (SELECT region_code FROM series_issues)
+UNION ALL SELECT region_code, observation_date, NULL, NULL, NULL, NULL, 'refused_input', 'input_check', issue FROM series_issues
+""")
+def _(lake):
+    rows, noted = faulty_series(lake)
+    return checked_anomalies(rows, ["region_code"], "value", revisions=noted)
+
+
 @query("naive_lag_k", "SELECT region_code, model_name, observation_date, R(actual) AS actual, R(prediction) AS prediction FROM naive_pred")
 def _(lake):
     rows = naive_predictions(month_series(lake), ["region_code"], "value", [1, 12], 24)
