@@ -169,3 +169,11 @@ def test_cross_section_keeps_rows_without_value_or_group(spark):
     frame = spark.createDataFrame([("g", 1, 5.0), ("g", 2, None), (None, 3, 2.0), ("e", 4, None)], "g string, i int, v double").withColumn("v", F.col("v").cast("decimal(24,6)"))
     rows = {r.i: (r.rank_desc, r.group_mean) for r in cross_section(frame, ["g"], "v").collect()}
     assert rows == {1: (1, 5.0), 2: (None, 5.0), 3: (1, 2.0), 4: (None, None)}
+
+
+def test_profile_of_all_columns_and_of_nothing(spark):
+    frame = spark.createDataFrame([(1, "a", [1, 2], None), (2, "a", [1, 2], None), (None, "b", None, None)], "`a.b` int, text string, list array<int>, n double")
+    got = {r.column: (r.dtype, r.non_null_count, r.missing_count, r.unique_count) for r in stats.profile_columns(frame).collect()}
+    assert got == {"a.b": ("int", 2, 1, 2), "text": ("string", 3, 0, 2), "list": ("array<int>", 2, 1, 1), "n": ("double", 0, 3, 0)}
+    empty = {(r.column, r.non_null_count, r.missing_percent) for r in stats.profile_columns(frame.limit(0)).collect()}
+    assert empty == {(c, 0, None) for c in got}

@@ -31,23 +31,25 @@ def describe_columns(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
     return moments.join(quarters.drop("non_null_count"), "variable", "left")
 
 
-def profile_columns(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Per column: type, filled, missing, missing percent and distinct values.
+def profile_columns(frame: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Per column (all, if none are named): type, filled, missing, missing percent and distinct values.
 
     Values meet as (column, text) pairs, so distinct counting is one two-step aggregate for
-    all columns together.
+    all columns together. An empty table gives a row per column without a percent.
     """
     types = dict(frame.dtypes)
+    columns = frame.columns if columns is None else columns
     pairs = F.array(*(
-        F.struct(F.lit(c).alias("column"), F.lit(types[c]).alias("dtype"), F.col(c).cast("string").alias("text"))
+        F.struct(F.lit(c).alias("column"), F.lit(types[c]).alias("dtype"), F.col(f"`{c}`").cast("string").alias("text"))
         for c in columns
     ))
     tallies = frame.select(F.inline(pairs)).groupBy("column", "dtype", "text").agg(F.count(F.lit(1)).alias("n"))
+    named = frame.sparkSession.createDataFrame([(c, types[c], None, 0) for c in columns], "column string, dtype string, text string, n long")
     filled = F.coalesce(F.sum(F.when(F.col("text").isNotNull(), F.col("n"))), F.lit(0))
     missing = F.coalesce(F.sum(F.when(F.col("text").isNull(), F.col("n"))), F.lit(0))
-    return tallies.groupBy("column", "dtype").agg(
+    return tallies.unionByName(named).groupBy("column", "dtype").agg(
         filled.alias("non_null_count"), missing.alias("missing_count"),
-        (100 * dbl(missing) / dbl(F.sum("n"))).alias("missing_percent"), F.count("text").alias("unique_count"),
+        (100 * dbl(missing) / F.nullif(dbl(F.sum("n")), F.lit(0.0))).alias("missing_percent"), F.count("text").alias("unique_count"),
     )
 
 

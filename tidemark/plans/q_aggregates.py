@@ -160,6 +160,19 @@ def _(lake):
     return stats.profile_columns(frame, ["c_custkey", "c_mktsegment", "c_nationkey", "credit"])
 
 
+EVENT_TYPES = {"event_id": "bigint", "ts": "timestamp", "user_id": "bigint", "event_type": "string", "value": "double", "props": "string"}
+_profile = " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", {kind} AS dtype, count({c}) AS non_null_count, count(*) - count({c}) AS missing_count, "
+    f"R(100 * (count(*) - count({c}))::DOUBLE / count(*)::DOUBLE) AS missing_percent, count(DISTINCT {c}) AS unique_count FROM events"
+    for c, kind in ((c, f"'{kind}'") for c, kind in EVENT_TYPES.items())
+)
+
+
+@query("profile_table", _profile)
+def _(lake):
+    return stats.profile_columns(lake.events).withColumn("dtype", F.replace("dtype", F.lit("timestamp_ntz"), F.lit("timestamp")))
+
+
 INVENTORY_SQL = """
 SELECT 'orders' AS dataset, count(*) AS row_count, I(6) AS column_count, min(o_orderdate) AS period_start, max(o_orderdate) AS period_end, I(0) AS missing_cells FROM orders
 UNION ALL SELECT 'lineitem', count(*), 11, min(l_shipdate), max(l_shipdate), 0 FROM lineitem
