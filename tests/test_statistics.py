@@ -10,7 +10,7 @@ from tidemark.functions.numbers import growth_percent, numeric_token, numeric_to
 from tidemark.operators import readers, stats
 from tidemark.operators.order_stats import average_ranks, cross_section, quantiles
 from tidemark.operators.windows import checked_growth, series_window
-from tidemark.plans.q_aggregates import monthly_seasonality
+from tidemark.plans.q_aggregates import fingerprints, monthly_seasonality
 
 
 def test_profile(spark):
@@ -177,3 +177,12 @@ def test_profile_of_all_columns_and_of_nothing(spark):
     assert got == {"a.b": ("int", 2, 1, 2), "text": ("string", 3, 0, 2), "list": ("array<int>", 2, 1, 1), "n": ("double", 0, 3, 0)}
     empty = {(r.column, r.non_null_count, r.missing_percent) for r in stats.profile_columns(frame.limit(0)).collect()}
     assert empty == {(c, 0, None) for c in got}
+
+
+def test_fingerprints_refuse_repeated_dates(spark):
+    frame = spark.createDataFrame([("a", "2020-02-01", 1.5), ("a", "2020-01-01", None), ("b", "2020-01-01", 2.0)], "k string, observation_date string, value double")
+    again = fingerprints(frame.orderBy("value"), ["k"]).collect()
+    assert sorted(again) == sorted(fingerprints(frame, ["k"]).collect()) and len({r.data_fingerprint for r in again}) == 2
+    assert fingerprints(frame.limit(0), ["k"]).collect() == []
+    with pytest.raises(Exception, match="duplicate_date b 2020-01-01"):
+        fingerprints(frame.union(frame.where("k = 'b'")), ["k"]).collect()

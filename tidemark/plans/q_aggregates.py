@@ -419,9 +419,15 @@ FROM month_series GROUP BY 1
 
 
 def fingerprints(frame, keys, value="value", date="observation_date"):
-    """SHA-256 of the ordered (date, value) list of every series; values as exact decimal text."""
-    point = F.struct(F.col(date).cast("string").alias("date"), exact(value).cast("string").alias("value"))
-    return frame.groupBy(*keys).agg(F.sha2(F.to_json(F.array_sort(F.collect_list(point))), 256).alias("data_fingerprint"))
+    """SHA-256 of the ordered (date, value) list of every series; values as exact decimal text.
+
+    Rows are counted by date first, so a list is as long as the calendar at most; a repeated date ends the job with its name.
+    """
+    dated = frame.groupBy(*keys, date).agg(F.count(F.lit(1)).alias("copies"), F.max(exact(value)).alias("exact"))
+    text = F.col(date).cast("string")
+    refused = F.raise_error(F.concat_ws(" ", F.lit("duplicate_date"), *(F.col(k).cast("string") for k in keys), text)).cast("string")
+    point = F.struct(F.when(F.col("copies") == 1, text).otherwise(refused).alias("date"), F.col("exact").cast("string").alias("value"))
+    return dated.groupBy(*keys).agg(F.sha2(F.to_json(F.array_sort(F.collect_list(point))), 256).alias("data_fingerprint"))
 
 
 @query("series_fingerprint", "SELECT region_code, data_fingerprint FROM fingerprints")
