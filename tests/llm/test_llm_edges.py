@@ -121,6 +121,49 @@ def test_search(spark):
     assert threshold_search.search(table.limit(0), F.col("vec_id") % 20 == 0).collect() == []
 
 
+def test_walk_of_a_block():
+    """Queries of a block are scored together: the k best as by brute force, with no more products for 512 queries than for a few."""
+    rng = np.random.default_rng(5)
+    vectors, ids = np.floor(rng.normal(0, 8, (4096, 64))), rng.permutation(4096) // 2
+    products = []
+
+    class Counted(np.ndarray):
+        def __matmul__(self, other):
+            products.append(self.shape)
+            return np.asarray(self) @ np.asarray(other)
+
+    def walked(asks):
+        products.clear()
+        return threshold_search.walk(np.arange(4096), ids, vectors.view(Counted), asks, vectors[asks].view(Counted), 20)
+
+    walked(np.arange(0, 4096, 512))
+    few, asks = len(products), np.arange(0, 4096, 8)
+    query, found, score = walked(asks)
+    assert len(products) <= 2 * few
+    scores = vectors[asks] @ vectors.T
+    scores[np.arange(len(asks)), asks] = -np.inf
+    for k in range(len(asks)):
+        want = sorted(zip((-scores[k]).tolist(), ids.tolist(), strict=True))[:20]
+        assert list(zip((-score[query == k]).tolist(), found[query == k].tolist(), strict=True)) == want
+
+
+def test_walk_stops():
+    """A vector that no list has brought up when all queries have stopped is not scored."""
+    vectors = np.zeros((5000, 3))
+    vectors[:50] = np.arange(50, 0, -1)[:, None] * 10.0
+    vectors[50:, 0] = np.arange(4950) % 7
+    read = []
+
+    class Ids(np.ndarray):
+        def __getitem__(self, key):
+            read.extend(range(*key.indices(len(self))) if isinstance(key, slice) else [])
+            return super().__getitem__(key)
+
+    query, found, score = threshold_search.walk(np.arange(5000), np.arange(5000).view(Ids), vectors, np.array([9999]), np.array([[1.0, 2.0, 1.0]]), 5)
+    assert np.asarray(found).tolist() == [0, 1, 2, 3, 4] and score.tolist() == [2000, 1960, 1920, 1880, 1840]
+    assert 0 < len(read) < 500
+
+
 def test_classifier(spark, odd):
     labels = spark.createDataFrame([(4, 1), (5, 1), (7, 0), (2, 0), (99, 1), (None, 1), (6, None)], "doc_id long, quality int")
     model = rule_ensemble.fit(odd, labels)

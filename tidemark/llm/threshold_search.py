@@ -1,11 +1,12 @@
 """Exact top-k inner products by Fagin's threshold algorithm.
 
 Candidates are cut into shards by a hash of their row numbers and queries into blocks; each (block, shard)
-is one group. A shard keeps one sorted list per dimension. A query walks all lists at once
-from the end its component prefers, scores every vector it meets, and stops when the best score
+is one group. A shard keeps one sorted list per dimension. The queries of a block walk all lists together,
+from both ends, so that the vectors are met in one order for all of them; those met in a step are scored
+for all queries that still go on by one product of matrices. A query stops when the best score
 still possible for an unseen vector (the sum over dimensions of its component times the last value
-read) is below its k-th score; at equality it goes on, since ties go to the smaller id. The shards'
-answers are merged by rank.
+read at the end it prefers) is below its k-th score; at equality it goes on, since ties go to the smaller id.
+The shards' answers are merged by rank.
 
 Groups hold at most about `shard_rows` candidates and `block_rows` queries, whatever the table. The
 work is queries times candidates at worst, spread over the groups.
@@ -49,42 +50,58 @@ def integers(whole: np.ndarray) -> np.ndarray:
     return np.array([int(x) for x in whole.ravel().tolist()], dtype=object).reshape(whole.shape)
 
 
-def walk(rows: np.ndarray, ids: np.ndarray, vectors: np.ndarray, query_rows: np.ndarray, queries: np.ndarray, k: int, first: int = 16) -> list[tuple[int, int, int]]:
-    """(query row, vec_id, score) of each query's k best in one shard; lists are read in steps that double."""
+def merged(best: np.ndarray, best_ids: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
+    """Put scores (a row for each query, a column for each id) among the k best of each query, largest first, ties by id."""
+    k, least = best.shape[1], best[:, -1]
+    if scores.dtype != object and scores.shape[1] > k:
+        least = np.maximum(least, np.partition(scores, -k, axis=1)[:, -k])
+    query, at = np.nonzero((scores >= least[:, None]) & (scores > -np.inf))
+    some = np.unique(query)
+    query, found, names = np.concatenate((np.repeat(some, k), query)), np.concatenate((best[some].ravel(), scores[query, at])), np.concatenate((best_ids[some].ravel(), ids[at]))
+    level = found if found.dtype != object else np.unique(found, return_inverse=True)[1]
+    order = np.lexsort((names, -level, query))
+    query, found, names = query[order], found[order], names[order]
+    rank = np.arange(len(query)) - np.searchsorted(query, query)
+    top = rank < k
+    best[query[top], rank[top]], best_ids[query[top], rank[top]] = found[top], names[top]
+
+
+def walk(rows: np.ndarray, ids: np.ndarray, vectors: np.ndarray, query_rows: np.ndarray, queries: np.ndarray, k: int, first: int = 16, scored: int = 1024) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Place of the query, vec_id and score of each query's k best in one shard; lists are read in steps that double."""
     n, width = vectors.shape
-    if not n or not len(queries):
-        return []
-    order = np.argsort(vectors, axis=0, kind="stable")
     largest = max(1.0, float(np.abs(vectors).max(initial=0))) * max(1.0, float(np.abs(queries).max(initial=0))) * max(1, width)
     if largest >= WHOLE:
         vectors, queries = integers(vectors), integers(queries)
+    order = np.argsort(vectors, axis=0, kind="stable")
     ordered = np.take_along_axis(vectors, order, axis=0)
-    out = []
-    for query_row, query in zip(query_rows.tolist(), queries, strict=True):
-        up, down = np.nonzero(query > 0)[0], np.nonzero(query < 0)[0]
-        seen = rows == query_row
-        best_at, best = np.empty(0, np.int64), np.empty(0, vectors.dtype)
-        depth, step = 0, first
-        while depth < n:
-            upto = min(n, depth + step)
-            met = np.zeros(n, bool)
-            if len(up) + len(down):
-                met[order[n - upto : n - depth, up]] = True
-                met[order[depth:upto, down]] = True
-            else:
-                met[:], upto = True, n
-            new = np.nonzero(met & ~seen)[0]
-            seen[new] = True
-            best_at, best = np.concatenate((best_at, new)), np.concatenate((best, vectors[new] @ query))
-            top = np.lexsort((ids[best_at], -best)) if best.dtype != object else np.array(sorted(range(len(best)), key=lambda i: (-best[i], ids[best_at[i]])), np.int64)
-            best_at, best = best_at[top[:k]], best[top[:k]]
-            depth, step = upto, step * 2
-            if len(best) == k and depth < n:
-                bound = int(query[up] @ ordered[n - depth, up]) + int(query[down] @ ordered[depth - 1, down])
-                if bound < best[-1]:
-                    break
-        out += zip([query_row] * len(best), ids[best_at].tolist(), map(int, best.tolist()), strict=True)
-    return out
+    place = np.empty(order.shape, np.int64)
+    np.put_along_axis(place, order, np.arange(n)[:, None], axis=0)
+    # A vector is met as soon as one of its components is read, from whichever end.
+    met = np.minimum(place, n - 1 - place).min(axis=1) if width else np.zeros(n, np.int64)
+    sequence = np.argsort(met, kind="stable")
+    rows, ids, vectors, met = rows[sequence], ids[sequence], vectors[sequence], met[sequence]
+    own = np.full(len(queries), -1)
+    _, at, asks = np.intersect1d(rows, query_rows, return_indices=True)
+    own[asks] = at
+    up, down = np.maximum(queries, 0), np.minimum(queries, 0)
+    best, best_ids = np.full((len(queries), k), -np.inf, vectors.dtype), np.full((len(queries), k), np.iinfo(np.int64).max)
+    going, depth, step, done = np.arange(len(queries)), 0, first, 0
+    while done < n and len(going):
+        depth, step = min(n, depth + step), step * 2
+        upto = int(np.searchsorted(met, depth))
+        held, held_ids, asked, self_at = best[going], best_ids[going], queries[going], own[going]
+        for low in range(done, upto, scored):
+            high = min(upto, low + scored)
+            scores = asked @ vectors[low:high].T
+            itself = np.nonzero((self_at >= low) & (self_at < high))[0]
+            scores[itself, self_at[itself] - low] = -np.inf
+            merged(held, held_ids, scores, ids[low:high])
+        best[going], best_ids[going], done = held, held_ids, upto
+        if done < n:
+            bound = up[going] @ ordered[n - depth] + down[going] @ ordered[depth - 1]
+            going = going[bound >= held[:, -1]]
+    query, rank = np.nonzero(best > -np.inf)
+    return query, best_ids[query, rank], best[query, rank]
 
 
 def search(vectors: DataFrame, queries: Column, k: int = 20, shard_rows: int = 8192, block_rows: int = 2048, **options) -> DataFrame:
@@ -104,11 +121,9 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, shard_rows: int = 8
         asks = table.column("asks").to_numpy(zero_copy_only=False).astype(bool)
         ids, rows = table.column("vec_id").to_numpy(), table.column("row").to_numpy()
         matrix = table.column("vector").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(ids), width)
-        found = walk(rows[~asks], ids[~asks], matrix[~asks], rows[asks], matrix[asks], k)
-        owner = dict(zip(rows[asks].tolist(), ids[asks].tolist(), strict=True))
-        columns = list(zip(*((row, owner[row], vec_id, score) for row, vec_id, score in found), strict=True)) or [()] * 4
-        names = ("query_row", "query_id", "vec_id", "score")
-        return pa.table({name: pa.array(column, pa.int64()) for name, column in zip(names, columns, strict=True)})
+        at, found, scores = walk(rows[~asks], ids[~asks], matrix[~asks], rows[asks], matrix[asks], k)
+        scores = pa.array(list(map(int, scores.tolist())), pa.int64())
+        return pa.table({"query_row": rows[asks][at], "query_id": ids[asks][at], "vec_id": found, "score": scores})
 
     found = groups.groupBy("block", "shard").applyInArrow(answer, "query_row long, query_id long, vec_id long, score long")
     best = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
