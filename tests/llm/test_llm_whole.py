@@ -9,7 +9,7 @@ import pytest
 from test_llm_queries import full_matches
 
 import corpus_pipeline
-from tidemark.llm import license_scan, mixing, near_copies, packing
+from tidemark.llm import components, license_scan, mixing, near_copies, packing, simhash
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -75,6 +75,24 @@ def test_near_duplicate_stage_against_brute_force_jaccard(spark):
             assert sum(got[row] for row in {rows[i] for i in held if rows[i][0] == least}) == 1
 
 
+def test_plans_of_the_near_duplicate_stage_stay_small(spark, monkeypatch):
+    """The driver's memory follows the plans: none that is written between has over six exchanges (ten before each search and contraction was written)."""
+    rng = random.Random(3)
+    copied = [f"w{rng.randrange(400)}" for _ in range(60)]
+    rows = [(i, " ".join(copied[:at] + ["x"] + copied[at + 1 :]) if i % 2 else " ".join(f"v{rng.randrange(400)}" for _ in range(60))) for i, at in enumerate(rng.choices(range(60), k=80))]
+    found, exchanges = near_copies.settle, []
+
+    def counted(frame):
+        exchanges.append(frame._jdf.queryExecution().executedPlan().toString().count("Exchange"))
+        return found(frame)
+
+    for module in (near_copies, components, simhash):
+        monkeypatch.setattr(module, "settle", counted)
+    kept = near_copies.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id").collect()
+    assert sorted(r.doc_id for r in kept) == [0, 1, *range(2, 80, 2)]
+    assert max(exchanges) <= 6
+
+
 def test_near_duplicate_stage_with_odd_tables(spark):
     """Very long texts, clashing columns, repeated rows, an empty table."""
     rng = random.Random(12)

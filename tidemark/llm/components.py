@@ -26,8 +26,8 @@ def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
     """`id` and `component` (the smallest id reachable) of every id that has an edge.
 
     `edges` has two long columns, `a` and `b`; order, repeats and loops do not matter, nulls are no
-    ends. Two star contractions alternate until nothing changes: each round is written once, its
-    rows never exceed the edges, and a node with very many edges is spread over the join's
+    ends. Two star contractions alternate until nothing changes: each is written once, so that its plan
+    stays small; their rows never exceed the edges, and a node with very many edges is spread over the join's
     partitions by adaptive execution. No part of the graph is gathered in one place.
     """
     edges = settle(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
@@ -39,5 +39,5 @@ def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
         state = tuple(seen)
         if not state[0]:
             return edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
-        edges = settle(_small_star(_large_star(edges)))
+        edges = settle(_small_star(settle(_large_star(edges))))
     raise RuntimeError("components did not settle")

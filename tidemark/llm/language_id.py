@@ -127,10 +127,14 @@ def learn(docs: DataFrame, most_texts: int = 2000, most_words: int = 40_000, mos
     largest = Window.partitionBy("size", "lang").orderBy(F.desc("n"), "key")
     kept = counted.withColumn("place", F.row_number().over(largest)).where(F.col("place") <= F.when(F.col("size") == 0, most_words).otherwise(most_grams))
     counts: dict[int, dict[str, dict[str, int]]] = {n: {} for n in (0, *orders)}
-    for row in kept.where(f"place <= {max(most_words, most_grams)}").select("size", "lang", "key", "n").collect():  # bounded by the parameters
-        counts[row["size"]].setdefault(row.lang, {})[row.key] = row.n
+    rows = kept.where(f"place <= {max(most_words, most_grams)}").select("size", "lang", "key", "n").toArrow()  # bounded by the parameters
+    for batch in rows.to_batches(max_chunksize=4096):
+        for size, language, key, times in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+            counts[size].setdefault(language, {})[key] = times
+    del rows
     tables, maps, at = [], {}, 0
-    for n, found in counts.items():
+    for n in (0, *orders):
+        found = counts.pop(n)
         keys, table = _log_frequencies(found, languages)
         maps[n] = {key: at + i for i, key in enumerate(keys)}
         tables.append(table)

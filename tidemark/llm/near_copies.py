@@ -132,18 +132,25 @@ def prints(docs: DataFrame, doc_id: str, text: str, width: int, seed: int, id_bi
 
 
 def levels(found: DataFrame, cells: int) -> np.ndarray:
-    """How common the shingles of each cell are: four steps to a doubling, one byte a cell. Tasks are added up in two steps."""
+    """How common the shingles of each cell are: four steps to a doubling, one byte a cell. Tasks are added up in two steps;
+    only the bytes come to the driver."""
 
-    def add(table: pa.Table) -> pa.Table:
+    def added(table: pa.Table, last: bool) -> pa.Table:
         total = sum(np.frombuffer(x, np.uint32).astype(np.int64) for x in table.column("seen").to_pylist())
-        whole = np.minimum(total, (1 << 32) - 1).astype(np.uint32).tobytes()
-        return pa.table({"slice": pa.array([table.column("slice")[0].as_py()], pa.int32()), "seen": pa.array([whole], pa.binary())})
+        whole = np.minimum(total, (1 << 32) - 1).astype(np.uint32)
+        whole = np.floor(4 * np.log2(np.maximum(whole, 1))).astype(np.uint8) if last else whole
+        return pa.table({"slice": pa.array([table.column("slice")[0].as_py()], pa.int32()), "seen": pa.array([whole.tobytes()], pa.binary())})
+
+    def some(table: pa.Table) -> pa.Table:
+        return added(table, False)
+
+    def every(table: pa.Table) -> pa.Table:
+        return added(table, True)
 
     seen = found.where("slice IS NOT NULL").select("slice", "seen", F.pmod(F.xxhash64("seen"), F.lit(64)).alias("some"))
-    seen = seen.groupBy("slice", "some").applyInArrow(add, "slice int, seen binary").groupBy("slice").applyInArrow(add, "slice int, seen binary")
+    seen = seen.groupBy("slice", "some").applyInArrow(some, "slice int, seen binary").groupBy("slice").applyInArrow(every, "slice int, seen binary")
     pieces = [row.seen for row in seen.orderBy("slice").collect()]  # a fixed number of cells
-    total = np.frombuffer(b"".join(pieces), np.uint32) if pieces else np.zeros(cells, np.uint32)
-    return np.floor(4 * np.log2(np.maximum(total, 1))).astype(np.uint8)
+    return np.frombuffer(b"".join(pieces), np.uint8) if pieces else np.zeros(cells, np.uint8)
 
 
 def prefix(each: np.ndarray, order: np.ndarray) -> np.ndarray:
@@ -258,7 +265,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, text: str, wi
             yield batch.select([0, 1]).filter(pa.array(held, pa.bool_()))
 
     side = lambda end: nodes.select(F.col("node").alias(end), F.col("counts").alias(f"counts_{end}"), F.col("n").alias(f"n_{end}"))
-    sized = pairs.distinct().join(side("a"), "a").join(side("b"), "b").where("5 * least(n_a, n_b) >= 4 * greatest(n_a, n_b)")
+    sized = settle(pairs.distinct()).join(side("a"), "a").join(side("b"), "b").where("5 * least(n_a, n_b) >= 4 * greatest(n_a, n_b)")
     near = settle(sized.select("a", "b", "counts_a", "counts_b", (F.col("n_a") + F.col("n_b")).alias("n")).mapInArrow(possible, "a long, b long"))
     if not near.limit(1).count():
         return None
@@ -305,13 +312,14 @@ def linked(docs: DataFrame, doc_id: str, text: str, width: int, seed: int, bits:
         numbered = F.col("node") + F.coalesce(F.element_at(number, F.lower(F.hex("set_id"))), F.lit(0))
         nodes, rows = nodes.withColumn("node", numbered), rows.withColumn("node", numbered)
     met = meetings(settle(prefixes(docs, text, width, seed, id_bits, apart, levels(found, cells))), tile_rows)
-    trees = simhash.links(nodes.where("n > 0").select("fp", F.col("node").alias("id")), bits)
+    # Each search is a plan of its own: the driver's memory follows the largest plan.
+    trees = settle(simhash.links(nodes.where("n > 0").select("fp", F.col("node").alias("id")), bits))
     ties = confirmed(neighbours(met).unionByName(trees.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))), docs, nodes, text, width, seed)
     if ties is None:
         ties = nodes.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
     tied = settle(components(ties))
     more = confirmed(across(met, tied), docs, nodes, text, width, seed)
-    return rows, tied if more is None else joined_components(tied, more)
+    return rows, tied if more is None else settle(joined_components(tied, more))
 
 
 def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, seed: int = 42, bits: int = 4, cells: int = 1 << 20, id_bits: int = 60, tile_rows: int = 1024) -> DataFrame:
