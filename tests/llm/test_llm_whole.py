@@ -93,6 +93,37 @@ def test_plans_of_the_near_duplicate_stage_stay_small(spark, monkeypatch):
     assert max(exchanges) <= 6
 
 
+def test_plans_of_the_mixture_stage_stay_small(spark, monkeypatch):
+    """None that is written or returned has over eight exchanges (the whole mix was one plan of 23 before)."""
+    rows = [(i, f"w{i} " * (1 + i % 7), "en", f"s{i % 3}", 1) for i in range(60)]
+    found, exchanges = mixing.settle, []
+
+    def counted(frame):
+        exchanges.append(frame._jdf.queryExecution().executedPlan().toString().count("Exchange "))
+        return found(frame)
+
+    monkeypatch.setattr(mixing, "settle", counted)
+    mixed = corpus_pipeline.mixture(spark, spark.createDataFrame(rows, DOCS), "")
+    exchanges.append(mixed._jdf.queryExecution().executedPlan().toString().count("Exchange "))
+    assert {r.doc_id for r in mixed.collect()} <= set(range(60))
+    assert max(exchanges) <= 8
+
+
+def test_stars_are_not_contracted_again(spark, monkeypatch):
+    """Edges that are stars are written once (three times before, to see that nothing changes); chains are contracted to the end."""
+    found, written = components.settle, []
+    monkeypatch.setattr(components, "settle", lambda frame: written.append(1) or found(frame))
+
+    def named(edges):
+        return {r.id: r.component for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+
+    assert named([(3, 1), (1, 4), (4, 1), (9, 7), (5, 5), (None, 2)]) == {1: 1, 3: 1, 4: 1, 7: 7, 9: 7}
+    assert len(written) == 1
+    assert named([(i, i + 1) for i in range(40)]) == dict.fromkeys(range(41), 0)
+    assert named([(3, 1), (3, 2), (9, 5)]) == {1: 1, 2: 1, 3: 1, 5: 5, 9: 5}
+    assert named([]) == {}
+
+
 def test_near_duplicate_stage_with_odd_tables(spark):
     """Very long texts, clashing columns, repeated rows, an empty table."""
     rng = random.Random(12)

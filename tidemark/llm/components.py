@@ -22,22 +22,24 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return tied.union(least.select("a", F.col("m").alias("b"))).distinct()
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every edge runs from a node of no other edge to a centre that is the larger end of none."""
+    ends = edges.select(F.col("a").alias("id"), F.lit(1).alias("larger"), F.lit(0).alias("smaller")).union(edges.select("b", F.lit(0), F.lit(1)))
+    each = ends.groupBy("id").agg(F.sum("larger").alias("larger"), F.max("smaller").alias("smaller"))
+    return not each.where("larger + smaller > 1").agg(F.count(F.lit(1))).first()[0]
+
+
 def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
     """`id` and `component` (the smallest id reachable) of every id that has an edge.
 
     `edges` has two long columns, `a` and `b`; order, repeats and loops do not matter, nulls are no
-    ends. Two star contractions alternate until nothing changes: each is written once, so that its plan
+    ends. Two star contractions alternate until all edges are stars, which they would leave as they are: each is written once, so that its plan
     stays small; their rows never exceed the edges, and a node with very many edges is spread over the join's
     partitions by adaptive execution. No part of the graph is gathered in one place.
     """
     edges = settle(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    state = None
     for _ in range(rounds):
-        seen = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
-        if tuple(seen) == state:
-            return edges.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("component")).union(edges.select("b", F.col("b")).distinct())
-        state = tuple(seen)
-        if not state[0]:
-            return edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
+        if _are_stars(edges):
+            return edges.select(F.col("a").alias("id"), F.col("b").alias("component")).union(edges.select("b", F.col("b")).distinct())
         edges = settle(_small_star(settle(_large_star(edges))))
     raise RuntimeError("components did not settle")

@@ -24,7 +24,7 @@ An empty table gives an empty mix. Input columns with other names are not read.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -126,7 +126,7 @@ def plan(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1
     block = min(block_words, max(1, mixed // least_blocks))
     n_slots = -(-mixed // block)
     slots = schedule(sources, n_slots)
-    slots = to_target(slots, sources, block, n_slots) if exact else slots.withColumn("upto", (F.col("rank") + 1) * block)
+    slots = to_target(settle(slots), sources, block, n_slots) if exact else slots.withColumn("upto", (F.col("rank") + 1) * block)
     return Mix(sources, place(sizes, sources), slots, block, most)
 
 
@@ -158,8 +158,10 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     docs, back = set_aside(docs, {"__key", "__from", "__upto", "__size"})
     row = F.struct(*two_hashes(*(F.col(f"`{c}`") for c in docs.columns)))  # 128 bits
     mix = plan(docs, row_key=row, **options)
+    # Each step is a plan of its own: the driver's memory follows the largest plan. No text is written with them.
+    mix = replace(mix, rows=settle(mix.rows), slots=settle(mix.slots))
     spans = pieces(mix).where("slot IS NOT NULL").groupBy("row_key", "no", "bucket", "nth", "copy").agg(F.min("from").alias("__from"), F.max("upto").alias("__upto"), F.first("size").alias("__size"))
-    spans = spans.select(F.col("row_key").alias("__key"), "__from", "__upto", "__size")
+    spans = settle(spans.select(F.col("row_key").alias("__key"), "__from", "__upto", "__size"))
     texts = docs.withColumn("__key", row).dropDuplicates(["__key"])
     whole = (F.col("__from") == 0) & (F.col("__upto") == F.col("__size"))
     cut = F.array_join(F.slice(words(F.col("text")), (F.col("__from") + 1).cast("int"), (F.col("__upto") - F.col("__from")).cast("int")), " ")
